@@ -27,6 +27,7 @@ def temporal_join(
     strategy: str = "auto",
     max_rows: int = MAX_BROADCAST_ROWS,
     salts: int | None = None,
+    delay: str = "0 seconds",
 ) -> DataFrame:
     """Inner as-of join on ``url``: log columns, ``trigger_value``, ``dim_url``.
 
@@ -36,12 +37,13 @@ def temporal_join(
     ``strategy`` is ``broadcast`` (versions sent to all tasks, the log is not
     shuffled), ``sorted`` (log and changes merged in time order) or ``auto``:
     broadcast if the versions were measured to be small, sorted otherwise.
-    Streams keep the versions in state instead; ``salts`` belongs to them.
+    Streams keep the versions in state instead; ``salts`` and ``delay`` belong
+    to them (see ``streaming.temporal``).
     """
     if logs.isStreaming or changes.isStreaming:
         from surgewatch.streaming.temporal import temporal_join_stream
 
-        return temporal_join_stream(logs, changes, time_col, salts)
+        return temporal_join_stream(logs, changes, time_col, salts, delay)
     changes = changes.where("url is not null and proc_time is not null")
     kind = logs.schema[time_col].dataType
     if changes.schema["proc_time"].dataType != kind:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from surgewatch.functions.jsonio import alert_json, parse_changes
 from surgewatch.functions.parse import LITERAL_TAB, TAB, malformed_counts, parse_lines
 from surgewatch.functions.thresholds import as_number, at_least
-from surgewatch.functions.timeattr import with_processing_time
+from surgewatch.functions.timeattr import with_processing_time, with_watermark
 from surgewatch.operators.dims import latest_per_key, versions
 from surgewatch.operators.lookup import lookup_counts, lookup_join
 from surgewatch.operators.temporal import temporal_join
@@ -23,14 +23,27 @@ from surgewatch.operators.windows import hop_counts, tumble_counts
 from surgewatch.plans import alerts
 from surgewatch.sources import replay
 from surgewatch.sources.positions import start_at
+from surgewatch.streaming.replay import replay_alerts
 
 SIZE, SLIDE = 21600, 7200
 YEAR = 31_536_000
 START = "2024-01-15 00:00:00"
 
 
+# Schemas of the tables read here, so that none is inferred.
+SCHEMAS = {
+    "events": """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
+        value double, props string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+    "part": """p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,
+        p_retailprice double""",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,6 +198,42 @@ def alert_json_lookup(spark, sf_dir):
     return alert_json(lookup_alerts(spark, sf_dir))
 
 
+# --- the four jobs as streams, over the whole table -------------------------
+
+
+def _stream(spark, sf_dir, job):
+    path = f"{sf_dir}/events.parquet"
+    return replay_alerts(spark, path, SCHEMAS["events"], replay.event_logs, job, SIZE)
+
+
+def stream_fixed_threshold_alerts(spark, sf_dir):
+    def job(logs, events):
+        return alerts.fixed_threshold_alerts(with_watermark(logs), SIZE, 2)
+
+    return _stream(spark, sf_dir, job)
+
+
+def stream_lookup_alerts(spark, sf_dir):
+    def job(logs, events):
+        return alerts.lookup_alerts(with_watermark(logs), replay.lookup_table(spark), SIZE)
+
+    return _stream(spark, sf_dir, job)
+
+
+def stream_temporal_alerts(spark, sf_dir):
+    def job(logs, events):
+        return alerts.temporal_alerts(logs, replay.event_changes(events), SIZE)
+
+    return _stream(spark, sf_dir, job)
+
+
+def stream_hop_temporal_alerts(spark, sf_dir):
+    def job(logs, events):
+        return alerts.hop_temporal_alerts(logs, replay.event_changes(events), SIZE, SLIDE)
+
+    return _stream(spark, sf_dir, job)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator and job."""
     return {
@@ -216,6 +265,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "temporal_alerts_parts": temporal_alerts_parts,
         "hop_temporal_alerts": hop_temporal_alerts,
         "alert_json": alert_json_lookup,
+        "stream_fixed_threshold_alerts": stream_fixed_threshold_alerts,
+        "stream_lookup_alerts": stream_lookup_alerts,
+        "stream_temporal_alerts": stream_temporal_alerts,
+        "stream_hop_temporal_alerts": stream_hop_temporal_alerts,
     }
 
 
@@ -350,6 +403,9 @@ def oracle_sql() -> dict[str, str]:
     order_as_of = _as_of(_ORDER_LOGS, _ORDER_CHANGES)
     lookup_counted = _tumble(_lookup(_LOGS, _LOOKUP), SIZE, by_threshold)
     lookup_alerted = _alerts(lookup_counted, "trigger_value")
+    fixed_alerted = _alerts(_tumble(_LOGS, SIZE, keys), "2")
+    temporal_alerted = _alerts(_tumble(as_of, SIZE, by_threshold), number)
+    hop_alerted = _alerts(_hop(as_of, SIZE, SLIDE, by_threshold), number)
     return {
         "source_scan": _LOGS,
         "start_at_timestamp": f"SELECT * FROM ({_LOGS}) WHERE ts >= TIMESTAMP '{START}'",
@@ -374,13 +430,17 @@ def oracle_sql() -> dict[str, str]:
         "threshold_coercion": f"""SELECT * FROM (
             SELECT url, trigger_value, count(*) AS times FROM ({_PARSED_CHANGES}) GROUP BY ALL)
             WHERE times >= {number}""",
-        "fixed_threshold_alerts": _alerts(_tumble(_LOGS, SIZE, keys), "2"),
+        "fixed_threshold_alerts": fixed_alerted,
         "lookup_alerts": lookup_alerted,
         "lookup_alerts_parts": _alerts(
             _tumble(_lookup(_ORDER_LOGS, _PARTS), YEAR, by_threshold), "trigger_value"
         ),
-        "temporal_alerts": _alerts(_tumble(as_of, SIZE, by_threshold), number),
+        "temporal_alerts": temporal_alerted,
         "temporal_alerts_parts": _alerts(_tumble(order_as_of, YEAR, by_threshold), number),
-        "hop_temporal_alerts": _alerts(_hop(as_of, SIZE, SLIDE, by_threshold), number),
+        "hop_temporal_alerts": hop_alerted,
         "alert_json": _json(lookup_alerted),
+        "stream_fixed_threshold_alerts": fixed_alerted,
+        "stream_lookup_alerts": lookup_alerted,
+        "stream_temporal_alerts": temporal_alerted,
+        "stream_hop_temporal_alerts": hop_alerted,
     }

@@ -9,10 +9,6 @@ from surgewatch.operators.sizing import MAX_BROADCAST_ROWS, fits_broadcast
 from surgewatch.operators.windows import tumble_counts
 
 
-def _small_side(dim: DataFrame, max_rows: int) -> DataFrame:
-    return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
-
-
 def lookup_join(
     logs: DataFrame, dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS
 ) -> DataFrame:
@@ -27,8 +23,9 @@ def lookup_join(
     table's measured size (see ``streaming.snapshot``) or by its statistics.
     """
     dim = dim.select(F.col("url").alias("dim_url"), "trigger_value")
-    side = dim if logs.isStreaming else _small_side(dim, max_rows)
-    joined = logs.join(side, F.col("url") == F.col("dim_url"))
+    if not logs.isStreaming and fits_broadcast(dim, max_rows):
+        dim = F.broadcast(dim)
+    joined = logs.join(dim, F.col("url") == F.col("dim_url"))
     return joined.select(*logs.columns, "trigger_value", "dim_url")
 
 
@@ -55,8 +52,10 @@ def lookup_counts(
     copies = dim.groupBy(F.col("url").alias("dim_url"), "trigger_value").agg(
         F.count(F.lit(1)).alias("copies")
     )
+    if fits_broadcast(dim.select("url", "trigger_value"), max_rows):
+        copies = F.broadcast(copies)
     counts = tumble_counts(logs, window_size, time_col)
-    joined = counts.join(_small_side(copies, max_rows), F.col("url") == F.col("dim_url"))
+    joined = counts.join(copies, F.col("url") == F.col("dim_url"))
     return joined.select(
         "ip",
         "url",

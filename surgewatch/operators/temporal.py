@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,10 +15,10 @@ from surgewatch.operators.sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS,
 # Broadcast form: versions a log row is compared with, at most.
 MAX_VERSIONS_PER_SLICE = 256
 
-# Sorted form: slices the time span is cut into, and rows of one url and slice
-# from which on they are split over several tasks.
-SLICES = 1024
+# Sorted form: log rows of one url and slice from which on they are split over
+# several tasks, and copies per version that cutting it into slices may make.
 GROUP_ROWS = 4_000_000
+COPIES = 4
 
 
 def temporal_join(
@@ -35,7 +36,7 @@ def temporal_join(
     time, the last one. Rows before the first change of their url are dropped.
 
     ``strategy`` is ``broadcast`` (versions sent to all tasks, the log is not
-    shuffled), ``sorted`` (log and changes merged in time order) or ``auto``:
+    shuffled), ``sorted`` (log and versions merged in time order) or ``auto``:
     broadcast if the versions were measured to be small, sorted otherwise.
     Streams keep the versions in state instead; ``salts`` and ``delay`` belong
     to them (see ``streaming.temporal``).
@@ -44,97 +45,118 @@ def temporal_join(
         from surgewatch.streaming.temporal import temporal_join_stream
 
         return temporal_join_stream(logs, changes, time_col, salts, delay)
+    if strategy not in ("auto", "broadcast", "sorted"):
+        raise ValueError(f"unknown strategy {strategy!r}")
     changes = changes.where("url is not null and proc_time is not null")
     kind = logs.schema[time_col].dataType
     if changes.schema["proc_time"].dataType != kind:
         changes = changes.withColumn("proc_time", F.col("proc_time").cast(kind))
-    if strategy not in ("auto", "broadcast", "sorted"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    if strategy != "sorted":
-        limit = None if strategy == "broadcast" else max_rows
-        sliced = _sliced_versions(changes, limit)
-        if sliced is not None:
-            return _broadcast_join(logs, *sliced, time_col)
-    return _sorted_join(logs, changes, time_col)
+    size = measure(changes)
+    if strategy == "auto":
+        strategy = "broadcast" if fits(changes, size, max_rows) else "sorted"
+    if strategy == "broadcast":
+        return _broadcast_join(logs, changes, size, time_col, max_rows)
+    return _sorted_join(logs, changes, size, time_col)
+
 
+@dataclass(frozen=True)
+class Size:
+    """What one pass over the changes tells about them."""
 
-def _span(changes: DataFrame) -> dict:
-    """Number of rows and urls, last time (a literal) and length in seconds."""
+    rows: int
+    urls: int
+    row_bytes: int  # of the longest row
+    length: int  # seconds from the first change to the last
+    last: Column  # time of the last change, a literal
+
+    def slice_seconds(self, copies: int) -> int:
+        """Shortest slices whose borders cut all versions at most so often."""
+        return max(1, ceil(self.length * self.urls / max(1, copies)))
+
+
+def measure(changes: DataFrame) -> Size:
+    """Rows, urls and time span of the changes, in one aggregation."""
     zoned = isinstance(changes.schema["proc_time"].dataType, T.TimestampType)
-    last = "unix_micros(max(proc_time))" if zoned else "cast(max(proc_time) as string)"
-    span = (
-        changes.agg(
+    last = "unix_micros(max(last))" if zoned else "cast(max(last) as string)"
+    found = (
+        changes.groupBy("url")
+        .agg(
             F.count(F.lit(1)).alias("rows"),
-            F.approx_count_distinct("url").alias("urls"),
+            F.max(text_bytes(["url", "trigger_value"])).alias("row_bytes"),
+            F.min("proc_time").alias("first"),
+            F.max("proc_time").alias("last"),
+        )
+        .agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+            F.count(F.lit(1)).alias("urls"),
+            F.coalesce(F.max("row_bytes"), F.lit(0)).alias("row_bytes"),
+            F.expr("coalesce(timestampdiff(SECOND, min(first), max(last)), 0)").alias("length"),
             F.expr(last).alias("last"),
-            F.expr("timestampdiff(SECOND, min(proc_time), max(proc_time))").alias("seconds"),
         )
         .first()
         .asDict()
     )
-    last = F.lit(span["last"])
-    span["last"] = F.timestamp_micros(last) if zoned else last.cast("timestamp_ntz")
-    return span
+    last = F.lit(found["last"])
+    found["last"] = F.timestamp_micros(last) if zoned else last.cast("timestamp_ntz")
+    return Size(**found)
 
 
-def _sliced_versions(
-    changes: DataFrame, max_rows: int | None
-) -> tuple[DataFrame, int, Column] | None:
-    """Versions copied into every time slice they are valid in, the slice
-    length and the time of the last change; ``None`` if that is not small.
+def fits(changes: DataFrame, size: Size, max_rows: int) -> bool:
+    """Whether the versions, cut into slices, may be broadcast.
 
-    The slices are as short as keeps the copies within a fixed multiple of
-    ``max_rows``. Then the copies are counted: they must fit a broadcast, and
-    no url may have more than a fixed number of versions in one slice, which
-    bounds the comparisons per log row. ``max_rows=None`` skips the checks.
+    There are at most ``max_rows`` changes, and the slices are chosen so that
+    cutting adds about as many copies again and one per url. The longest row
+    bounds the bytes. No url may change more than a fixed number of times in
+    one slice, which bounds the comparisons per log row.
     """
-    span = _span(changes)
-    budget = max_rows or MAX_BROADCAST_ROWS
-    if max_rows is not None and span["rows"] > max_rows:
-        return None
-    seconds = max(1, ceil((span["seconds"] or 0) * span["urls"] / budget))
-    last = span["last"]
-    live = (
-        versions(changes)
-        .where("valid_to is null or valid_to > proc_time")
-        .withColumn("last_at", F.least(F.coalesce("valid_to", last), last))
+    seconds = size.slice_seconds(max_rows)
+    copies = size.rows + size.urls * (size.length // seconds + 1)
+    if size.rows > max_rows or copies * size.row_bytes > MAX_BROADCAST_BYTES:
+        return False
+    per_slice = changes.groupBy("url", time_slice("proc_time", seconds).alias("slice")).count()
+    deepest = per_slice.agg(F.max("count").alias("n")).first()["n"] or 0
+    return deepest < MAX_VERSIONS_PER_SLICE
+
+
+def _sliced(with_ends: DataFrame, size: Size, seconds: int) -> DataFrame:
+    """A copy of each version in every time slice in which it is valid.
+
+    All time from the slice of the last change on is one slice.
+    """
+    end = F.least(F.coalesce("valid_to", size.last), size.last)
+    return (
+        with_ends.where("valid_to is null or valid_to > proc_time")
+        .withColumn("end_at", end)
         .withColumn("from_slice", time_slice("proc_time", seconds))
-        .withColumn("to_slice", time_slice("last_at", seconds))
-    )
-    sliced = live.select(
-        F.col("url").alias("dim_url"),
-        "trigger_value",
-        F.col("proc_time").alias("valid_from"),
-        "valid_to",
-        F.explode(
-            F.sequence("from_slice", "to_slice", F.expr(f"interval {seconds} seconds"))
-        ).alias("slice"),
-    )
-    if max_rows is not None:
-        size = (
-            sliced.withColumn("b", text_bytes(["dim_url", "trigger_value"]))
-            .groupBy("dim_url", "slice")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b"))
-            .agg(F.sum("b").alias("bytes"), F.max("n").alias("deepest"))
-            .first()
+        .withColumn("to_slice", time_slice("end_at", seconds))
+        .select(
+            F.col("url").alias("dim_url"),
+            "trigger_value",
+            F.col("proc_time").alias("valid_from"),
+            "valid_to",
+            F.explode(
+                F.sequence("from_slice", "to_slice", F.expr(f"interval {seconds} seconds"))
+            ).alias("slice"),
         )
-        deepest, total = size["deepest"] or 0, size["bytes"] or 0
-        if total > MAX_BROADCAST_BYTES or deepest > MAX_VERSIONS_PER_SLICE:
-            return None
-    return sliced, seconds, last
+    )
+
+
+def _with_slice(logs: DataFrame, size: Size, seconds: int, time_col: str) -> DataFrame:
+    """The log with the slice its time falls into, as ``log_slice``."""
+    capped = logs.withColumn("slice_at", F.least(F.col(time_col), size.last))
+    return capped.withColumn("log_slice", time_slice("slice_at", seconds)).drop("slice_at")
 
 
 def _broadcast_join(
-    logs: DataFrame, sliced: DataFrame, seconds: int, last: Column, time_col: str
+    logs: DataFrame, changes: DataFrame, size: Size, time_col: str, max_rows: int
 ) -> DataFrame:
-    """Hash join on url and slice, then the exact validity interval.
-
-    All slices from the last change on are one slice.
-    """
-    capped = logs.withColumn("slice_at", F.least(F.col(time_col), last))
-    probe = capped.withColumn("log_slice", time_slice("slice_at", seconds))
-    joined = probe.join(
-        F.broadcast(sliced),
+    """Hash join on url and slice, then the exact validity interval."""
+    seconds = size.slice_seconds(max_rows)
+    # The changes were counted to be few: one window per url will do.
+    by_url = Window.partitionBy("url").orderBy(*change_order(changes))
+    with_ends = changes.withColumn("valid_to", F.lead("proc_time").over(by_url))
+    joined = _with_slice(logs, size, seconds, time_col).join(
+        F.broadcast(_sliced(with_ends, size, seconds)),
         (F.col("url") == F.col("dim_url"))
         & (F.col("log_slice") == F.col("slice"))
         & (F.col(time_col) >= F.col("valid_from"))
@@ -146,97 +168,63 @@ def _broadcast_join(
 def _sorted_join(
     logs: DataFrame,
     changes: DataFrame,
+    size: Size,
     time_col: str,
-    slice_seconds: int | None = None,
+    seconds: int | None = None,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """Merge log rows and changes in time order and carry the last change on.
+    """Merge log rows and versions in time order and carry the version on.
 
-    Work is grouped by url and time slice. What a group needs from earlier
-    slices is one row, the url's last change before it. Groups with very many
-    log rows are split; each part gets the group's changes.
+    Work is grouped by url and time slice; a version that is valid in several
+    slices has a copy in each, so no slice needs another one. A group with
+    very many log rows is split, and each part gets the group's versions.
     """
-    if slice_seconds is None:
-        slice_seconds = max(1, ceil((_span(changes)["seconds"] or 0) / SLICES))
-    order = change_order(changes)
-    facts = logs.where(F.col("url").isNotNull()).withColumn(
-        "slice", time_slice(time_col, slice_seconds)
+    if seconds is None:
+        seconds = size.slice_seconds(COPIES * size.rows)
+    sliced = _sliced(versions(changes), size, seconds)
+    log = _with_slice(logs.where("url is not null"), size, seconds, time_col)
+
+    # At most one row per ``group_rows`` log rows. Both joins below share it.
+    hot = (
+        log.groupBy("url", "log_slice")
+        .agg(F.ceil(F.count(F.lit(1)) / group_rows).cast("int").alias("parts"))
+        .where("parts > 1")
+        .select(F.col("url").alias("hot_url"), F.col("log_slice").alias("hot_slice"), "parts")
     )
-    points = changes.withColumn("slice", time_slice("proc_time", slice_seconds)).select(
-        "url",
-        "slice",
-        F.col("proc_time").alias("at"),
-        (F.col("seq") if "seq" in changes.columns else F.lit(0)).cast("bigint").alias("seq"),
-        F.struct("trigger_value").alias("version"),
-        F.lit(1).alias("rank"),
-    )
-    point_order = F.struct("at", "seq", "version.trigger_value")
-
-    # One row per url and slice: its log rows, its last change, and the last
-    # change before the slice. A url has at most one row per slice here.
-    summary = (
-        facts.groupBy("url", "slice")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("newest", F.lit(None).cast("struct<trigger_value:string>"))
-        .unionByName(
-            points.groupBy("url", "slice")
-            .agg(F.max_by("version", point_order).alias("newest"))
-            .withColumn("rows", F.lit(None).cast("bigint"))
-        )
-    )
-    before = Window.partitionBy("url").orderBy("slice").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    groups = (
-        summary.groupBy("url", "slice")
-        .agg(F.max("rows").alias("rows"), F.first("newest", ignorenulls=True).alias("newest"))
-        .withColumn("carried", F.last("newest", ignorenulls=True).over(before))
-        .where("rows is not null")
-        .withColumn("parts", F.ceil(F.col("rows") / group_rows).cast("int"))
-    )
-
-    # Groups with more than one part number at most rows / group_rows.
-    hot = groups.where("parts > 1").select("url", "slice", "parts")
+    hot = F.broadcast(hot)
+    parts = F.coalesce("parts", F.lit(1))
     # The partition id keeps equal rows from all landing in one part; unlike a
     # random number it is the same when a lost task is run again.
     spread = F.xxhash64(*logs.columns, F.spark_partition_id())
-    parted = (
-        facts.join(F.broadcast(hot), ["url", "slice"], "left")
-        .withColumn("part", F.pmod(spread, F.coalesce("parts", F.lit(1))).cast("int"))
-        .select(
-            "url",
-            "slice",
-            "part",
-            F.col(time_col).alias("at"),
-            F.lit(2).alias("rank"),
-            F.lit(None).cast("bigint").alias("seq"),
-            F.lit(None).cast("struct<trigger_value:string>").alias("version"),
-            F.struct(*logs.columns).alias("log"),
-        )
+    log_rows = log.join(
+        hot, (F.col("url") == F.col("hot_url")) & (F.col("log_slice") == F.col("hot_slice")), "left"
+    ).select(
+        F.col("url").alias("dim_url"),
+        F.col("log_slice").alias("slice"),
+        F.pmod(spread, parts).cast("int").alias("part"),
+        F.col(time_col).alias("at"),
+        F.lit(True).alias("is_log"),
+        F.lit(None).cast("struct<trigger_value:string>").alias("version"),
+        F.struct(*logs.columns).alias("log"),
     )
-    known = points.join(groups.select("url", "slice", "parts"), ["url", "slice"])
-    carried = groups.where("carried is not null").select(
-        "url",
+    version_rows = sliced.join(
+        hot, (F.col("dim_url") == F.col("hot_url")) & (F.col("slice") == F.col("hot_slice")), "left"
+    ).select(
+        "dim_url",
         "slice",
-        F.col("slice").alias("at"),
-        F.lit(None).cast("bigint").alias("seq"),
-        F.col("carried").alias("version"),
-        F.lit(0).alias("rank"),
-        "parts",
+        F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"),
+        F.greatest("valid_from", "slice").alias("at"),
+        F.lit(False).alias("is_log"),
+        F.struct("trigger_value").alias("version"),
     )
-    repeated = (
-        known.unionByName(carried)
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .drop("parts")
-            )
-    merged = parted.unionByName(repeated, allowMissingColumns=True)
     so_far = (
-        Window.partitionBy("url", "slice", "part")
-        .orderBy("at", "rank", "seq", "version.trigger_value")
+        Window.partitionBy("dim_url", "slice", "part")
+        .orderBy("at", "is_log")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        merged.withColumn("current", F.last("version", ignorenulls=True).over(so_far))
-        .where("rank = 2 and current is not null")
-        .select("log.*", "current.trigger_value", F.col("url").alias("dim_url"))
+        log_rows.unionByName(version_rows, allowMissingColumns=True)
+        .withColumn("current", F.last("version", ignorenulls=True).over(so_far))
+        .where("is_log and current is not null")
+        .select("log.*", "current.trigger_value", "dim_url")
     )

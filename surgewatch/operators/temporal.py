@@ -138,6 +138,7 @@ def _sliced(with_ends: DataFrame, size: Size, seconds: int) -> DataFrame:
                 F.sequence("from_slice", "to_slice", F.expr(f"interval {seconds} seconds"))
             ).alias("slice"),
         )
+        .where("valid_to is null or valid_to > slice")
     )
 
 

@@ -22,7 +22,8 @@ def clock(
 
     For logs with event times choose a lag longer than logs take to arrive.
     """
-    beats = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+    beats = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second)
+    beats = beats.option("numPartitions", 1).load()
     now = F.current_timestamp() - F.expr(f"interval {int(lag_seconds)} seconds")
     return beats.select(now.alias(time_col))
 

@@ -1,0 +1,102 @@
+"""Scenarios with expected rows written out by hand."""
+
+import pytest
+
+from helpers import found, make_changes, make_logs
+from surgewatch import (
+    fixed_threshold_alerts,
+    hop_temporal_alerts,
+    lookup_alerts,
+    temporal_alerts,
+)
+from surgewatch.functions.parse import parse_lines
+
+DIM = "id int, trigger_value int, url string"
+
+
+def test_fixed_threshold_is_inclusive(spark):
+    logs = make_logs(
+        spark,
+        [("1", "a.html", s) for s in (0, 3, 9)] + [("2", "a.html", s) for s in (1, 2)]
+        + [("2", "a.html", 10)],
+    )
+    got = fixed_threshold_alerts(logs, 10, 3)
+    assert found(got) == [("1", "a.html", 3, 0, 10)]
+    assert got.columns == ["ip", "url", "times", "window_start", "window_end"]
+
+
+def test_a_higher_threshold_adds_nothing(spark):
+    logs = make_logs(spark, [(str(i % 3), "a", i % 40) for i in range(100)])
+    low = set(found(fixed_threshold_alerts(logs, 10, 2)))
+    assert set(found(fixed_threshold_alerts(logs, 10, 9))) < low
+
+
+def test_malformed_lines_alert_as_error(spark):
+    lines = make_logs(spark, [("junk", "", 1), ("more junk", "", 2), ("1\ta.html", "", 3)])
+    logs = parse_lines(lines.select("ts", lines["ip"].alias("line")))
+    assert found(fixed_threshold_alerts(logs, 10, 2)) == [("error", "error", 2, 0, 10)]
+
+
+@pytest.mark.parametrize("max_rows", [0, 100])
+def test_lookup_thresholds(spark, max_rows):
+    dim = spark.createDataFrame([(1, 2, "a.html"), (2, 3, "b.html"), (3, None, "c.html")], DIM)
+    logs = make_logs(
+        spark,
+        [("1", "a.html", 0), ("1", "a.html", 1), ("1", "b.html", 2), ("1", "b.html", 3)]
+        + [("1", "c.html", s) for s in range(4)] + [("1", "d.html", s) for s in range(4)],
+    )
+    assert found(lookup_alerts(logs, dim, 10, max_rows=max_rows)) == [("1", "a.html", 2, 0, 10)]
+
+
+@pytest.mark.parametrize("max_rows", [0, 100])
+def test_lookup_url_with_several_rows(spark, max_rows):
+    logs = make_logs(spark, [("1", "a.html", s) for s in range(5)])
+    two = spark.createDataFrame([(1, 3, "a.html"), (2, 5, "a.html")], DIM)
+    assert found(lookup_alerts(logs, two, 10, max_rows=max_rows)) == [("1", "a.html", 5, 0, 10)] * 2
+    same = spark.createDataFrame([(1, 6, "a.html"), (2, 6, "a.html")], DIM)
+    assert found(lookup_alerts(logs, same, 10, max_rows=max_rows)) == [("1", "a.html", 10, 0, 10)]
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "sorted"])
+def test_change_inside_a_window_splits_it(spark, strategy):
+    logs = make_logs(spark, [("1", "a.html", s) for s in (1, 2, 5, 6, 7)])
+    changes = make_changes(spark, [("a.html", "2", 0, 1), ("a.html", "3", 5, 2)])
+    got = temporal_alerts(logs, changes, 10, strategy=strategy)
+    assert found(got) == [("1", "a.html", 2, 0, 10), ("1", "a.html", 3, 0, 10)]
+    stricter = make_changes(spark, [("a.html", "3", 0, 1), ("a.html", "3", 5, 2)])
+    # Equal thresholds are one group, although there are two versions.
+    assert found(temporal_alerts(logs, stricter, 10, strategy=strategy)) == [
+        ("1", "a.html", 5, 0, 10)
+    ]
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "sorted"])
+def test_rows_before_the_first_threshold_do_not_count(spark, strategy):
+    logs = make_logs(spark, [("1", "a.html", s) for s in (1, 2, 3, 4)])
+    changes = make_changes(spark, [("a.html", "2", 3, 1)])
+    got = temporal_alerts(logs, changes, 10, strategy=strategy)
+    assert found(got) == [("1", "a.html", 2, 0, 10)]
+
+
+@pytest.mark.parametrize("bad", [None, "many", "", "2.5x"])
+def test_a_threshold_that_is_no_number_never_alerts(spark, bad):
+    logs = make_logs(spark, [("1", "a.html", s) for s in (1, 2, 6, 7)])
+    changes = make_changes(spark, [("a.html", "2", 0, 1), ("a.html", bad, 5, 2)])
+    assert found(temporal_alerts(logs, changes, 10)) == [("1", "a.html", 2, 0, 10)]
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "sorted"])
+def test_hopping_windows(spark, strategy):
+    logs = make_logs(spark, [("1", "a.html", s) for s in (6, 8, 11)])
+    changes = make_changes(spark, [("a.html", "2", 0, 1)])
+    got = hop_temporal_alerts(logs, changes, 10, 5, strategy=strategy)
+    assert found(got) == [("1", "a.html", 2, 0, 10), ("1", "a.html", 3, 5, 15)]
+    assert found(hop_temporal_alerts(logs, changes, 10, 10)) == found(
+        temporal_alerts(logs, changes, 10)
+    )
+
+
+@pytest.mark.parametrize("value", ["2", 2.0, None, True])
+def test_fixed_threshold_must_be_whole(spark, value):
+    with pytest.raises(ValueError):
+        fixed_threshold_alerts(make_logs(spark, []), 10, value)

@@ -10,7 +10,10 @@ from surgewatch.operators.windows import tumble_counts
 
 
 def lookup_join(
-    logs: DataFrame, dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS
+    logs: DataFrame,
+    dim: DataFrame,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Inner join on ``url``: log columns, ``trigger_value`` and ``dim_url``.
 
@@ -35,6 +38,7 @@ def lookup_counts(
     window_size: int,
     time_col: str = "ts",
     max_rows: int = MAX_BROADCAST_ROWS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Requests per window, ip, url and threshold of the matching rows.
 
@@ -47,7 +51,7 @@ def lookup_counts(
     there the join comes first.
     """
     if logs.isStreaming:
-        joined = lookup_join(logs, dim, max_rows)
+        joined = lookup_join(logs, dim, max_rows, salts)
         return tumble_counts(joined, window_size, time_col, ("ip", "url", "trigger_value"))
     copies = dim.groupBy(F.col("url").alias("dim_url"), "trigger_value").agg(
         F.count(F.lit(1)).alias("copies")

@@ -36,8 +36,9 @@ def temporal_join(
     time, the last one. Rows before the first change of their url are dropped.
 
     ``strategy`` is ``broadcast`` (versions sent to all tasks, the log is not
-    shuffled), ``sorted`` (log and versions merged in time order) or ``auto``:
-    broadcast if the versions were measured to be small, sorted otherwise.
+    shuffled; an error if they were measured to be too large for that),
+    ``sorted`` (log and versions merged in time order) or ``auto``: broadcast
+    if the versions are small enough, sorted otherwise.
     Streams keep the versions in state instead; ``salts`` and ``delay`` belong
     to them (see ``streaming.temporal``).
     """
@@ -52,10 +53,10 @@ def temporal_join(
     if changes.schema["proc_time"].dataType != kind:
         changes = changes.withColumn("proc_time", F.col("proc_time").cast(kind))
     size = measure(changes)
-    if strategy == "auto":
-        strategy = "broadcast" if fits(changes, size, max_rows) else "sorted"
-    if strategy == "broadcast":
+    if strategy != "sorted" and fits(changes, size, max_rows):
         return _broadcast_join(logs, changes, size, time_col, max_rows)
+    if strategy == "broadcast":
+        raise ValueError("the versions are too large to be broadcast")
     return _sorted_join(logs, changes, size, time_col)
 
 

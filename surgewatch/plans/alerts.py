@@ -37,9 +37,10 @@ def lookup_alerts(
     window_size: int,
     time_col: str = "ts",
     max_rows: int = MAX_BROADCAST_ROWS,
+    salts: int | None = None,
 ) -> DataFrame:
     """As above with a threshold per url from the table ``dim``."""
-    counts = lookup_counts(logs, dim, window_size, time_col, max_rows)
+    counts = lookup_counts(logs, dim, window_size, time_col, max_rows, salts)
     return at_least(counts, F.col("trigger_value")).select(*ALERT_COLUMNS)
 
 

@@ -77,3 +77,8 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not shared:
         shared = tempfile.mkdtemp(prefix="surgewatch-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def default_salts(spark: SparkSession) -> int:
+    """Tasks among which a stream deals out the rows of one url."""
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)

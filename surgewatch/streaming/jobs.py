@@ -18,6 +18,7 @@ from surgewatch.params import (
     TemporalParams,
 )
 from surgewatch.plans import alerts
+from surgewatch.session import default_salts
 from surgewatch.sources.dims import read_dim_changes, read_dim_jdbc
 from surgewatch.sources.logs import read_logs
 from surgewatch.streaming.heartbeat import clock, with_heartbeat
@@ -140,7 +141,8 @@ def run_lookup(
     cache = SnapshotCache(dim, params.cache_ttl, params.cache_maxrows)
     cache.refresh()
     logs = with_watermark(_logs(spark, params, source, beats), delay=source.delay)
-    rows = alerts.lookup_alerts(logs, dim, params.window_size)
+    salts = None if cache.kept else default_salts(spark)
+    rows = alerts.lookup_alerts(logs, dim, params.window_size, salts=salts)
     query = _start(rows, params, sink, checkpoint, name, write_options)
     cache.keep_fresh(query)
     return query

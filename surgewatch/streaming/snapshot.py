@@ -32,6 +32,11 @@ class SnapshotCache:
         self.max_rows = max_rows
         self.loaded_at: float | None = None
 
+    @property
+    def kept(self) -> bool:
+        """Whether there is a copy in memory."""
+        return self.dim.storageLevel.useMemory
+
     def refresh(self) -> None:
         """Read the table now."""
         self.release()

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from surgewatch.session import default_salts
+
 # The processor below travels with the query, so executors need no copy of
 # this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -128,7 +130,7 @@ def temporal_join_stream(
     the url, so that one popular url keeps many tasks busy.
     """
     if salts is None:
-        salts = max(8, int(logs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+        salts = default_salts(logs.sparkSession)
     kind = F.when(F.col("hb"), CLOCK).otherwise(LOG) if "hb" in logs.columns else F.lit(LOG)
     # Seeded, so by position in the scan: equal when a lost task is run again.
     dealt = F.floor(F.rand(7) * salts).cast("int")

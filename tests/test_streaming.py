@@ -117,11 +117,12 @@ def test_clock_rows_are_no_requests(spark, tmp_path, feeds):
     assert written(spark, tmp_path / "out") == [("", HEARTBEAT_URL, 2, 0, 10)]
 
 
-def test_lookup(spark, tmp_path, feeds):
+@pytest.mark.parametrize("salts", [None, 3])
+def test_lookup(spark, tmp_path, feeds, salts):
     logs, beats = feeds("logs", LOGS), feeds("beats", "ts timestamp")
     dim = spark.createDataFrame([(1, 2, "a"), (2, 3, "a"), (3, 2, "b")], DIM)
     rows = with_watermark(with_heartbeat(logs.stream, beats.stream))
-    alerts = lookup_alerts(rows, dim, 10)
+    alerts = lookup_alerts(rows, dim, 10, salts=salts)
     for batch in BATCHES:
         logs.put(timed(batch))
     run(alerts, tmp_path)
@@ -340,11 +341,12 @@ def test_fixed_threshold_job(spark, tmp_path, job):
     assert sum(row["malformed"] for row in seen) == 2
 
 
-def test_lookup_job(spark, tmp_path, job, table):
+@pytest.mark.parametrize("ttl", ["3600s", "0"])
+def test_lookup_job(spark, tmp_path, job, table, ttl):
     source, sink, checkpoint, common = job
     params = job_params(
         LookupParams, tmp_path, mysql_host=table[0], mysql_table="dim_tb",
-        cache_ttl="3600s", cache_maxrows="1000",
+        cache_ttl=ttl, cache_maxrows="1000",
     )
     query = run_lookup(
         spark, params, source, sink, checkpoint, jdbc_options=DERBY, **common

@@ -77,6 +77,9 @@ def test_broadcast_needs_few_rows_bytes_and_versions_per_slice(spark, monkeypatc
     few = make_changes(spark, [("a", "1", s, s) for s in range(0, 500, 10)])
     assert temporal.fits(few, temporal.measure(few), 1000)
     assert not temporal.fits(few, temporal.measure(few), 49)
+    logs = make_logs(spark, [])
+    with pytest.raises(ValueError):
+        temporal_join(logs, few, strategy="broadcast", max_rows=49)
     dense = make_changes(spark, [("a", "1", 0, s) for s in range(300)] + [("b", "1", 9999, 0)])
     assert not temporal.fits(dense, temporal.measure(dense), 1000)
     long = make_changes(spark, [("a" * 5000, "1", s, s) for s in range(50)])

@@ -22,7 +22,6 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": str(home / "warehouse"),
-            "spark.driver.extraJavaOptions": f"-Dderby.system.home={home}",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from helpers import at, found, make_logs
 from surgewatch.functions.timeattr import with_event_time, with_processing_time
-from surgewatch.sources.dims import read_dim_changes
+from surgewatch.sources.dims import read_dim_changes, read_dim_jdbc
 from surgewatch.sources.logs import read_logs
 from surgewatch.sources.positions import StartPosition, kafka_start, start_at, start_time
 
@@ -71,6 +71,34 @@ def test_change_source(spark, tmp_path):
         read_dim_changes(spark, "parquet", options, position="AT_TIMESTAMP")
 
 
+def test_jdbc_options(spark):
+    """What is asked of the connector; no database takes part."""
+    asked = {}
+
+    class Reader:
+        def format(self, name):
+            asked["format"] = name
+            return self
+
+        def options(self, **options):
+            asked.update(options)
+            return self
+
+        def load(self):
+            columns = "ID int, TRIGGER_VALUE int, URL string, NOTE string"
+            return spark.createDataFrame([(1, 2, "a", "x")], columns)
+
+    class Session:
+        read = Reader()
+
+    rows = read_dim_jdbc(Session(), "jdbc:x", "dim_tb", "me", "pw", {"fetchsize": "10"})
+    assert asked == {
+        "format": "jdbc", "url": "jdbc:x", "dbtable": "dim_tb", "user": "me", "password": "pw",
+        "fetchsize": "10",
+    }
+    assert rows.columns == ["id", "trigger_value", "url"] and rows.first() == (1, 2, "a")
+
+
 def test_time_columns(spark):
     logs = make_logs(spark, [("1", "a", 3)])
     now = datetime.now()

@@ -6,6 +6,7 @@ import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from helpers import EPOCH, as_of, at, found, hop_counts, in_order, make_changes, make_logs
 from surgewatch import (
@@ -22,6 +23,7 @@ from surgewatch.params import (
     TemporalParams,
 )
 from surgewatch.session import STREAM_CONF, session_conf
+from surgewatch.streaming import jobs
 from surgewatch.streaming.heartbeat import HEARTBEAT_URL, with_heartbeat
 from surgewatch.streaming.jobs import Endpoint, run_fixed_threshold, run_lookup, run_temporal
 from surgewatch.streaming.sinks import write_alerts
@@ -185,22 +187,39 @@ def test_temporal_state_keeps_the_last_threshold(spark, tmp_path, feeds):
     assert written(spark, tmp_path / "out") == [("1", "a", 2, 0, 10), ("1", "a", 2, 500, 510)]
 
 
-# --- lookup table over JDBC (in-process Derby) ------------------------------
-
-DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+# --- lookup table that somebody else changes --------------------------------
 
 
 @pytest.fixture
-def table(spark, request):
-    name = "".join(c for c in request.node.name if c.isalnum())
-    options = {"url": f"jdbc:derby:memory:{name};create=true", "dbtable": "dim_tb", **DERBY}
+def table(spark, tmp_path):
+    """A table read anew by every query, like one in a database."""
+    path = str(tmp_path / "table.json")
+
+    class OutsideTable(DataSource):
+        @classmethod
+        def name(cls):
+            return "outside_table"
+
+        def schema(self):
+            return DIM
+
+        def reader(self, schema):
+            class Reader(DataSourceReader):
+                def read(self, partition):
+                    import json
+
+                    with open(path) as file:
+                        yield from map(tuple, json.load(file))
+
+            return Reader()
 
     def put(rows):
-        df = spark.createDataFrame(rows, DIM).coalesce(1)
-        df.write.format("jdbc").options(**options, truncate="true").mode("overwrite").save()
+        with open(path, "w") as file:
+            json.dump(rows, file)
 
     put([(1, 2, "a")])
-    return options["url"], put
+    spark.dataSource.register(OutsideTable)
+    return spark.read.format("outside_table").load(), put
 
 
 def lookup_stream(spark, tmp_path, feeds, dim):
@@ -223,11 +242,7 @@ def lookup_stream(spark, tmp_path, feeds, dim):
 
 
 def test_without_cache_each_batch_sees_the_table(spark, tmp_path, feeds, table):
-    from surgewatch.sources.dims import read_dim_jdbc
-
-    url, put = table
-    dim = read_dim_jdbc(spark, url, "dim_tb", options=DERBY)
-    assert dim.columns == ["id", "trigger_value", "url"]
+    dim, put = table
     cache = SnapshotCache(dim, 0)
     cache.refresh()
     query, seen = lookup_stream(spark, tmp_path, feeds, dim)
@@ -238,10 +253,7 @@ def test_without_cache_each_batch_sees_the_table(spark, tmp_path, feeds, table):
 
 
 def test_cached_table_is_read_again_after_its_time(spark, tmp_path, feeds, table):
-    from surgewatch.sources.dims import read_dim_jdbc
-
-    url, put = table
-    dim = read_dim_jdbc(spark, url, "dim_tb", options=DERBY)
+    dim, put = table
     cache = SnapshotCache(dim, 1000, max_rows=5)
     cache.refresh()
     query, seen = lookup_stream(spark, tmp_path, feeds, dim)
@@ -258,10 +270,7 @@ def test_cached_table_is_read_again_after_its_time(spark, tmp_path, feeds, table
 
 
 def test_cache_refreshes_in_the_background(spark, tmp_path, feeds, table):
-    from surgewatch.sources.dims import read_dim_jdbc
-
-    url, put = table
-    dim = read_dim_jdbc(spark, url, "dim_tb", options=DERBY)
+    dim, put = table
     cache = SnapshotCache(dim, 1)
     cache.refresh()
     query, seen = lookup_stream(spark, tmp_path, feeds, dim)
@@ -277,11 +286,8 @@ def test_cache_refreshes_in_the_background(spark, tmp_path, feeds, table):
 
 
 def test_a_table_over_the_row_limit_is_not_kept(spark, tmp_path, feeds, table):
-    from surgewatch.sources.dims import read_dim_jdbc
-
-    url, put = table
+    dim, put = table
     put([(i, 2, "a") for i in range(3)])
-    dim = read_dim_jdbc(spark, url, "dim_tb", options=DERBY)
     cache = SnapshotCache(dim, 1000, max_rows=2)
     cache.refresh()
     assert not dim.storageLevel.useMemory
@@ -342,15 +348,14 @@ def test_fixed_threshold_job(spark, tmp_path, job):
 
 
 @pytest.mark.parametrize("ttl", ["3600s", "0"])
-def test_lookup_job(spark, tmp_path, job, table, ttl):
+def test_lookup_job(spark, tmp_path, job, table, ttl, monkeypatch):
     source, sink, checkpoint, common = job
     params = job_params(
-        LookupParams, tmp_path, mysql_host=table[0], mysql_table="dim_tb",
+        LookupParams, tmp_path, mysql_host="jdbc:x", mysql_table="dim_tb",
         cache_ttl=ttl, cache_maxrows="1000",
     )
-    query = run_lookup(
-        spark, params, source, sink, checkpoint, jdbc_options=DERBY, **common
-    )
+    monkeypatch.setattr(jobs, "read_dim_jdbc", lambda *args: table[0])
+    query = run_lookup(spark, params, source, sink, checkpoint, **common)
     query.awaitTermination()
     assert written(spark, tmp_path / "out") == [("1", "a", 3, 0, 10)]
 

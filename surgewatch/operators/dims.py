@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Versions of one url are put in order slice by slice, so that a url with very
-# many changes is spread over as many tasks as it has busy slices.
+# A url with more changes than this has them put in order slice by slice.
+GROUP_ROWS = 4_000_000
 SLICE_SECONDS = 3600
 
 
@@ -34,10 +34,33 @@ def latest_per_key(changes: DataFrame, time_col: str = "proc_time") -> DataFrame
 
 
 def versions(
-    changes: DataFrame, time_col: str = "proc_time", slice_seconds: int = SLICE_SECONDS
+    changes: DataFrame, time_col: str = "proc_time", slice_seconds: int | None = None
 ) -> DataFrame:
     """Add ``valid_to``: the time of the next change of the same url, or NULL.
 
+    The changes of the busiest url are counted first. If they are few enough
+    for one task, the next change is simply the next row of the url. If not,
+    or if ``slice_seconds`` is given, each url is cut into time slices.
+    """
+    if slice_seconds is None:
+        busiest = changes.groupBy("url").count().agg(F.max("count").alias("n")).first()["n"]
+        if (busiest or 0) <= GROUP_ROWS:
+            return whole_versions(changes, time_col)
+        slice_seconds = SLICE_SECONDS
+    return sliced_versions(changes, time_col, slice_seconds)
+
+
+def whole_versions(changes: DataFrame, time_col: str = "proc_time") -> DataFrame:
+    """``versions`` with all changes of a url in one task."""
+    by_url = Window.partitionBy("url").orderBy(*change_order(changes, time_col))
+    return changes.withColumn("valid_to", F.lead(time_col).over(by_url))
+
+
+def sliced_versions(
+    changes: DataFrame, time_col: str = "proc_time", slice_seconds: int = SLICE_SECONDS
+) -> DataFrame:
+    """``versions`` with the changes of a url and time slice in one task.
+
     Inside a slice the next change is the next row. For the last row of a
     slice it is the first change of the url's next slice that has any, taken
     from one summary row per url and slice.

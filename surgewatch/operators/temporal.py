@@ -9,17 +9,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surgewatch.operators.dims import change_order, time_slice, versions
+from surgewatch.operators.dims import (
+    GROUP_ROWS,
+    sliced_versions,
+    time_slice,
+    whole_versions,
+)
 from surgewatch.operators.sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, text_bytes
 
 # Broadcast form: versions a log row is compared with, at most.
 MAX_VERSIONS_PER_SLICE = 256
 
-# Sorted form: log rows of one url and slice from which on they are split over
-# several tasks, and copies per version that cutting it into slices may make.
-GROUP_ROWS = 4_000_000
-COPIES = 4
-
 
 def temporal_join(
     logs: DataFrame,
@@ -66,6 +66,7 @@ class Size:
 
     rows: int
     urls: int
+    busiest: int  # changes of the url that has most
     row_bytes: int  # of the longest row
     length: int  # seconds from the first change to the last
     last: Column  # time of the last change, a literal
@@ -90,6 +91,7 @@ def measure(changes: DataFrame) -> Size:
         .agg(
             F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
             F.count(F.lit(1)).alias("urls"),
+            F.coalesce(F.max("rows"), F.lit(0)).alias("busiest"),
             F.coalesce(F.max("row_bytes"), F.lit(0)).alias("row_bytes"),
             F.expr("coalesce(timestampdiff(SECOND, min(first), max(last)), 0)").alias("length"),
             F.expr(last).alias("last"),
@@ -154,11 +156,8 @@ def _broadcast_join(
 ) -> DataFrame:
     """Hash join on url and slice, then the exact validity interval."""
     seconds = size.slice_seconds(max_rows)
-    # The changes were counted to be few: one window per url will do.
-    by_url = Window.partitionBy("url").orderBy(*change_order(changes))
-    with_ends = changes.withColumn("valid_to", F.lead("proc_time").over(by_url))
     joined = _with_slice(logs, size, seconds, time_col).join(
-        F.broadcast(_sliced(with_ends, size, seconds)),
+        F.broadcast(_sliced(whole_versions(changes), size, seconds)),
         (F.col("url") == F.col("dim_url"))
         & (F.col("log_slice") == F.col("slice"))
         & (F.col(time_col) >= F.col("valid_from"))
@@ -179,16 +178,26 @@ def _sorted_join(
 
     Work is grouped by url and time slice; a version that is valid in several
     slices has a copy in each, so no slice needs another one. A group with
-    very many log rows is split, and each part gets the group's versions.
+    more than ``group_rows`` log rows is split, and each part gets the group's
+    versions.
     """
     if seconds is None:
-        seconds = size.slice_seconds(COPIES * size.rows)
-    sliced = _sliced(versions(changes), size, seconds)
+        # As many copies from cutting as there are versions.
+        seconds = size.slice_seconds(size.rows)
+    if size.busiest <= group_rows:
+        with_ends = whole_versions(changes)
+    else:
+        with_ends = sliced_versions(changes)
+    sliced = _sliced(with_ends, size, seconds)
     log = _with_slice(logs.where("url is not null"), size, seconds, time_col)
 
-    # At most one row per ``group_rows`` log rows. Both joins below share it.
+    # Both lists have at most one row per ``group_rows`` log rows. Slices are
+    # counted only for urls that are hot as a whole; without any, adaptive
+    # execution drops that second count and both joins with its result.
+    hot_urls = log.groupBy("url").count().where(F.col("count") > group_rows).select("url")
     hot = (
-        log.groupBy("url", "log_slice")
+        log.join(F.broadcast(hot_urls), "url", "left_semi")
+        .groupBy("url", "log_slice")
         .agg(F.ceil(F.count(F.lit(1)) / group_rows).cast("int").alias("parts"))
         .where("parts > 1")
         .select(F.col("url").alias("hot_url"), F.col("log_slice").alias("hot_slice"), "parts")

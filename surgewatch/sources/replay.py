@@ -26,7 +26,8 @@ def event_logs(events: DataFrame) -> DataFrame:
 
 def lookup_table(spark: SparkSession) -> DataFrame:
     """The small lookup table for event logs; its url is not unique."""
-    return spark.createDataFrame(LOOKUP_ROWS, "id int, trigger_value int, url string")
+    rows = ", ".join(f"({n}, {value}, '{url}')" for n, value, url in LOOKUP_ROWS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(id, trigger_value, url)")
 
 
 def event_changes(events: DataFrame) -> DataFrame:

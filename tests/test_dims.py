@@ -3,6 +3,7 @@ import random
 import pytest
 
 from helpers import found, in_order, make_changes
+from surgewatch.operators import dims
 from surgewatch.operators.dims import latest_per_key, versions
 
 
@@ -30,7 +31,7 @@ def test_latest_of_equal_times_is_the_last(spark):
     assert found(latest_per_key(make_changes(spark, rows))) == [("a", "2", 5)]
 
 
-@pytest.mark.parametrize("slice_seconds", [1, 10, 1000, 100000])
+@pytest.mark.parametrize("slice_seconds", [None, 1, 10, 1000, 100000])
 def test_versions(spark, slice_seconds):
     rows = random_changes()
     want = []
@@ -40,3 +41,11 @@ def test_versions(spark, slice_seconds):
             want.append((*row, after[2] if after else None))
     got = versions(make_changes(spark, rows), slice_seconds=slice_seconds)
     assert found(got) == in_order(want)
+
+
+def test_a_busy_url_is_cut_into_slices(spark, monkeypatch):
+    changes = make_changes(spark, random_changes())
+    want = found(versions(changes))
+    monkeypatch.setattr(dims, "GROUP_ROWS", 10)
+    assert found(versions(changes)) == want
+    assert "slice" in versions(changes)._jdf.queryExecution().analyzed().toString()

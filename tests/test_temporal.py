@@ -92,10 +92,8 @@ def test_slice_copies_stay_in_bounds(spark):
     rows = [(f"u{rng.randrange(20)}", "1", rng.randrange(1_000_000), i) for i in range(200)]
     changes = make_changes(spark, rows)
     size = temporal.measure(changes)
-    from surgewatch.operators.dims import versions
-
     seconds = size.slice_seconds(400)
-    copies = temporal._sliced(versions(changes), size, seconds).count()
+    copies = temporal._sliced(temporal.whole_versions(changes), size, seconds).count()
     assert copies <= size.rows + 400 + size.urls
 
 

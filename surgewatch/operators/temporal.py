@@ -54,7 +54,7 @@ def temporal_join(
         changes = changes.withColumn("proc_time", F.col("proc_time").cast(kind))
     size = measure(changes)
     if strategy != "sorted" and fits(changes, size, max_rows):
-        return _broadcast_join(logs, changes, size, time_col, max_rows)
+        return _broadcast_join(logs, changes, size, time_col)
     if strategy == "broadcast":
         raise ValueError("the versions are too large to be broadcast")
     return _sorted_join(logs, changes, size, time_col)
@@ -107,12 +107,12 @@ def measure(changes: DataFrame) -> Size:
 def fits(changes: DataFrame, size: Size, max_rows: int) -> bool:
     """Whether the versions, cut into slices, may be broadcast.
 
-    There are at most ``max_rows`` changes, and the slices are chosen so that
-    cutting adds about as many copies again and one per url. The longest row
-    bounds the bytes. No url may change more than a fixed number of times in
-    one slice, which bounds the comparisons per log row.
+    There are at most ``max_rows`` changes, and cutting adds twice as many
+    copies at most, and one per url. The longest row bounds the bytes. No url
+    may change more than a fixed number of times in one slice, which bounds
+    the comparisons per log row.
     """
-    seconds = size.slice_seconds(max_rows)
+    seconds = size.slice_seconds(2 * size.rows)
     copies = size.rows + size.urls * (size.length // seconds + 1)
     if size.rows > max_rows or copies * size.row_bytes > MAX_BROADCAST_BYTES:
         return False
@@ -152,10 +152,10 @@ def _with_slice(logs: DataFrame, size: Size, seconds: int, time_col: str) -> Dat
 
 
 def _broadcast_join(
-    logs: DataFrame, changes: DataFrame, size: Size, time_col: str, max_rows: int
+    logs: DataFrame, changes: DataFrame, size: Size, time_col: str
 ) -> DataFrame:
     """Hash join on url and slice, then the exact validity interval."""
-    seconds = size.slice_seconds(max_rows)
+    seconds = size.slice_seconds(2 * size.rows)
     joined = _with_slice(logs, size, seconds, time_col).join(
         F.broadcast(_sliced(whole_versions(changes), size, seconds)),
         (F.col("url") == F.col("dim_url"))

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from surgewatch.sources.positions import StartPosition, kafka_start, start_at
 
+# Spark's file formats, which know no start position.
+FILE_FORMATS = ("text", "json", "csv", "parquet", "orc", "avro", "xml")
+
 
 def read_records(
     spark: SparkSession,
@@ -26,9 +29,12 @@ def read_records(
 
     Kafka gets the position as its own options. Connectors that ship apart
     from Spark get theirs from the caller in ``options``. Files and tables are
-    filtered on ``time_col``.
+    filtered on ``time_col``; files without one can only be read as a whole.
     """
     position = StartPosition.of(position)
+    from_start = position is StartPosition.TRIM_HORIZON
+    if fmt in FILE_FORMATS and not from_start and not time_col:
+        raise ValueError(f"{fmt} files have no start position without a time column")
     settings = dict(options or {})
     if fmt == "kafka":
         settings = {**kafka_start(position, timestamp), **settings}
@@ -37,7 +43,7 @@ def read_records(
     if schema:
         reader = reader.schema(schema)
     rows = reader.load()
-    if fmt != "kafka" and position is not StartPosition.TRIM_HORIZON and time_col:
+    if fmt != "kafka" and not from_start and time_col:
         rows = start_at(rows, position, timestamp, time_col)
     return rows
 

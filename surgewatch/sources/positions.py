@@ -5,7 +5,8 @@ from __future__ import annotations
 from datetime import datetime, timezone
 from enum import Enum
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,6 +68,24 @@ def start_at(
     return rows.where(F.col(time_col) >= bound)
 
 
+def pinned_start(
+    spark: SparkSession, position: StartPosition | str, folder: str
+) -> tuple[StartPosition, str] | None:
+    """``LATEST`` as a fixed time, kept in ``folder`` from the first start on.
+
+    A job that is started again goes on from its checkpoint, so its start must
+    not move with it. ``None`` for the other positions, which do not move.
+    """
+    if StartPosition.of(position) is not StartPosition.LATEST:
+        return None
+    try:
+        begin = spark.read.schema("value string").text(folder).first()[0]
+    except AnalysisException:  # there is no such folder yet
+        begin = datetime.now(timezone.utc).isoformat()
+        spark.range(1).select(F.lit(begin).alias("value")).coalesce(1).write.text(folder)
+    return StartPosition.AT_TIMESTAMP, begin
+
+
 def kafka_start(
     position: StartPosition | str, timestamp: datetime | str | float | None = None
 ) -> dict[str, str]:

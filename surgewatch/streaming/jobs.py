@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
@@ -18,9 +19,10 @@ from surgewatch.params import (
     TemporalParams,
 )
 from surgewatch.plans import alerts
-from surgewatch.session import default_salts
+from surgewatch.session import STREAM_CONF, default_salts, session_conf
 from surgewatch.sources.dims import read_dim_changes, read_dim_jdbc
 from surgewatch.sources.logs import read_logs
+from surgewatch.sources.positions import StartPosition, pinned_start, start_at
 from surgewatch.streaming.heartbeat import clock, with_heartbeat
 from surgewatch.streaming.sinks import write_alerts
 from surgewatch.streaming.snapshot import SnapshotCache
@@ -47,7 +49,23 @@ class Endpoint:
         return {option: name, **self.options}
 
 
-def _source(spark: SparkSession, params: JobParams, source: Endpoint) -> DataFrame:
+def _job(run: Callable[..., StreamingQuery]) -> Callable[..., StreamingQuery]:
+    """Build and start a job with the stream settings: zone-less times are UTC."""
+
+    @wraps(run)
+    def with_settings(spark: SparkSession, *args: object, **options: object) -> StreamingQuery:
+        with session_conf(spark, STREAM_CONF):
+            return run(spark, *args, **options)
+
+    return with_settings
+
+
+def _source(
+    spark: SparkSession, params: JobParams, source: Endpoint, checkpoint: str
+) -> DataFrame:
+    start = params.stream_init_position, params.stream_initial_timestamp
+    if source.time_col and source.fmt != "kafka":
+        start = pinned_start(spark, start[0], f"{checkpoint}-start") or start
     lines = read_logs(
         spark,
         source.fmt,
@@ -55,31 +73,41 @@ def _source(spark: SparkSession, params: JobParams, source: Endpoint) -> DataFra
         payload_col=source.payload_col,
         time_col=source.time_col,
         schema=source.schema,
-        position=params.stream_init_position,
-        timestamp=params.stream_initial_timestamp,
+        position=start[0],
+        timestamp=start[1],
     )
     logs = parse_lines(lines, params.delimiter, metric="log_lines")
     return with_event_time(logs, "ts") if source.time_col else with_processing_time(logs)
 
 
 def _logs(
-    spark: SparkSession, params: JobParams, source: Endpoint, beats: DataFrame | None
+    spark: SparkSession,
+    params: JobParams,
+    source: Endpoint,
+    checkpoint: str,
+    beats: DataFrame | None,
 ) -> DataFrame:
     if beats is None:
         beats = clock(spark)
-    return with_heartbeat(_source(spark, params, source), beats)
+    return with_heartbeat(_source(spark, params, source, checkpoint), beats)
 
 
-def _changes(spark: SparkSession, params: TemporalParams, dim: Endpoint) -> DataFrame:
-    return read_dim_changes(
+def _changes(
+    spark: SparkSession, params: TemporalParams, dim: Endpoint, checkpoint: str
+) -> DataFrame:
+    position, pinned = params.dim_stream_init_position, None
+    if dim.time_col and dim.fmt != "kafka":
+        pinned = pinned_start(spark, position, f"{checkpoint}-start-changes")
+    changes = read_dim_changes(
         spark,
         dim.fmt,
         dim.named(params.dim_stream_name, "subscribe"),
         payload_col=dim.payload_col,
         time_col=dim.time_col,
         schema=dim.schema,
-        position=params.dim_stream_init_position,
+        position=StartPosition.TRIM_HORIZON if pinned else position,
     )
+    return start_at(changes, *pinned, time_col="proc_time") if pinned else changes
 
 
 def _start(
@@ -94,6 +122,7 @@ def _start(
     return write_alerts(rows, sink.fmt, checkpoint, target, name=name, **write_options)
 
 
+@_job
 def run_fixed_threshold(
     spark: SparkSession,
     params: FixedThresholdParams,
@@ -109,11 +138,12 @@ def run_fixed_threshold(
     ``beats`` replaces the clock that closes windows of a quiet stream.
     ``write_options`` go to ``write_alerts``.
     """
-    logs = with_watermark(_logs(spark, params, source, beats), delay=source.delay)
+    logs = with_watermark(_logs(spark, params, source, checkpoint, beats), delay=source.delay)
     rows = alerts.fixed_threshold_alerts(logs, params.window_size, params.trigger_value)
     return _start(rows, params, sink, checkpoint, name, write_options)
 
 
+@_job
 def run_lookup(
     spark: SparkSession,
     params: LookupParams,
@@ -140,7 +170,7 @@ def run_lookup(
     )
     cache = SnapshotCache(dim, params.cache_ttl, params.cache_maxrows)
     cache.refresh()
-    logs = with_watermark(_logs(spark, params, source, beats), delay=source.delay)
+    logs = with_watermark(_logs(spark, params, source, checkpoint, beats), delay=source.delay)
     salts = None if cache.kept else default_salts(spark)
     rows = alerts.lookup_alerts(logs, dim, params.window_size, salts=salts)
     query = _start(rows, params, sink, checkpoint, name, write_options)
@@ -148,6 +178,7 @@ def run_lookup(
     return query
 
 
+@_job
 def run_temporal(
     spark: SparkSession,
     params: TemporalParams,
@@ -162,8 +193,8 @@ def run_temporal(
 ) -> StreamingQuery:
     """Start the job with thresholds from a change stream; windows hop if the
     parameters have a ``window_interval``."""
-    logs = _logs(spark, params, source, beats)
-    changes = _changes(spark, params, dim)
+    logs = _logs(spark, params, source, checkpoint, beats)
+    changes = _changes(spark, params, dim, checkpoint)
     join = {"salts": salts, "delay": source.delay}
     if isinstance(params, HopTemporalParams):
         name = name or "hop-temporal-alerts"

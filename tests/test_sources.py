@@ -5,9 +5,16 @@ from pyspark.sql import functions as F
 
 from helpers import at, found, make_logs
 from surgewatch.functions.timeattr import with_event_time, with_processing_time
+from surgewatch.session import scratch_dir
 from surgewatch.sources.dims import read_dim_changes, read_dim_jdbc
 from surgewatch.sources.logs import read_logs
-from surgewatch.sources.positions import StartPosition, kafka_start, start_at, start_time
+from surgewatch.sources.positions import (
+    StartPosition,
+    kafka_start,
+    pinned_start,
+    start_at,
+    start_time,
+)
 
 
 def test_position_names():
@@ -46,6 +53,32 @@ def test_start_filter_reaches_the_scan(events):
     assert "GreaterThanOrEqual(ts" in plan.toString()
 
 
+def test_latest_is_pinned_at_the_first_start(spark, tmp_path):
+    folder = str(tmp_path / "start")
+    assert pinned_start(spark, "TRIM_HORIZON", folder) is None
+    assert pinned_start(spark, "AT_TIMESTAMP", folder) is None
+    first = pinned_start(spark, "LATEST", folder)
+    assert first[0] is StartPosition.AT_TIMESTAMP
+    assert datetime.now(timezone.utc) - start_time(first[1]) < timedelta(minutes=5)
+    assert pinned_start(spark, "latest", folder) == first
+
+
+def test_scratch_is_in_the_shared_folder():
+    class Session:
+        class conf:
+            settings = {"spark.checkpoint.dir": "hdfs://x/shared/"}
+            get = settings.get
+
+    assert scratch_dir(Session, "a").startswith("hdfs://x/shared/a-")
+    Session.conf.settings.clear()
+    assert scratch_dir(Session, "a").startswith("/")
+
+
+def test_files_without_times_have_no_start_position(spark, tmp_path):
+    with pytest.raises(ValueError):
+        read_logs(spark, "text", {"path": str(tmp_path)}, position="LATEST")
+
+
 def test_text_logs(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "1.txt").write_text("1\ta.html\n2\tb.html\n")

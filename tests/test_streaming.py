@@ -377,6 +377,21 @@ def test_temporal_job(spark, tmp_path, feeds, job, hop):
     assert written(spark, tmp_path / "out") == want
 
 
+def test_changes_from_latest_on(spark, tmp_path, feeds, job):
+    """No change is newer than the start, so no request has a threshold."""
+    source, sink, checkpoint, common = job
+    feeds("dim", LINE).put([('{"url":"a","trigger_value":1}', at(0))])
+    dim = Endpoint("json", schema=LINE, time_col="at")
+    params = job_params(
+        TemporalParams, tmp_path, dim_stream_name=str(tmp_path / "dim"),
+        dim_stream_init_position="LATEST",
+    )
+    query = run_temporal(spark, params, source, dim, sink, checkpoint, salts=1, **common)
+    query.awaitTermination()
+    assert written(spark, tmp_path / "out") == []
+    assert os.path.isdir(checkpoint + "-start-changes")
+
+
 @pytest.mark.parametrize("kind", ["fixed", "temporal"])
 def test_processing_time_closes_windows_by_itself(spark, tmp_path, feeds, kind):
     logs = feeds("logs", "value string")

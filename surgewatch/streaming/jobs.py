@@ -87,9 +87,11 @@ def _logs(
     checkpoint: str,
     beats: DataFrame | None,
 ) -> DataFrame:
-    if beats is None:
-        beats = clock(spark)
-    return with_heartbeat(_source(spark, params, source, checkpoint), beats)
+    logs = _source(spark, params, source, checkpoint)
+    if beats is None and source.time_col:
+        # Recorded times may be long past: the clock would make all rows late.
+        return logs
+    return with_heartbeat(logs, clock(spark) if beats is None else beats)
 
 
 def _changes(
@@ -135,7 +137,9 @@ def run_fixed_threshold(
 ) -> StreamingQuery:
     """Start the job with one threshold for all urls.
 
-    ``beats`` replaces the clock that closes windows of a quiet stream.
+    With processing time a clock closes the windows of a quiet stream. With
+    event times (``source.time_col``) a window closes when newer rows arrive;
+    pass ``beats`` (such as ``heartbeat.clock`` with a lag) to close it sooner.
     ``write_options`` go to ``write_alerts``.
     """
     logs = with_watermark(_logs(spark, params, source, checkpoint, beats), delay=source.delay)

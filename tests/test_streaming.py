@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
-from helpers import EPOCH, as_of, at, found, hop_counts, in_order, make_changes, make_logs
+from helpers import EPOCH, as_of, at, found, in_order, make_changes, make_logs
 from surgewatch import (
     fixed_threshold_alerts,
     hop_temporal_alerts,
@@ -347,6 +347,20 @@ def test_fixed_threshold_job(spark, tmp_path, job):
     assert sum(row["malformed"] for row in seen) == 2
 
 
+def test_event_times_long_past_are_not_late(spark, tmp_path, job):
+    source, sink, checkpoint, _ = job
+    feed = Feed(spark, tmp_path / "logs", LINE)
+    feed.count = 1
+    feed.put(lines([("1", "a", 25)]))
+    params = job_params(FixedThresholdParams, tmp_path, trigger_value="2")
+    query = run_fixed_threshold(spark, params, source, sink, checkpoint, available_now=True)
+    query.awaitTermination()
+    # The row at 25 closes the first window; its own window stays open.
+    assert written(spark, tmp_path / "out") == [
+        ("1", "a", 3, 0, 10), ("2", "b", 2, 0, 10), ("error", "error", 2, 0, 10)
+    ]
+
+
 @pytest.mark.parametrize("ttl", ["3600s", "0"])
 def test_lookup_job(spark, tmp_path, job, table, ttl, monkeypatch):
     source, sink, checkpoint, common = job

@@ -116,6 +116,8 @@ def fits(changes: DataFrame, size: Size, max_rows: int) -> bool:
     copies = size.rows + size.urls * (size.length // seconds + 1)
     if size.rows > max_rows or copies * size.row_bytes > MAX_BROADCAST_BYTES:
         return False
+    if size.busiest < MAX_VERSIONS_PER_SLICE:
+        return True
     per_slice = changes.groupBy("url", time_slice("proc_time", seconds).alias("slice")).count()
     deepest = per_slice.agg(F.max("count").alias("n")).first()["n"] or 0
     return deepest < MAX_VERSIONS_PER_SLICE

@@ -20,6 +20,9 @@ from surgewatch.operators.sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS,
 # Broadcast form: versions a log row is compared with, at most.
 MAX_VERSIONS_PER_SLICE = 256
 
+# Slices that the time from the first change to the last is cut into, at most.
+MAX_SLICES = 65_536
+
 
 def temporal_join(
     logs: DataFrame,
@@ -72,8 +75,13 @@ class Size:
     last: Column  # time of the last change, a literal
 
     def slice_seconds(self, copies: int) -> int:
-        """Shortest slices whose borders cut all versions at most so often."""
-        return max(1, ceil(self.length * self.urls / max(1, copies)))
+        """Shortest slices whose borders cut all versions at most so often.
+
+        A version lies in at most ``MAX_SLICES`` of them, all in one array
+        before they become rows.
+        """
+        wanted = ceil(self.length * self.urls / max(1, copies))
+        return max(1, wanted, ceil(self.length / MAX_SLICES))
 
 
 def measure(changes: DataFrame) -> Size:

@@ -97,6 +97,12 @@ def test_slice_copies_stay_in_bounds(spark):
     assert copies <= size.rows + 400 + size.urls
 
 
+def test_a_version_lies_in_a_bounded_number_of_slices():
+    size = temporal.Size(10**9, 1, 10**9, 100, 10 * 365 * 86400, None)
+    assert size.length / size.slice_seconds(size.rows) <= temporal.MAX_SLICES
+    assert temporal.Size(5, 1, 5, 100, 0, None).slice_seconds(10) == 1
+
+
 def test_no_pairs_of_all_with_all(spark):
     logs, changes = random_case(5)
     for strategy in ("broadcast", "sorted"):

@@ -7,6 +7,8 @@ year long because the tables span a month and seven years.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -234,8 +236,23 @@ def stream_hop_temporal_alerts(spark, sf_dir):
     return _stream(spark, sf_dir, job)
 
 
+# --- the optional subpackage ------------------------------------------------
+
+
+def _optional(name: str):
+    """A module that may have been removed; errors inside one that is there are raised."""
+    return importlib.import_module(name) if importlib.util.find_spec(name) else None
+
+
+_llm = _optional("surgewatch.llm") and importlib.import_module("surgewatch.llm.queries")
+_pipeline = _llm and _optional("corpus_pipeline")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator and job."""
+    more = dict(_llm.QUERIES) if _llm else {}
+    if _pipeline:
+        more["pipeline"] = _pipeline.run
     return {
         "source_scan": source_scan,
         "start_at_timestamp": start_at_timestamp,
@@ -269,6 +286,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_lookup_alerts": stream_lookup_alerts,
         "stream_temporal_alerts": stream_temporal_alerts,
         "stream_hop_temporal_alerts": stream_hop_temporal_alerts,
+        **more,
     }
 
 
@@ -406,6 +424,9 @@ def oracle_sql() -> dict[str, str]:
     fixed_alerted = _alerts(_tumble(_LOGS, SIZE, keys), "2")
     temporal_alerted = _alerts(_tumble(as_of, SIZE, by_threshold), number)
     hop_alerted = _alerts(_hop(as_of, SIZE, SLIDE, by_threshold), number)
+    more = dict(_llm.ORACLES) if _llm else {}
+    if _pipeline and _pipeline.ORACLE_SQL:
+        more["pipeline"] = _pipeline.ORACLE_SQL
     return {
         "source_scan": _LOGS,
         "start_at_timestamp": f"SELECT * FROM ({_LOGS}) WHERE ts >= TIMESTAMP '{START}'",
@@ -443,4 +464,5 @@ def oracle_sql() -> dict[str, str]:
         "stream_lookup_alerts": lookup_alerted,
         "stream_temporal_alerts": temporal_alerted,
         "stream_hop_temporal_alerts": hop_alerted,
+        **more,
     }

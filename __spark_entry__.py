@@ -241,7 +241,8 @@ def stream_hop_temporal_alerts(spark, sf_dir):
 
 def _optional(name: str):
     """A module that may have been removed; errors inside one that is there are raised."""
-    return importlib.import_module(name) if importlib.util.find_spec(name) else None
+    spec = importlib.util.find_spec(name)
+    return importlib.import_module(name) if spec and spec.origin else None
 
 
 _llm = _optional("surgewatch.llm") and importlib.import_module("surgewatch.llm.queries")

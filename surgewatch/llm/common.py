@@ -12,6 +12,8 @@ from surgewatch.session import scratch_dir
 HOT_KEYS = 2048
 #: Parts into which the rows of one hot key are dealt.
 SALTS = 32
+#: A table with fewer rows is joined as it is: one task could take all of it.
+SMALL_ROWS = 20_000
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -21,18 +23,26 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    how: str = "inner",
+    counts: DataFrame | None = None,
+) -> DataFrame:
     """Join with a ``right`` that has one row per key, however skewed ``left`` is.
 
-    ``left`` should be cheap to read twice: its keys are counted first. Rows of
+    ``left`` should be cheap to read twice: its keys are counted first, unless
+    ``counts`` has the rows ``_n`` of at least the keys in ``right``. Rows of
     a key with over 1/2048 of all rows are dealt out to 32 parts, and the key's
     one row of ``right`` is copied to each. Only the list of hot keys (at most
     2048) is broadcast. ``how`` is inner, left or left_semi. Null keys match nothing.
     """
-    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     rows = left.count()
-    if rows < 100_000:  # nothing that one task could not take
+    if rows < SMALL_ROWS:
         return left.join(right, keys, how)
+    if counts is None:
+        counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = F.broadcast(
         counts.where((F.col("_n") > rows / HOT_KEYS)).select(*keys, F.lit(True).alias("_hot"))
     )

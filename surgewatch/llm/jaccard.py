@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +18,10 @@ SHINGLE = 5
 PERCENT = 75
 #: Keys a set contributes to the hub rounds: its most and least frequent ones.
 HUB_KEYS = 4
-#: Hub rounds before the pairs that are left are listed.
-HUB_ROUNDS = 3
+#: Hub rounds before the pairs that are left are listed, at most; they are listed
+#: earlier if they are no more than so many times the keys.
+HUB_ROUNDS = 4
+PAIRS_PER_KEY = 2
 
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -56,11 +59,14 @@ def _prefix(n: int, percent: int) -> tuple[int, int]:
 
 
 def sketcher(size: int, percent: int):
-    """doc_id, size of the set, identity of the set, first hashes and how many must be shared."""
+    """Row number, doc_id, size and identity of the set, first hashes and how many must be shared."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 36
         for batch in batches:
             counts, sets, firsts, needs = [], [], [], []
+            numbers = pa.array(range(row, row + len(batch)), pa.int64())
+            row += len(batch)
             for raw in batch.column("text").cast(pa.binary()).to_pylist():
                 found = shingles(raw, size)
                 first, need = _prefix(len(found), percent)
@@ -69,9 +75,9 @@ def sketcher(size: int, percent: int):
                 firsts.append(found[:first])
                 needs.append(need)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("key"), pa.array(counts, pa.int64()), pa.array(sets, pa.binary()),
+                [numbers, batch.column("doc_id"), batch.column("key"), pa.array(counts, pa.int64()), pa.array(sets, pa.binary()),
                  pa.array(firsts, pa.list_(pa.int64())), pa.array(needs, pa.int64())],
-                names=["doc_id", "key", "n", "id", "first", "need"],
+                names=["row", "doc_id", "key", "n", "id", "first", "need"],
             )
 
     return sketch
@@ -163,8 +169,8 @@ def links(sets: DataFrame, keys: DataFrame, percent: int = PERCENT) -> DataFrame
     groups. Keys whose sets are then in one component have nothing left to
     find; of the others, all pairs from different components are compared.
     """
-    found = None
-    label = None
+    found = label = None
+    rows = keys.count()
     for round_ in range(HUB_ROUNDS):
         own = keys if label is None else _labelled(keys, label)
         own = own if label is not None else own.withColumn("root", F.col("id"))
@@ -187,7 +193,7 @@ def links(sets: DataFrame, keys: DataFrame, percent: int = PERCENT) -> DataFrame
         left = open_.agg(F.sum("pairs").alias("pairs"), F.count(F.lit(1)).alias("keys")).first()
         if not left["keys"]:
             return found
-        if left["pairs"] <= 4 * pairs.count() + 10_000:
+        if left["pairs"] <= PAIRS_PER_KEY * rows:
             break
     own = _labelled(keys, label).join(open_.select("key"), "key", "left_semi")
     a, b = own.alias("a"), own.alias("b")
@@ -235,7 +241,7 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
     sketch = saved(
         plain.mapInArrow(
             sketcher(size, percent),
-            "doc_id bigint, key string, n bigint, id binary, first array<bigint>, need bigint",
+            "row bigint, doc_id bigint, key string, n bigint, id binary, first array<bigint>, need bigint",
         ),
         "sketch",
     )
@@ -245,16 +251,20 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("s")
     ).select("id", F.col("s.doc_id").alias("doc_id"), F.col("s.key").alias("key"))
     stand = saved(stand, "stand")
-    first = full.select("id", "n", "need", F.explode("first").alias("token"))
-    short = F.xxhash64("id")
-    elsewhere = first.groupBy("token").agg(F.min(short).alias("low"), F.max(short).alias("high")).where(
-        "low <> high"
-    ).select("token")
-    shared = salted_join(first, elsewhere, ["token"], "left_semi")
-    # Rows of equal sets are counted together, which can only keep more.
-    candidates = shared.groupBy("id", "n").agg(
-        F.count(F.lit(1)).alias("hits"), F.min("need").alias("need")
-    ).where("hits >= need").select("id", "n")
+    tokens = full.select("row", F.explode("first").alias("token"))
+    short = full.select(F.xxhash64("id").alias("short"), F.explode("first").alias("token"))
+    elsewhere = saved(
+        short.groupBy("token").agg(
+            F.min("short").alias("low"), F.max("short").alias("high"), F.count(F.lit(1)).alias("_n")
+        ).where("low <> high").select("token", "_n"),
+        "elsewhere",
+    )
+    shared = salted_join(tokens, elsewhere.select("token"), ["token"], "left_semi", elsewhere)
+    hits = shared.groupBy("row").agg(F.count(F.lit(1)).alias("hits"))
+    # A set is a candidate if one of its rows is; equal sets have equal rows.
+    candidates = full.select("row", "id", "n", "need").join(hits, "row").where("hits >= need").select(
+        "id", "n"
+    ).distinct()
     rows = saved(stand.join(candidates, "id"), "candidates")
     texts = plain.alias("d").join(
         rows.alias("r"),

@@ -18,10 +18,10 @@ SHINGLE = 5
 PERCENT = 75
 #: Keys a set contributes to the hub rounds: its most and least frequent ones.
 HUB_KEYS = 4
-#: Hub rounds before the pairs that are left are listed, at most; they are listed
-#: earlier if they are no more than so many times the keys.
-HUB_ROUNDS = 4
-PAIRS_PER_KEY = 2
+#: Sets of a block; a task compares two blocks.
+BLOCK_SETS = 1500
+#: Cost of a set's entry in a long inverted list: itself, two hubs, and what is left over.
+LIST_COST = 4
 
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -102,12 +102,13 @@ def _least(n: Column, percent: int) -> Column:
 def boundary(sets: DataFrame, percent: int) -> int:
     """The largest size that counts as light, by the cost of the keys.
 
-    A light set of p possible first tokens costs p (p + 1) / 2 subsets; a heavy
-    one the length of its tokens' inverted lists. Costs are summed by size
-    class (eight per doubling, so some hundred rows) and compared at each.
+    A light set of p possible first tokens costs p (p + 1) / 2 subsets. A heavy
+    one costs an entry in each token's inverted list and its comparisons there,
+    which hubs keep to a few however long the list is. Costs are summed by
+    size class (eight per doubling, so some hundred rows) and compared at each.
     """
     p = F.col("lead").cast("double")
-    lists = F.aggregate(F.slice("freqs", F.lit(1), F.col("lead")), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    lists = F.aggregate(F.slice("freqs", F.lit(1), F.col("lead")), F.lit(0).cast("bigint"), lambda a, x: a + F.least(x, F.lit(LIST_COST)))
     classes = sets.groupBy(F.floor(F.log2("n") * 8).alias("class")).agg(
         F.sum(p * (p + 1) / 2).alias("light"), F.sum(lists).alias("heavy")
     )
@@ -167,41 +168,109 @@ def links(sets: DataFrame, keys: DataFrame, percent: int = PERCENT) -> DataFrame
     A group of near copies would give the square of its size in pairs. So each
     key first compares its sets with two of them, its hubs, which connects most
     groups. Keys whose sets are then in one component have nothing left to
-    find; of the others, all pairs from different components are compared.
+    find; sets of the others are compared in blocks (:func:`left_over`).
     """
-    found = label = None
-    rows = keys.count()
-    for round_ in range(HUB_ROUNDS):
-        own = keys if label is None else _labelled(keys, label)
-        own = own if label is not None else own.withColumn("root", F.col("id"))
-        spread = F.struct(F.xxhash64("id", F.lit(round_)), "id", "n", "root")
-        hubs = own.groupBy("key").agg(
-            F.min(spread).alias("h1"), F.max(spread).alias("h2"),
-            F.min("root").alias("r1"), F.max("root").alias("r2"),
-        ).where("r1 <> r2").select("key", "h1", "h2")
-        picked = own.where("pick") if round_ == 0 else own
-        near = salted_join(picked, hubs, ["key"])
-        near = near.select("id", "n", "root", F.explode(F.array("h1", "h2")).alias("h"))
-        pairs = near.where(
-            (F.col("root") != F.col("h.root")) & _sizes_fit("n", "h.n", percent)
-        ).select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b"))
-        pairs = saved(pairs.distinct(), "hubs")
-        new = saved(verified(pairs, sets, percent), "links")
-        found = new if found is None else found.unionByName(new)
-        label = components(found)
-        open_ = _open(keys, label)
-        left = open_.agg(F.sum("pairs").alias("pairs"), F.count(F.lit(1)).alias("keys")).first()
-        if not left["keys"]:
-            return found
-        if left["pairs"] <= PAIRS_PER_KEY * rows:
-            break
-    own = _labelled(keys, label).join(open_.select("key"), "key", "left_semi")
-    a, b = own.alias("a"), own.alias("b")
-    pairs = a.join(b, F.col("a.key") == F.col("b.key")).where(
-        (F.col("a.id") < F.col("b.id")) & (F.col("a.root") != F.col("b.root"))
-        & _sizes_fit("a.n", "b.n", percent)
-    ).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
-    return found.unionByName(verified(saved(pairs, "pairs"), sets, percent))
+    spread = F.struct(F.xxhash64("id"), "id", "n")
+    hubs = keys.groupBy("key").agg(F.min(spread).alias("h1"), F.max(spread).alias("h2"))
+    near = salted_join(keys.where("pick"), hubs, ["key"])
+    near = near.select("id", "n", F.explode(F.array("h1", "h2")).alias("h"))
+    pairs = near.where((F.col("id") != F.col("h.id")) & _sizes_fit("n", "h.n", percent)).select(
+        F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b")
+    )
+    found = saved(verified(saved(pairs.distinct(), "hubs"), sets, percent), "links")
+    return found.unionByName(left_over(sets, keys, components(found), percent))
+
+
+def left_over(sets: DataFrame, keys: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Links between sets of different components that share a key.
+
+    Components that share keys form a cluster, and a cluster's sets are dealt to
+    blocks: a component larger than a block to blocks of its own, others
+    together. Each two blocks are compared by one task, unless both are of the
+    same component. So no pairs are listed, a task holds two blocks, and a
+    large component meets only what is not part of it.
+    """
+    own = saved(_labelled(keys, label), "labelled")
+    open_ = own.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    own = saved(salted_join(own, open_.select("key", "low"), ["key"]).select("id", "root", "low").distinct(), "open")
+    roots = own.select(F.col("root").alias("a"), F.col("low").alias("b"))
+    clusters = components(roots).select(F.col("node").alias("root"), F.col("root").alias("cluster"))
+    members = own.select("id", "root").distinct()
+    sizes = saved(
+        members.groupBy("root").agg(F.count(F.lit(1)).alias("m")).join(clusters, "root"), "clusters"
+    )
+    mixed = sizes.where(F.col("m") <= BLOCK_SETS).groupBy("cluster").agg(F.sum("m").alias("rest"))
+    sizes = sizes.join(mixed, "cluster", "left")
+    large = F.col("m") > BLOCK_SETS
+    of_root = sizes.select(
+        "root", "cluster", F.when(large, F.col("root")).alias("only"),
+        F.when(large, F.ceil(F.col("m") / BLOCK_SETS)).alias("parts"),
+        F.pmod(F.xxhash64("root"), F.ceil(F.col("rest") / BLOCK_SETS)).alias("mix"),
+    )
+    part = F.when(F.col("parts").isNull(), F.col("mix")).otherwise(F.pmod(F.xxhash64("id"), F.col("parts")))
+    block = F.xxhash64(F.col("cluster"), F.coalesce(F.col("only"), F.lit(b"")), part)
+    placed = salted_join(members, of_root, ["root"]).withColumn("block", block)
+    placed = saved(placed.select("id", "root", "cluster", "only", "block"), "blocks")
+    blocks = saved(placed.select("cluster", "only", "block").distinct(), "blocks")
+    x, y = blocks.alias("x"), blocks.alias("y")
+    tasks = x.join(y, F.col("x.cluster") == F.col("y.cluster")).where(
+        (F.col("x.block") <= F.col("y.block"))
+        & ~F.coalesce(F.col("x.only") == F.col("y.only"), F.lit(False))
+    ).select(F.xxhash64("x.block", "y.block").alias("task"), F.col("x.block").alias("b1"), F.col("y.block").alias("b2"))
+    sides = tasks.select("task", F.col("b1").alias("block"), F.lit(0).alias("side")).unionAll(
+        tasks.where("b1 <> b2").select("task", F.col("b2").alias("block"), F.lit(1).alias("side"))
+    )
+    rows = placed.select("id", "root", "block").join(sides, "block").select("task", "side", "id", "root")
+    rows = salted_join(rows, sets.select("id", "n", "hashes"), ["id"])
+    return rows.repartition("task").sortWithinPartitions("task").mapInArrow(
+        comparer(percent), "a binary, b binary"
+    )
+
+
+def comparer(percent: int):
+    """Links between the two sides of each task, or within its only side."""
+
+    def between(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+        left = [r for r in rows if r[0] == 0]
+        right = [r for r in rows if r[0] == 1] or left
+        lengths = np.array([len(r[4]) for r in right])
+        tokens = np.concatenate([r[4] for r in right])
+        owners = np.repeat(np.arange(len(right)), lengths)
+        order = np.argsort(tokens, kind="stable")
+        tokens, owners = tokens[order], owners[order]
+        sizes = np.array([r[3] for r in right])
+        number = {root: i for i, root in enumerate({r[2] for r in right})}
+        roots = np.array([number[r[2]] for r in right])
+        for _, one, root, n, hashes in left:
+            low, high = np.searchsorted(tokens, hashes, "left"), np.searchsorted(tokens, hashes, "right")
+            count = high - low
+            at = np.repeat(low - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
+            shared = np.bincount(owners[at], minlength=len(right))
+            linked = (shared * 100 >= (n + sizes - shared) * percent) & (roots != number.get(root, -1))
+            hits = np.flatnonzero(linked)
+            # One link to each other component is enough.
+            for hit in hits[np.unique(roots[hits], return_index=True)[1]]:
+                yield one, right[hit][1]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            found = list(between(rows)) if rows else []
+            columns = [[a for a, _ in found], [b for _, b in found]]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["a", "b"])
+
+        rows: list[tuple] = []
+        task = None
+        for batch in batches:
+            hashes = batch.column("hashes")
+            columns = [batch.column(c).to_pylist() for c in ("task", "side", "id", "root", "n")]
+            for i, (at, side, one, root, n) in enumerate(zip(*columns, strict=True)):
+                if at != task:
+                    yield out(rows)
+                    rows, task = [], at
+                rows.append((side, one, root, n, hashes[i].values.to_numpy(zero_copy_only=False)))
+        yield out(rows)
+
+    return compare
 
 
 def _labelled(keys: DataFrame, label: DataFrame) -> DataFrame:
@@ -209,16 +278,6 @@ def _labelled(keys: DataFrame, label: DataFrame) -> DataFrame:
     return keys.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
 
 
-def _open(keys: DataFrame, label: DataFrame) -> DataFrame:
-    """Keys with sets of several components, and how many pairs those make."""
-    counts = _labelled(keys, label).groupBy("key", "root").agg(F.count(F.lit(1)).cast("double").alias("m"))
-    both = counts.groupBy("key").agg(
-        F.count(F.lit(1)).alias("roots"),
-        ((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("pairs"),
-    )
-    return saved(both.where("roots > 1").select("key", "pairs"), "open")
-
-
 def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs``.
 

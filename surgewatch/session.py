@@ -70,11 +70,14 @@ def session_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[N
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (local runs and tests) is a temporary
-    folder of this machine used.
+    Only where that setting is absent and the master is local (tests) is a
+    temporary folder of this machine used; on a cluster its absence is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="surgewatch-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

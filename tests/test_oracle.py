@@ -6,7 +6,12 @@ import pytest
 
 import __spark_entry__ as registry
 
-QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
+def own(entries):
+    """Without the optional subpackage's, which has its own tests."""
+    return {k: v for k, v in entries.items() if not (k.startswith("op") or k == "pipeline")}
+
+
+QUERIES, ORACLES = own(registry.queries()), own(registry.oracle_sql())
 
 
 @pytest.fixture(scope="module")

@@ -50,7 +50,9 @@ def test_changes_are_filtered_in_the_scan(plan):
     assert "EqualTo(event_type,signup)" in plan("dim_versions")
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize(
+    "name", sorted(n for n in registry.queries() if not (n.startswith("op") or n == "pipeline"))
+)
 def test_no_python_in_batch_plans(plan, name):
     if name.startswith("stream_"):
         pytest.skip("runs a stream")

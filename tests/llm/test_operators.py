@@ -1,0 +1,212 @@
+"""Operators against brute force on small tables with nulls, ties, copies and odd columns."""
+
+import hashlib
+import re
+import zlib
+
+import pytest
+
+from surgewatch.llm import (
+    decontam, exact_dedup, jaccard, langid, licenses, mixing, phrases, pii, queries, quotes, token_frames,
+)
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, kept int"
+P = " ".join(f"word{i}" for i in range(60))
+TEXTS = [
+    None, "", "  \n", "One", "the MIT License", P, P + " tail", "x " + P, P.upper(), P.replace("word30", "zz"),
+    "Under the MIT license. cc-by-nc! under the mit license", "SPDX-License-Identifier: Apache-2.0",
+    "mail a.b@c.org or d@e.f_g@h.i, ip 10.0.0.1 and 999.1.1.1, card 4111 1111 1111 1111, call +49 (30) 123-4567.",
+    "é" * 3 + " " + P, "a" * 5000, P, "one", "12 34",
+]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return [(i, t, "en" if i % 3 else None, None if i % 4 == 0 else f"s{i % 3}", 0, "x", 1) for i, t in enumerate(TEXTS)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def by_id(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def split(text, folded=False):
+    text = (text or "").translate({i: i + 32 for i in range(65, 91)}) if folded else text or ""
+    return re.findall(r"[^\x20\x09-\x0D]+", text)
+
+
+def test_exact_dedup(docs, rows):
+    got = by_id(exact_dedup.exact_dedup(docs, bucket_bytes=300))
+    groups = {}
+    for i, t, *_ in rows:
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", t or ""), []).append((-len(t or ""), i))
+    for key, members in groups.items():
+        for _, i in members:
+            assert (got[i].keep_id, got[i].group_size) == (min(members)[1], len(members))
+            assert got[i].kept == (i == min(members)[1])
+            assert got[i].text_sha256 == hashlib.sha256(key.encode()).hexdigest()
+
+
+def test_exact_dedup_keeps_one_of_repeated_rows(spark):
+    twice = spark.createDataFrame([(1, "a"), (1, "a"), (None, "a")], "doc_id bigint, text string")
+    assert sorted(r.kept for r in exact_dedup.exact_dedup(twice).collect()) == [False, False, True]
+
+
+def sets_of(text):
+    w = split(text, True)
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def test_jaccard(docs, rows):
+    sets = {i: sets_of(t) for i, t, *_ in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    got = by_id(jaccard.similar_documents(docs))
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == {i: (len(s), find(i)) for i, s in sets.items()}
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(by_id(kept)) == sorted(i for i in sets if find(i) == i)
+
+
+def test_repeats(docs, rows):
+    first, windows = {}, {}
+    for i, t, *_ in rows:
+        w = split(t)
+        windows[i] = [tuple(w[k : k + 50]) for k in range(len(w) - 49)]
+        for x in windows[i]:
+            first.setdefault(x, i)
+    got = by_id(phrases.remove_repeats(docs))
+    for i, t, *_ in rows:
+        w = split(t)
+        gone = {k + j for k, x in enumerate(windows[i]) if first[x] < i for j in range(50)}
+        kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+        assert (got[i].n_words, got[i].n_removed) == (len(w), len(gone))
+        assert got[i].kept_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 100])
+def test_decontamination(spark, docs, rows, block_bytes):
+    items = [(1, P), (2, "mit license"), (3, None), (4, "!"), (None, "one"), (5, "c org or d e")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    fold = lambda t: re.findall(word, (t or "").translate({i: i + 32 for i in range(65, 91)}))
+    got = by_id(decontam.digest(decontam.find_passages(docs, bench, block_bytes=block_bytes)))
+    for i, t, *_ in rows:
+        w, hit, ids = fold(t), set(), set()
+        for item, text in items:
+            p = fold(text)
+            k = min(10, len(p))
+            for s in range(len(p) - k + 1 if k else 0):
+                for at in range(len(w) - k + 1):
+                    if w[at : at + k] == p[s : s + k]:
+                        hit |= set(range(at, at + k))
+                        ids |= {str(item)} if item else set()
+        assert (got[i].n_words, got[i].n_hit, got[i].n_items) == (len(w), len(hit), len(ids))
+        assert got[i].items_sha256 == hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+    clean = decontam.drop_contaminated(docs, bench, block_bytes=block_bytes)
+    assert set(by_id(clean)) == {i for i, r in got.items() if not r.contaminated}
+
+
+def test_licenses(docs):
+    got = by_id(licenses.digest(licenses.scan_licenses(docs)))
+    assert (got[10].n_base, got[10].first_word, got[10].last_word) == (3, 0, 7)
+    assert got[10].base_labels == "cc-by-nc,mit" and got[11].labels == "apache-2"
+    assert (got[0].n_words, got[0].n_base, got[0].first_word, got[0].labels) == (0, 0, None, "")
+    assert got[4].labels == "mit" and got[4].base_labels == ""
+    assert len(licenses.rules()) > 250
+
+
+def test_private(docs):
+    r = by_id(pii.digest(pii.find_private(docs)))
+    text = TEXTS[12]
+    assert (r[12].n_email, r[12].n_ip, r[12].n_card, r[12].n_phone) == (3, 1, 1, 1)
+    spans = [(m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    base = [f"email:{a}:{b}" for a, b in spans]
+    for kind, value in (("ip", "10.0.0.1"), ("card", "4111 1111 1111 1111"), ("phone", "+49 (30) 123-4567")):
+        base.append(f"{kind}:{text.index(value)}:{text.index(value) + len(value)}")
+    assert r[12].base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+    assert r[0].spans == "" and r[14].n_email == 0
+
+
+def test_revealing_terms(spark):
+    data = [(i, f"note {w} talk to albrecht at a@b.cd please") for i, w in enumerate(("ant", "bee", "cat", "dog"))]
+    data += [(i, f"please talk about note number {i}") for i in range(10, 60)]
+    found = pii.find_private(spark.createDataFrame(data, "doc_id bigint, text string"))
+    terms = {t["term"] for r in found.collect() for t in r.terms}
+    assert "albrecht" in terms and "please" not in terms
+    assert "a@b.cd" not in by_id(pii.sanitised(found))[0].text
+
+
+def test_tokens(docs, rows):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
+    manifest = token_frames.write_tokens(docs, queries.tokenizer_path(), shards=3)
+    got, start = by_id(token_frames.read_tokens(manifest)), 0
+    for i, t, *_ in rows:
+        ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]
+        raw = b"".join(x.to_bytes(4, "little") for x in ids)
+        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(ids), zlib.crc32(raw))
+        start += len(ids)
+    path = next(r.path for r in manifest.collect() if r.shard == 0)
+    reader = token_frames.ShardReader(path)
+    assert reader.find(reader.doc_id(0)) == [0]
+
+
+def test_mix(docs):
+    got = mixing.digest(docs).collect()
+    assert len(got) == len(TEXTS) and all(r.taken in (0, r.size, 2 * r.size) for r in got)
+    assert sum({r.source_size: r.target for r in got}.values()) == pytest.approx(1.5 * sum(r.size for r in got))
+    assert sorted(map(str, mixing.digest(docs).collect())) == sorted(map(str, got))
+    assert mixing.mixed(docs).count() == sum(r.copies for r in got)
+
+
+def test_languages(spark):
+    data = [(i, " ".join(w[(i * k) % 7] for k in range(1, 9)), lang)
+            for lang, w in (("aa", "tor zal mek pon rus dib vex".split()), ("bb", "ény ölu àqi ûsh îma éço tèw".split()))
+            for i in range(20 if lang == "aa" else 0, 20 if lang == "aa" else 40)]
+    docs = spark.createDataFrame([(*r, "x") for r in data] + [(90, None, "aa", "y"), (91, "12 !", None, "z")],
+                                 "doc_id bigint, text string, lang string, score string")
+    got = by_id(langid.predict_languages(docs))
+    assert all(got[i].lang_pred == lang for i, _, lang in data)
+    assert got[90].lang_pred == got[91].lang_pred == "und" and got[91].score == 0
+    assert sorted(by_id(langid.keep_identified(docs))) == [r[0] for r in data]
+
+
+def test_quotes(spark):
+    data = [("c", 0, "user", "Where is the red lamp now?"), ("c", 1, "bot", "> Where is the  red lamp, now?\nIn the hall of course."),
+            ("c", 2, "user", ">> where is the red lamp now\n> In the hall of course.\n\nThanks"), ("c", 3, None, None), (None, 0, "u", "> x")]
+    got = {(r.conv_id, r.turn): r for r in quotes.link_quotes(
+        spark.createDataFrame(data, "conv_id string, turn bigint, role string, text string")).collect()}
+    assert [(got["c", t].parent_turn, got["c", t].root_turn, got["c", t].depth) for t in range(4)] == [
+        (None, 0, 0), (0, 0, 1), (1, 0, 2), (None, 3, 0)]
+    assert got["c", 2].own_text == "Thanks" and got["c", 2].n_linked == 2
+
+
+def test_empty_tables(spark, none):
+    bench = spark.createDataFrame([], "item_id bigint, text string")
+    for df in (
+        exact_dedup.exact_dedup(none), jaccard.similar_documents(none), phrases.remove_repeats(none),
+        decontam.find_passages(none, bench), licenses.scan_licenses(none), pii.find_private(none),
+        token_frames.digest(none, queries.tokenizer_path()), mixing.digest(none), langid.predict_languages(none),
+    ):
+        assert df.count() == 0

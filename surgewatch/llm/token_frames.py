@@ -12,6 +12,9 @@ documents reads the table, the index and those documents' frames.
 
 from __future__ import annotations
 
+import os
+import re
+import string
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -35,6 +38,14 @@ END_ID = 2
 CACHE_WORDS = 1 << 20
 #: Longest word, in characters, that is remembered.
 CACHE_CHARS = 32
+#: Latin letters, without those that are not a letter any more when normalised or lower-cased.
+LETTERS = string.ascii_letters + "".join(
+    c for c in map(chr, range(0xC0, 0x149)) if c.isalpha() and len(c.lower()) == 1
+)
+WORD = re.compile(f"[{LETTERS}]+")
+#: Punctuation looked up apart from a word that ends in one of ``ENDS``: it joins with nothing before it.
+TAIL = ".,;:!?)]}\"%&$*#"
+ENDS = frozenset(LETTERS + string.digits)
 LEVEL = 3
 
 # Fixed values of the format.
@@ -46,41 +57,79 @@ NULL_ID = -(1 << 63)
 MANIFEST = "shard int, path string, documents bigint, ids bigint, bytes bigint"
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """A tokenizer file's content, loaded when first used, and remembered words.
 
     White space is dropped by this kind of tokenizer, so a text's ids are those
-    of its words between blanks, one after the other.
+    of its words between blanks, one after the other. A word that ends in a
+    letter or digit keeps its ids when punctuation follows it, so the two are
+    looked up apart. Words of ``LETTERS`` go to the tokenizer's model at once if
+    its first steps replace these letter by letter; all others take every step.
+    Ids are kept as little-endian unsigned 32-bit integers.
     """
 
     def __init__(self, content: str) -> None:
         self.content = content
         self.tokenizer = None
-        self.known: dict[str, list[int]] = {}
+        self.letters: dict[int, str] = {}
+        self.known: dict[str, bytes] = {}
 
     def __getstate__(self) -> dict:
-        return {"content": self.content, "tokenizer": None, "known": {}}
-
-    def encode(self, text: str) -> list[int]:
+        return {"content": self.content, "tokenizer": None, "letters": {}, "known": {}}
+
+    def _load(self) -> None:
+        # Spark runs a worker per core; threads of the tokenizer's own would only compete.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer = Tokenizer.from_str(self.content)
+        single = {c: self._pieces(c) for c in LETTERS}
+        together = ["".join(chain.from_iterable(single.values()))]
+        if all(len(x) == 1 for x in single.values()) and self._pieces(LETTERS) == together:
+            self.letters = {ord(c): x[0] for c, x in single.items()}
+
+    def _pieces(self, word: str) -> list[str]:
+        normal = self.tokenizer.normalizer.normalize_str(word) if self.tokenizer.normalizer else word
+        found = self.tokenizer.pre_tokenizer
+        return [piece for piece, _ in found.pre_tokenize_str(normal)] if found else [normal]
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of words not met before."""
+        known, other, tokenize = self.known, [], self.tokenizer.model.tokenize
+        for word in words:
+            if self.letters and WORD.fullmatch(word):
+                known[word] = _packed([token.id for token in tokenize(word.translate(self.letters))])
+            else:
+                other.append(word)
+        if other:
+            ids = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
+            known.update((word, _packed(one.ids)) for word, one in zip(other, ids, strict=True))
+
+    def encode(self, text: str) -> np.ndarray:
         if self.tokenizer is None:
-            self.tokenizer = Tokenizer.from_str(self.content)
-        known, ids = self.known, []
+            self._load()
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        known = self.known
         words = text.replace("\n", " ").replace("\t", " ").split(" ")
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        long = {}
+        new = set(words).difference(known)
         if new:
-            found = self.tokenizer.encode_batch(new, add_special_tokens=False)
-            if len(known) > CACHE_WORDS:
-                known.clear()
-                return self.encode(text)
-            for word, encoding in zip(new, found, strict=True):
-                (known if len(word) <= CACHE_CHARS else long)[word] = encoding.ids
-        if long:
-            for word in words:
-                ids.extend(known[word] if word in known else long[word])
-        else:
-            for word in words:
-                ids.extend(known[word])
+            whole, split = [], {}
+            for word in new:
+                core = word.rstrip(TAIL)
+                if len(core) < len(word) and core and core[-1] in ENDS:
+                    split[word] = core, word[len(core) :]
+                else:
+                    whole.append(word)
+            self._learn(list(set(chain(whole, *split.values())).difference(known)))
+            known.update((word, known[core] + known[tail]) for word, (core, tail) in split.items())
+        ids = np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
+        for word in new:
+            if len(word) > CACHE_CHARS:
+                del known[word]
+                known.pop(split[word][0] if word in split else None, None)
         return ids
 
 
@@ -200,9 +249,8 @@ def write_tokens(
         def rows() -> Iterator[tuple[int | None, np.ndarray]]:
             for frame in chain((first,), frames):
                 for doc_id, null, text in zip(frame["doc_id"], frame["_null"], frame["text"], strict=True):
-                    ids = shared.value.encode(text)
-                    ids.append(end_id)
-                    yield None if null else int(doc_id), np.array(ids, "<u4")
+                    ids = np.append(shared.value.encode(text), np.uint32(end_id))
+                    yield None if null else int(doc_id), ids
 
         files, name = fs.FileSystem.from_uri(folder)
         files.create_dir(name, recursive=True)

@@ -106,10 +106,9 @@ def places(text: Column, pattern: Column, measure=F.length) -> Column:
     """``start, end, value`` of each leftmost match, in order, by built-in functions.
 
     Offsets are sums of ``measure`` over the pieces between matches and the
-    matches: code points, or blanks to count words.
+    matches: code points, or blanks to count words. The text is searched once,
+    and split only if there are matches.
     """
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    pieces = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
     empty = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
 
     def step(state, x):
@@ -118,9 +117,20 @@ def places(text: Column, pattern: Column, measure=F.length) -> Column:
         one = F.struct(start.alias("start"), end.alias("end"), x["f"].alias("value"))
         return F.struct(end.alias("at"), F.array_append(state["out"], one).alias("out"))
 
-    steps = F.zip_with(pieces, found, lambda p, f: F.struct(p.alias("p"), f.alias("f")))
     start = F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("out"))
-    return F.aggregate(steps, start, step, lambda s: s["out"])
+
+    def located(found):
+        pieces = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        steps = F.zip_with(pieces, found, lambda p, f: F.struct(p.alias("p"), f.alias("f")))
+        placed = F.aggregate(steps, start, step, lambda s: s["out"])
+        return F.when(F.size(found) > 0, placed).otherwise(empty)
+
+    return once(F.regexp_extract_all(text, pattern, F.lit(0)), located)
+
+
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` refers to it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def word_count(text: Column) -> Column:

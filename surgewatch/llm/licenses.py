@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import string
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surgewatch.llm.common import places, spaces
+from surgewatch.llm.common import once, places, spaces
 
 # Characters between words, and the phrases counted in any case.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -112,17 +113,17 @@ WORDINGS = (
 )
 
 
-def rules() -> list[tuple[int, int, str, str, str]]:
-    """(priority, order, label, keyword, expression), the best priority first.
+def rules() -> list[tuple[int, int, str, str, str, str]]:
+    """(priority, order, label, keyword, name, expression), the best priority first.
 
     Wordings of licenses come first, then each way of stating each name.
     """
-    found = [(0, label, word, text) for label, word, text in WORDINGS]
+    found = [(0, label, word, "", text) for label, word, text in WORDINGS]
     for (rank, (word, shape)), (label, _, name) in product(enumerate(STATEMENTS), NAMES):
-        found.append((rank + 1, label, word, shape.replace("{name}", name)))
+        found.append((rank + 1, label, word, name, shape.replace("{name}", name)))
     return [
-        (priority, order, label, word, rf"(?i)(?<= )(?:{text})(?= )")
-        for order, (priority, label, word, text) in enumerate(found)
+        (priority, order, label, word, name, rf"(?<= )(?:{text})(?= )")
+        for order, (priority, label, word, name, text) in enumerate(found)
     ]
 
 
@@ -130,9 +131,9 @@ def _rule_array() -> Column:
     return F.array(*[
         F.struct(
             F.lit(priority).alias("priority"), F.lit(order).alias("order"), F.lit(label).alias("label"),
-            F.lit(word).alias("word"), F.lit(text).alias("text"),
+            F.lit(word).alias("word"), F.lit(name).alias("name"), F.lit(text).alias("text"),
         )
-        for priority, order, label, word, text in rules()
+        for priority, order, label, word, name, text in rules()
     ])
 
 
@@ -144,25 +145,38 @@ GATE = ("licen", "spdx", "hereby granted", "apache", "redistribution", "free sof
 DETECTION = "start:bigint,end:bigint,priority:int,order:int,label:string"
 
 
-def detections(normal: Column) -> Column:
-    """All matches of the rules whose keyword a text has, as word ranges."""
-    low = F.lower(normal)
+#: Any license's name; a text without one needs no rule that states a name.
+ANY_NAME = "(?<= )(?:" + "|".join(name for _, _, name in NAMES) + ")"
+
+
+def detections(low: Column) -> Column:
+    """All matches of the rules whose keyword and name a text has, as word ranges."""
 
     def of(rule):
         return F.transform(
-            places(normal, rule["text"], spaces),
+            places(low, rule["text"], spaces),
             lambda x: F.struct(
                 (x["start"] - 1).alias("start"), x["end"].alias("end"), rule["priority"].alias("priority"),
                 rule["order"].alias("order"), rule["label"].alias("label"),
             ),
         )
 
-    gated = F.filter(_rule_array(), lambda r: F.contains(low, r["word"]))
+    names = F.array(F.lit(""), *[F.lit(name) for _, _, name in NAMES])
+    named = F.when(
+        F.rlike(low, F.lit(ANY_NAME)), F.filter(names, lambda n: F.rlike(low, F.concat(F.lit("(?<= )(?:"), n, F.lit(")"))))
+    ).otherwise(F.array(F.lit("")))
+
+    def tried(present):
+        gated = F.filter(
+            _rule_array(), lambda r: F.contains(low, r["word"]) & F.array_contains(present, r["name"])
+        )
+        return F.flatten(F.transform(gated, of))
+
     passes = F.lit(False)
     for word in GATE:
         passes = passes | F.contains(low, F.lit(word))
     none = F.array().cast(f"array<struct<{DETECTION}>>")
-    return F.when(passes, F.flatten(F.transform(gated, of))).otherwise(none)
+    return F.when(passes, once(named, tried)).otherwise(none)
 
 
 def resolved(found: Column) -> Column:
@@ -207,16 +221,17 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     with only a base phrase has 0.5.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    words = F.trim(F.regexp_replace(text, SEPARATORS, " "))
+    upper, lower = string.ascii_uppercase, string.ascii_lowercase
+    words = F.trim(F.translate(F.regexp_replace(text, SEPARATORS, " "), upper, lower))
     normal = docs.select("doc_id", F.concat(F.lit(" "), words, F.lit(" ")).alias("normal"))
     found = normal.select(
         "doc_id",
         F.when(F.length("normal") <= 2, 0).otherwise(spaces(F.col("normal")) - 1).cast("bigint").alias("n_words"),
         *[
             F.when(
-                F.contains(F.lower("normal"), F.lit(phrase)),
+                F.contains("normal", F.lit(phrase)),
                 F.transform(
-                    places(F.col("normal"), F.lit(rf"(?i)(?<= ){phrase}(?= )"), spaces), lambda x: x["start"] - 1
+                    places(F.col("normal"), F.lit(rf"(?<= ){phrase}(?= )"), spaces), lambda x: x["start"] - 1
                 ),
             ).otherwise(F.array().cast("array<bigint>")).alias(f"base_{label}")
             for label, phrase in BASE

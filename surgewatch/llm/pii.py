@@ -139,7 +139,7 @@ def find_private(docs: DataFrame) -> DataFrame:
     removed, others generalised. Repeated rows give repeated results; an empty
     table gives none. No text takes more than linear time per expression.
     """
-    found = with_spans(docs)
+    found = saved(with_spans(docs), "spans")
     around = saved(contexts(found), "contexts")
     strong = saved(revealing(docs, around), "revealing")
     if small(strong, 200):

@@ -32,6 +32,7 @@ def temporal_join(
     max_rows: int = MAX_BROADCAST_ROWS,
     salts: int | None = None,
     delay: str = "0 seconds",
+    change_delay: str = "0 seconds",
 ) -> DataFrame:
     """Inner as-of join on ``url``: log columns, ``trigger_value``, ``dim_url``.
 
@@ -42,13 +43,13 @@ def temporal_join(
     shuffled; an error if they were measured to be too large for that),
     ``sorted`` (log and versions merged in time order) or ``auto``: broadcast
     if the versions are small enough, sorted otherwise.
-    Streams keep the versions in state instead; ``salts`` and ``delay`` belong
+    Streams keep the versions in state instead; ``salts`` and the delays belong
     to them (see ``streaming.temporal``).
     """
     if logs.isStreaming or changes.isStreaming:
         from surgewatch.streaming.temporal import temporal_join_stream
 
-        return temporal_join_stream(logs, changes, time_col, salts, delay)
+        return temporal_join_stream(logs, changes, time_col, salts, delay, change_delay)
     if strategy not in ("auto", "broadcast", "sorted"):
         raise ValueError(f"unknown strategy {strategy!r}")
     changes = changes.where("url is not null and proc_time is not null")

@@ -82,6 +82,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def default_salts(spark: SparkSession) -> int:
-    """Tasks among which a stream deals out the rows of one url."""
-    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+#: Tasks among which a stream deals out the rows of one url. State is kept by
+#: salt, so this does not depend on the session; jobs keep it beside their
+#: checkpoint (``streaming.jobs.run_temporal``).
+SALTS = 16

@@ -78,12 +78,25 @@ def pinned_start(
     """
     if StartPosition.of(position) is not StartPosition.LATEST:
         return None
+    return StartPosition.AT_TIMESTAMP, pinned(spark, datetime.now(timezone.utc).isoformat(), folder)
+
+
+def pinned(spark: SparkSession, value: str, folder: str) -> str:
+    """The value kept in ``folder``; the first call keeps ``value`` there.
+
+    A folder without a row, left by a start that was broken off, is filled.
+    """
     try:
-        begin = spark.read.schema("value string").text(folder).first()[0]
-    except AnalysisException:  # there is no such folder yet
-        begin = datetime.now(timezone.utc).isoformat()
-        spark.range(1).select(F.lit(begin).alias("value")).coalesce(1).write.text(folder)
-    return StartPosition.AT_TIMESTAMP, begin
+        kept = spark.read.schema("value string").text(folder).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        kept = None
+    if kept is not None:
+        return kept[0]
+    row = spark.range(1).select(F.lit(value).alias("value")).coalesce(1)
+    row.write.mode("append").text(folder)
+    return value
 
 
 def kafka_start(

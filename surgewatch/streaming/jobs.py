@@ -19,10 +19,10 @@ from surgewatch.params import (
     TemporalParams,
 )
 from surgewatch.plans import alerts
-from surgewatch.session import STREAM_CONF, default_salts, session_conf
+from surgewatch.session import SALTS, STREAM_CONF, session_conf
 from surgewatch.sources.dims import read_dim_changes, read_dim_jdbc
 from surgewatch.sources.logs import read_logs
-from surgewatch.sources.positions import StartPosition, pinned_start, start_at
+from surgewatch.sources.positions import StartPosition, pinned, pinned_start, start_at
 from surgewatch.streaming.heartbeat import clock, with_heartbeat
 from surgewatch.streaming.sinks import write_alerts
 from surgewatch.streaming.snapshot import SnapshotCache
@@ -175,7 +175,7 @@ def run_lookup(
     cache = SnapshotCache(dim, params.cache_ttl, params.cache_maxrows)
     cache.refresh()
     logs = with_watermark(_logs(spark, params, source, checkpoint, beats), delay=source.delay)
-    salts = None if cache.kept else default_salts(spark)
+    salts = None if cache.kept else SALTS
     rows = alerts.lookup_alerts(logs, dim, params.window_size, salts=salts)
     query = _start(rows, params, sink, checkpoint, name, write_options)
     cache.keep_fresh(query)
@@ -196,10 +196,19 @@ def run_temporal(
     **write_options: object,
 ) -> StreamingQuery:
     """Start the job with thresholds from a change stream; windows hop if the
-    parameters have a ``window_interval``."""
+    parameters have a ``window_interval``.
+
+    ``source.delay`` and ``dim.delay`` are how late either stream's times may
+    be. The number of salts is kept beside the checkpoint, since state belongs
+    to it; another number at a later start is an error. With event times and
+    no ``beats``, results wait until both streams have passed them.
+    """
+    kept = int(pinned(spark, str(salts or SALTS), f"{checkpoint}-salts"))
+    if salts not in (None, kept):
+        raise ValueError(f"this checkpoint was made with salts={kept}, not {salts}")
     logs = _logs(spark, params, source, checkpoint, beats)
     changes = _changes(spark, params, dim, checkpoint)
-    join = {"salts": salts, "delay": source.delay}
+    join = {"salts": kept, "delay": source.delay, "change_delay": dim.delay}
     if isinstance(params, HopTemporalParams):
         name = name or "hop-temporal-alerts"
         rows = alerts.hop_temporal_alerts(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,12 @@ ALERT_SCHEMA = """ip string, url string, times bigint, window_start timestamp_nt
     window_end timestamp_ntz"""
 
 
+def exactly(path: str) -> str:
+    """A file pattern that only this path matches."""
+    path = path.rstrip("/")
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path[:-1]) + f"[{path[-1]}]"
+
+
 def replay_alerts(
     spark: SparkSession,
     path: str,
@@ -43,8 +50,8 @@ def replay_alerts(
         stream = spark.readStream.schema(schema)
         if files_per_trigger:
             stream = stream.option("maxFilesPerTrigger", files_per_trigger)
-        # The pattern lets a single file stand where a folder is expected.
-        rows = stream.parquet(f"{path}*")
+        # A pattern, though of this one name, lets a file stand where a folder is expected.
+        rows = stream.parquet(exactly(path))
         beats = spark.readStream.schema("ts timestamp").parquet(f"{work}/clock")
         logs = to_logs(rows).withColumn("ts", F.col("ts").cast("timestamp"))
         alerts = job(with_heartbeat(logs, beats), rows)

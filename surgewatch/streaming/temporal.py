@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from surgewatch.session import default_salts
+from surgewatch.session import SALTS
 
 # The processor below travels with the query, so executors need no copy of
 # this package.
@@ -20,6 +20,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHANGE, LOG, CLOCK = 0, 1, 2
 
+#: Event time of changes behind their watermark: Spark must not drop a late one.
+NEVER_LATE = "2200-01-01"
+
 OUTPUT = "ip string, url string, {time} timestamp, hits bigint, trigger_value string, dim_url string"
 
 
@@ -28,7 +31,11 @@ class AsOf(StatefulProcessor):
 
     A log row is decided once the watermark has passed its time: no change
     that is valid at that time can arrive any more. So the result does not
-    depend on how the two streams interleave.
+    depend on how the two streams interleave. A change later than its stream's
+    delay still applies to all log rows not yet decided.
+
+    Thresholds that no undecided row can meet any more are dropped when the
+    watermark passes the changes after them, requests or not.
     """
 
     def __init__(self, time_col: str) -> None:
@@ -42,7 +49,7 @@ class AsOf(StatefulProcessor):
         self.waiting = handle.getListState("waiting", "at bigint, ip string, hits bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = None
+        first = last = None
         for batch in rows:
             changes = batch[batch["kind"] == CHANGE]
             if len(changes):
@@ -51,6 +58,8 @@ class AsOf(StatefulProcessor):
                 self.changes.appendList(
                     list(zip(changes["at"].tolist(), changes["seq"].tolist(), values.tolist()))
                 )
+                newest = int(changes["at"].max())
+                last = newest if last is None else max(last, newest)
             logs = batch[batch["kind"] == LOG]
             if len(logs):
                 hits = logs.groupby(["at", "ip"], dropna=False).size()
@@ -60,21 +69,21 @@ class AsOf(StatefulProcessor):
                 first = times[0] if first is None else min(first, times[0])
         if first is not None:
             self._wake_at(first)
+        if last is not None:
+            # One millisecond late: the watermark has then passed the change.
+            self.handle.registerTimer(last // 1000 + 1)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         limit = timerValues.getCurrentWatermarkInMs() * 1000
         waiting = list(self.waiting.get()) if self.waiting.exists() else []
         due = [row for row in waiting if row[0] <= limit]
-        if not due:
-            if waiting:
-                self._wake_at(min(row[0] for row in waiting))
-            return iter(())
         later = [row for row in waiting if row[0] > limit]
         if later:
-            self.waiting.put(later)
             self._wake_at(min(row[0] for row in later))
-        else:
+        if due and later:
+            self.waiting.put(later)
+        elif due:
             self.waiting.clear()
         known = sorted(
             self.changes.get() if self.changes.exists() else (),
@@ -87,6 +96,8 @@ class AsOf(StatefulProcessor):
         passed = int(np.searchsorted(starts, limit, side="right"))
         if passed > 1:
             self.changes.put([tuple(c) for c in known[passed - 1 :]])
+        if not due:
+            return iter(())
         at = np.array([row[0] for row in due], dtype=np.int64)
         current = np.searchsorted(starts, at, side="right") - 1
         hit = np.flatnonzero(current >= 0)
@@ -118,19 +129,26 @@ def temporal_join_stream(
     time_col: str = "ts",
     salts: int | None = None,
     delay: str = "0 seconds",
+    change_delay: str = "0 seconds",
 ) -> DataFrame:
     """``ip, url``, time, ``hits``, ``trigger_value, dim_url`` as a stream.
 
     ``hits`` is the number of equal log rows a row stands for. Both inputs
-    must be streams without a watermark; it is set here, on their union, with
-    ``delay``. State lives in RocksDB (``session.STREAM_CONF``).
-
-    A url's log rows are dealt out to ``salts`` keys (a quarter of the shuffle
-    partitions, at least eight, by default), and each key gets all changes of
-    the url, so that one popular url keeps many tasks busy.
+    must be streams without a watermark; each gets its own here, with ``delay``
+    and ``change_delay``. The smaller of the two counts (Spark's policy
+    ``min``), so neither stream makes the other one late, and a log row is
+    decided when both streams have passed it. Clock rows of the log
+    (``streaming.heartbeat``) stand for both streams; without them a stream
+    that is quiet holds results back until it has newer rows. State lives in
+    RocksDB (``session.STREAM_CONF``).
+
+    A url's log rows are dealt out to ``salts`` keys (``session.SALTS`` by
+    default), and each key gets all changes of the url, so that one popular
+    url keeps many tasks busy. State belongs to its salts: give a query the
+    same number at each start.
     """
     if salts is None:
-        salts = default_salts(logs.sparkSession)
+        salts = SALTS
     kind = F.when(F.col("hb"), CLOCK).otherwise(LOG) if "hb" in logs.columns else F.lit(LOG)
     # Seeded, so by position in the scan: equal when a lost task is run again.
     dealt = F.floor(F.rand(7) * salts).cast("int")
@@ -142,22 +160,41 @@ def temporal_join_stream(
         "ip",
         F.lit(None).cast("string").alias("trigger_value"),
         F.lit(0).cast("bigint").alias("seq"),
-    )
+    ).withWatermark(time_col, delay)
     known = changes.select(
         "url",
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
         F.col("proc_time").cast("timestamp").alias(time_col),
         F.lit(CHANGE).alias("kind"),
-        F.lit(None).cast("string").alias("ip"),
         F.col("trigger_value").cast("string").alias("trigger_value"),
         (F.coalesce("seq", F.lit(0)) if "seq" in changes.columns else F.lit(0))
         .cast("bigint")
         .alias("seq"),
     )
+    if "hb" in logs.columns:
+        beats = logs.where("hb").select(
+            "url",
+            F.col(time_col).cast("timestamp").alias(time_col),
+            F.lit(CLOCK).alias("kind"),
+            F.lit(None).cast("string").alias("trigger_value"),
+            F.lit(0).cast("bigint").alias("seq"),
+        )
+        known = known.unionByName(beats)
+    copies = F.when(F.col("kind") == CLOCK, F.array(F.lit(0))).otherwise(
+        F.sequence(F.lit(0), F.lit(salts - 1))
+    )
+    known = known.withWatermark(time_col, change_delay).select(
+        "url",
+        F.explode(copies).alias("salt"),
+        F.lit(NEVER_LATE).cast("timestamp").alias(time_col),
+        "kind",
+        F.lit(None).cast("string").alias("ip"),
+        "trigger_value",
+        "seq",
+        F.unix_micros(time_col).alias("at"),
+    )
     return (
-        rows.unionByName(known)
-        .withWatermark(time_col, delay)
-        .withColumn("at", F.unix_micros(time_col))
+        rows.withColumn("at", F.unix_micros(time_col))
+        .unionByName(known)
         .where("url is not null")
         .groupBy("url", "salt")
         .transformWithStateInPandas(

@@ -19,59 +19,60 @@ BASE = (
 )
 
 V = "(?:version |v )?"
-# License, word that must occur, expression for its name. Text is single words
-# with one blank between them: "2.0" is "2 0", "BY-NC" is "by nc".
+# License, words of which some must occur (| separates the choices), expression
+# for its name. Text is single words with one blank between them: "2.0" is
+# "2 0", "BY-NC" is "by nc".
 NAMES = (
-    ("mit", "mit", r"mit|expat"),
+    ("mit", "mit|expat", r"mit|expat"),
     ("apache-1.1", "apache", rf"apache(?: software)?(?: license| licence)? {V}1 1"),
     ("apache-2", "apache", rf"apache(?: software)?(?: license| licence)? {V}2(?: 0)?"),
     ("bsd-2-clause", "bsd", r"(?:2 clause|two clause|simplified|freebsd) bsd|bsd 2 clause"),
     ("bsd-3-clause", "bsd", r"(?:3 clause|three clause|new|modified|revised) bsd|bsd 3 clause"),
     ("bsd-4-clause", "bsd", r"(?:4 clause|four clause|original) bsd|bsd 4 clause"),
-    ("gpl-1", "g", rf"(?:gnu )?gpl {V}1(?: 0)?|gnu general public license {V}1(?: 0)?"),
-    ("gpl-2", "g", rf"(?:gnu )?gpl {V}2(?: 0)?|gnu general public license {V}2(?: 0)?"),
-    ("gpl-3", "g", rf"(?:gnu )?gpl {V}3(?: 0)?|gnu general public license {V}3(?: 0)?"),
-    ("lgpl-2", "l", rf"(?:gnu )?lgpl {V}2(?: 0)?|gnu (?:library|lesser) general public license {V}2(?: 0)?"),
-    ("lgpl-2.1", "l", rf"(?:gnu )?lgpl {V}2 1|gnu lesser general public license {V}2 1"),
-    ("lgpl-3", "l", rf"(?:gnu )?lgpl {V}3(?: 0)?|gnu lesser general public license {V}3(?: 0)?"),
-    ("agpl-3", "a", rf"(?:gnu )?agpl {V}3(?: 0)?|gnu affero general public license {V}3(?: 0)?"),
-    ("mpl-1.1", "m", rf"mpl {V}1 1|mozilla public license {V}1 1"),
-    ("mpl-2", "m", rf"mpl {V}2(?: 0)?|mozilla public license {V}2(?: 0)?"),
-    ("epl-1", "e", rf"epl {V}1(?: 0)?|eclipse public license {V}1(?: 0)?"),
-    ("epl-2", "e", rf"epl {V}2(?: 0)?|eclipse public license {V}2(?: 0)?"),
-    ("eupl-1.2", "e", rf"eupl {V}1 2|european union public licen[cs]e {V}1 2"),
-    ("cddl-1", "cd", rf"cddl {V}1(?: 0)?|common development and distribution license {V}1(?: 0)?"),
-    ("cpl-1", "c", rf"cpl {V}1(?: 0)?|common public license {V}1(?: 0)?"),
-    ("cc0", "c", rf"cc0(?: {V}1 0)?|cc 0|creative commons zero"),
-    ("cc-by", "by", r"cc by(?! (?:nc|nd|sa))(?: [1-4] [05])?|creative commons attribution(?! (?:non|no|share))(?: [1-4] [05])?"),
-    ("cc-by-sa", "sh|by sa", r"cc by sa(?: [1-4] [05])?|creative commons attribution share ?alike(?: [1-4] [05])?"),
-    ("cc-by-nd", "n", r"cc by nd(?: [1-4] [05])?|creative commons attribution no ?derivatives(?: [1-4] [05])?"),
-    ("cc-by-nc", "n", r"cc by nc(?! (?:nd|sa))(?: [1-4] [05])?|creative commons attribution non ?commercial(?! (?:no|share))(?: [1-4] [05])?"),
-    ("cc-by-nc-sa", "n", r"cc by nc sa(?: [1-4] [05])?|creative commons attribution non ?commercial share ?alike(?: [1-4] [05])?"),
-    ("cc-by-nc-nd", "n", r"cc by nc nd(?: [1-4] [05])?|creative commons attribution non ?commercial no ?derivatives(?: [1-4] [05])?"),
+    ("gpl-1", "gpl|gnu general", rf"(?:gnu )?gpl {V}1(?: 0)?|gnu general public license {V}1(?: 0)?"),
+    ("gpl-2", "gpl|gnu general", rf"(?:gnu )?gpl {V}2(?: 0)?|gnu general public license {V}2(?: 0)?"),
+    ("gpl-3", "gpl|gnu general", rf"(?:gnu )?gpl {V}3(?: 0)?|gnu general public license {V}3(?: 0)?"),
+    ("lgpl-2", "lgpl|gnu library|gnu lesser", rf"(?:gnu )?lgpl {V}2(?: 0)?|gnu (?:library|lesser) general public license {V}2(?: 0)?"),
+    ("lgpl-2.1", "lgpl|gnu lesser", rf"(?:gnu )?lgpl {V}2 1|gnu lesser general public license {V}2 1"),
+    ("lgpl-3", "lgpl|gnu lesser", rf"(?:gnu )?lgpl {V}3(?: 0)?|gnu lesser general public license {V}3(?: 0)?"),
+    ("agpl-3", "agpl|gnu affero", rf"(?:gnu )?agpl {V}3(?: 0)?|gnu affero general public license {V}3(?: 0)?"),
+    ("mpl-1.1", "mpl|mozilla public", rf"mpl {V}1 1|mozilla public license {V}1 1"),
+    ("mpl-2", "mpl|mozilla public", rf"mpl {V}2(?: 0)?|mozilla public license {V}2(?: 0)?"),
+    ("epl-1", "epl|eclipse public", rf"epl {V}1(?: 0)?|eclipse public license {V}1(?: 0)?"),
+    ("epl-2", "epl|eclipse public", rf"epl {V}2(?: 0)?|eclipse public license {V}2(?: 0)?"),
+    ("eupl-1.2", "eupl|european union public", rf"eupl {V}1 2|european union public licen[cs]e {V}1 2"),
+    ("cddl-1", "cddl|common development", rf"cddl {V}1(?: 0)?|common development and distribution license {V}1(?: 0)?"),
+    ("cpl-1", "cpl|common public", rf"cpl {V}1(?: 0)?|common public license {V}1(?: 0)?"),
+    ("cc0", "cc0|cc 0|creative commons zero", rf"cc0(?: {V}1 0)?|cc 0|creative commons zero"),
+    ("cc-by", "cc by|creative commons attribution", r"cc by(?! (?:nc|nd|sa))(?: [1-4] [05])?|creative commons attribution(?! (?:non|no|share))(?: [1-4] [05])?"),
+    ("cc-by-sa", "cc by sa|creative commons attribution", r"cc by sa(?: [1-4] [05])?|creative commons attribution share ?alike(?: [1-4] [05])?"),
+    ("cc-by-nd", "cc by nd|creative commons attribution", r"cc by nd(?: [1-4] [05])?|creative commons attribution no ?derivatives(?: [1-4] [05])?"),
+    ("cc-by-nc", "cc by nc|creative commons attribution", r"cc by nc(?! (?:nd|sa))(?: [1-4] [05])?|creative commons attribution non ?commercial(?! (?:no|share))(?: [1-4] [05])?"),
+    ("cc-by-nc-sa", "cc by nc sa|creative commons attribution", r"cc by nc sa(?: [1-4] [05])?|creative commons attribution non ?commercial share ?alike(?: [1-4] [05])?"),
+    ("cc-by-nc-nd", "cc by nc nd|creative commons attribution", r"cc by nc nd(?: [1-4] [05])?|creative commons attribution non ?commercial no ?derivatives(?: [1-4] [05])?"),
     ("isc", "isc", r"isc"),
     ("zlib", "zlib", r"zlib(?: libpng)?"),
     ("unlicense", "unlicense", r"unlicense"),
     ("wtfpl", "wtfpl", r"wtfpl"),
     ("artistic-1", "artistic", rf"artistic(?: license| licence)? {V}1(?: 0)?"),
     ("artistic-2", "artistic", rf"artistic(?: license| licence)? {V}2(?: 0)?"),
-    ("bsl-1", "b", rf"bsl {V}1 0|boost software(?: license| licence)?(?: {V}1(?: 0)?)?"),
-    ("ofl-1.1", "o", rf"ofl {V}1 1|(?:sil )?open font(?: license| licence)?(?: {V}1 1)?"),
+    ("bsl-1", "bsl|boost software", rf"bsl {V}1 0|boost software(?: license| licence)?(?: {V}1(?: 0)?)?"),
+    ("ofl-1.1", "ofl|open font", rf"ofl {V}1 1|(?:sil )?open font(?: license| licence)?(?: {V}1 1)?"),
     ("openssl", "openssl", r"openssl"),
     ("php-3.01", "php", rf"php(?: license| licence)? {V}3 0?1"),
     ("postgresql", "postgresql", r"postgresql"),
-    ("python-2", "p", rf"psf {V}2(?: 0)?|python software foundation(?: license| licence)?(?: {V}2(?: 0)?)?"),
+    ("python-2", "psf|python software foundation", rf"psf {V}2(?: 0)?|python software foundation(?: license| licence)?(?: {V}2(?: 0)?)?"),
     ("ruby", "ruby", r"ruby"),
-    ("ms-pl", "m", r"ms pl|microsoft public"),
-    ("ms-rl", "m", r"ms rl|microsoft reciprocal"),
-    ("ncsa", "n", r"ncsa|university of illinois ncsa open source"),
-    ("osl-3", "o", rf"osl {V}3(?: 0)?|open software license {V}3(?: 0)?"),
-    ("afl-3", "a", rf"afl {V}3(?: 0)?|academic free license {V}3(?: 0)?"),
-    ("odbl-1", "o", rf"odbl(?: {V}1(?: 0)?)?|open data ?base(?: license| licence)?(?: {V}1(?: 0)?)?"),
-    ("odc-by-1", "o", rf"odc by(?: {V}1(?: 0)?)?|open data commons attribution(?: license| licence)?"),
-    ("pddl-1", "p", rf"pddl(?: {V}1(?: 0)?)?|open data commons public domain dedication"),
-    ("gfdl-1.3", "f", rf"gfdl {V}1 3|gnu free documentation license {V}1 3"),
-    ("rail-m", "rail", r"(?:bigscience |creativeml )?open ?rail(?: m)?"),
+    ("ms-pl", "ms pl|microsoft public", r"ms pl|microsoft public"),
+    ("ms-rl", "ms rl|microsoft reciprocal", r"ms rl|microsoft reciprocal"),
+    ("ncsa", "ncsa|university of illinois", r"ncsa|university of illinois ncsa open source"),
+    ("osl-3", "osl|open software", rf"osl {V}3(?: 0)?|open software license {V}3(?: 0)?"),
+    ("afl-3", "afl|academic free", rf"afl {V}3(?: 0)?|academic free license {V}3(?: 0)?"),
+    ("odbl-1", "odbl|open data base|open database", rf"odbl(?: {V}1(?: 0)?)?|open data ?base(?: license| licence)?(?: {V}1(?: 0)?)?"),
+    ("odc-by-1", "odc by|open data commons", rf"odc by(?: {V}1(?: 0)?)?|open data commons attribution(?: license| licence)?"),
+    ("pddl-1", "pddl|open data commons", rf"pddl(?: {V}1(?: 0)?)?|open data commons public domain dedication"),
+    ("gfdl-1.3", "gfdl|gnu free documentation", rf"gfdl {V}1 3|gnu free documentation license {V}1 3"),
+    ("rail-m", "openrail|open rail|rail", r"(?:bigscience |creativeml )?open ?rail(?: m)?"),
 )
 
 # Ways to state a name, best first: word that must occur, expression.
@@ -145,12 +146,8 @@ GATE = ("licen", "spdx", "hereby granted", "apache", "redistribution", "free sof
 DETECTION = "start:bigint,end:bigint,priority:int,order:int,label:string"
 
 
-#: Any license's name; a text without one needs no rule that states a name.
-ANY_NAME = "(?<= )(?:" + "|".join(name for _, _, name in NAMES) + ")"
-
-
 def detections(low: Column) -> Column:
-    """All matches of the rules whose keyword and name a text has, as word ranges."""
+    """All matches of the rules whose keyword and words of a name a text has, as word ranges."""
 
     def of(rule):
         return F.transform(
@@ -161,14 +158,25 @@ def detections(low: Column) -> Column:
             ),
         )
 
-    names = F.array(F.lit(""), *[F.lit(name) for _, _, name in NAMES])
-    named = F.when(
-        F.rlike(low, F.lit(ANY_NAME)), F.filter(names, lambda n: F.rlike(low, F.concat(F.lit("(?<= )(?:"), n, F.lit(")"))))
-    ).otherwise(F.array(F.lit("")))
+    names = F.array(*[
+        F.struct(F.lit(name).alias("name"), F.array(*[
+            F.array(*[F.lit(word) for word in choice.split(" ")]) for choice in words.split("|")
+        ]).alias("choices"))
+        for _, words, name in NAMES
+    ])
+    key_words = sorted({word for _, words, _ in NAMES for word in words.replace("|", " ").split(" ")})
+
+    def named(known):
+        met = F.filter(names, lambda n: F.exists(
+            n["choices"], lambda words: F.forall(words, lambda w: F.array_contains(known, w))
+        ))
+        return F.concat(F.array(F.lit("")), F.transform(met, lambda n: n["name"]))
+
+    known = F.array_intersect(F.array(*[F.lit(w) for w in key_words]), F.split(low, " ", -1))
 
     def tried(present):
         gated = F.filter(
-            _rule_array(), lambda r: F.contains(low, r["word"]) & F.array_contains(present, r["name"])
+            _rule_array(), lambda r: F.array_contains(present, r["name"]) & F.contains(low, r["word"])
         )
         return F.flatten(F.transform(gated, of))
 
@@ -176,7 +184,7 @@ def detections(low: Column) -> Column:
     for word in GATE:
         passes = passes | F.contains(low, F.lit(word))
     none = F.array().cast(f"array<struct<{DETECTION}>>")
-    return F.when(passes, once(named, tried)).otherwise(none)
+    return F.when(passes, once(once(known, named), tried)).otherwise(none)
 
 
 def resolved(found: Column) -> Column:
@@ -222,8 +230,14 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     upper, lower = string.ascii_uppercase, string.ascii_lowercase
-    words = F.trim(F.translate(F.regexp_replace(text, SEPARATORS, " "), upper, lower))
-    normal = docs.select("doc_id", F.concat(F.lit(" "), words, F.lit(" ")).alias("normal"))
+    # In a text of ASCII alone both ways give the same letters.
+    folded = F.when(F.octet_length("text") == F.length("text"), F.lower("text")).otherwise(
+        F.translate(F.col("text"), upper, lower)
+    )
+    words = F.trim(F.regexp_replace(folded, SEPARATORS, " "))
+    normal = docs.select("doc_id", text.alias("text")).select(
+        "doc_id", F.concat(F.lit(" "), words, F.lit(" ")).alias("normal")
+    )
     found = normal.select(
         "doc_id",
         F.when(F.length("normal") <= 2, 0).otherwise(spaces(F.col("normal")) - 1).cast("bigint").alias("n_words"),

@@ -109,20 +109,19 @@ def revealing(docs: DataFrame, around: DataFrame) -> DataFrame:
     a term and n(c, t) contexts of the entity with the term, strength is
     log(n(c, t) N / n(c) n(t)) / log(N / n(c)), at most 1: the share of the
     entity's information that the term gives away. Copies of a context count
-    once. n(t) is counted over the whole texts of all documents, for terms in
-    at least ``SUPPORT`` contexts of some entity.
+    once. n(t) is counted over the whole texts of all documents. Only pairs of
+    at least ``SUPPORT`` contexts count.
     """
     distinct = around.select("entity", "context", "term").distinct()
     pairs = distinct.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both"))
     pairs = saved(pairs.where(F.col("both") >= SUPPORT), "pairs")
     entities = around.select("entity", "context").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("seen"))
-    terms = pairs.select("term").distinct()
-    if small(pairs, 200):
-        terms = F.broadcast(terms)
     words = docs.where(F.col("text").isNotNull()).select(
         F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(TERM), F.lit(0)))).alias("term")
     )
-    used = words.join(terms, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
+    # All terms are counted, so rows grow with the texts and not with the pairs;
+    # counts are partial before they are shuffled.
+    used = words.groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
     total = docs.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     joined = pairs.join(entities, "entity").join(used, "term")
     c, t = F.col("seen").cast("double"), F.col("docs").cast("double")

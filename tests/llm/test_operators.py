@@ -135,6 +135,15 @@ def test_licenses(docs):
     assert len(licenses.rules()) > 250
 
 
+def test_every_name_has_one_of_its_words():
+    for label, words, name in licenses.NAMES:
+        choices = [c.split(" ") for c in words.split("|")]
+        # What is left of the expression without a choice's words must not be a name by itself.
+        for branch in re.split(r"\|(?![^(]*\))", name):
+            found = set(re.findall(r"[a-z0-9]+", branch))
+            assert any(set(c) <= found for c in choices), (label, branch)
+
+
 def test_private(docs):
     r = by_id(pii.digest(pii.find_private(docs)))
     text = TEXTS[12]

@@ -23,8 +23,6 @@ BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2}|)"
 #: Words on each side of an entity that count as its context, in at most so many characters.
 CONTEXT_WORDS = 5
 CONTEXT_CHARS = 120
-#: Different contexts of an entity in which a term must stand.
-SUPPORT = 3
 #: Share of an entity's information that a term must reveal to be generalised, and removed.
 GENERALISE, REMOVE = 0.6, 0.85
 #: Bytes of a table that is broadcast; larger ones are joined by shuffling.
@@ -64,16 +62,22 @@ def with_spans(docs: DataFrame) -> DataFrame:
     )
 
 
+def named_spans() -> Column:
+    """``start, end, put, entity`` of the spans of all kinds; ``put`` is what replaces them."""
+
+    def of(kind):
+        # A further parameter of the lambda would be taken as the index.
+        return F.transform(F.col(kind), lambda x: F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), F.lit(f"<{kind}>").alias("put"),
+            F.concat(F.lit(f"{kind}:"), F.lower(x["value"])).alias("entity"),
+        ))
+
+    return F.concat(*map(of, KINDS))
+
+
 def contexts(found: DataFrame) -> DataFrame:
-    """A row per text, entity occurrence and term beside it: ``_key, entity, context, term, start, end``."""
-    entities = F.concat(*[
-        F.transform(F.col(kind), lambda x, k=kind: F.struct(
-            x["start"].alias("start"), x["end"].alias("end"),
-            F.concat(F.lit(f"{k}:"), F.lower(x["value"])).alias("entity"),
-        ))
-        for kind in KINDS
-    ])
-    places_ = found.select("_key", "text", F.explode(entities).alias("e"))
+    """A row per text, entity occurrence and term beside it: ``_key, entity, term, start, end``."""
+    places_ = found.select("_key", "text", F.explode(named_spans()).alias("e"))
     begin = F.greatest(F.col("e.start") - CONTEXT_CHARS, F.lit(0))
     sides = places_.select(
         "_key", "e.entity", begin.alias("left_at"), F.col("e.end").alias("right_at"),
@@ -92,9 +96,8 @@ def contexts(found: DataFrame) -> DataFrame:
     terms = F.concat(at(left, F.col("left_at")), at(right, F.col("right_at")))
     around = sides.select("_key", "entity", terms.alias("terms"))
     return around.select(
-        "_key", "entity", F.xxhash64(F.transform("terms", lambda t: t["term"])).alias("context"),
-        F.explode("terms").alias("t"),
-    ).select("_key", "entity", "context", "t.*")
+        "_key", "entity", F.explode("terms").alias("t"),
+    ).select("_key", "entity", "t.*")
 
 
 def small(df: DataFrame, row_bytes: int) -> bool:
@@ -102,27 +105,27 @@ def small(df: DataFrame, row_bytes: int) -> bool:
     return df.limit(BROADCAST_BYTES // row_bytes + 1).count() <= BROADCAST_BYTES // row_bytes
 
 
-def revealing(docs: DataFrame, around: DataFrame) -> DataFrame:
+def revealing(found: DataFrame, around: DataFrame) -> DataFrame:
     """``entity, term, strength``: terms that reveal an entity's presence.
 
-    With N documents, n(c) different contexts of an entity, n(t) documents with
-    a term and n(c, t) contexts of the entity with the term, strength is
-    log(n(c, t) N / n(c) n(t)) / log(N / n(c)), at most 1: the share of the
-    entity's information that the term gives away. Copies of a context count
-    once. n(t) is counted over the whole texts of all documents. Only pairs of
-    at least ``SUPPORT`` contexts count.
+    With N documents, n(c) with an entity, n(t) with a term and n(c, t) with the
+    entity beside the term, strength is log(n(c, t) N / n(c) n(t)) / log(N / n(c)),
+    at most 1: the share of the entity's information that the term gives away.
+    All four are numbers of documents, copies included, whatever words stand
+    beside. No number of documents is asked for: an entity seen once is
+    revealed by each term of a few documents.
     """
-    distinct = around.select("entity", "context", "term").distinct()
-    pairs = distinct.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both"))
-    pairs = saved(pairs.where(F.col("both") >= SUPPORT), "pairs")
-    entities = around.select("entity", "context").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("seen"))
-    words = docs.where(F.col("text").isNotNull()).select(
-        F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(TERM), F.lit(0)))).alias("term")
+    copies = found.groupBy("_key").agg(F.count(F.lit(1)).alias("copies"))
+    pairs = around.select("_key", "entity", "term").distinct().join(copies, "_key").groupBy("entity", "term").agg(
+        F.sum("copies").alias("both")
     )
+    named = F.array_distinct(F.transform(named_spans(), lambda x: x["entity"]))
+    entities = found.select(F.explode(named).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("seen"))
+    words = found.select(F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower))).alias("term"))
     # All terms are counted, so rows grow with the texts and not with the pairs;
     # counts are partial before they are shuffled.
     used = words.groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
-    total = docs.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    total = found.count()
     joined = pairs.join(entities, "entity").join(used, "term")
     c, t = F.col("seen").cast("double"), F.col("docs").cast("double")
     shared = F.log(F.col("both") * F.lit(float(total)) / (c * t))
@@ -140,7 +143,7 @@ def find_private(docs: DataFrame) -> DataFrame:
     """
     found = saved(with_spans(docs), "spans")
     around = saved(contexts(found), "contexts")
-    strong = saved(revealing(docs, around), "revealing")
+    strong = saved(revealing(found, around), "revealing")
     if small(strong, 200):
         told = around.join(F.broadcast(strong), ["entity", "term"])
     else:
@@ -166,12 +169,7 @@ def sanitised(found: DataFrame) -> DataFrame:
     generalised to ``<term>`` or removed; of overlapping spans the first counts.
     """
     marks = F.array_sort(F.concat(
-        *[
-            F.transform(F.col(kind), lambda x, k=kind: F.struct(
-                x["start"].alias("start"), x["end"].alias("end"), F.lit(f"<{k}>").alias("put"),
-            ))
-            for kind in KINDS
-        ],
+        F.transform(named_spans(), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["put"].alias("put"))),
         F.transform("terms", lambda x: F.struct(
             x["start"].alias("start"), x["end"].alias("end"),
             F.when(x["strength"] >= REMOVE, F.lit("")).otherwise(F.lit("<term>")).alias("put"),

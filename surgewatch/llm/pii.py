@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surgewatch.llm.common import places, salted_join, saved
@@ -20,15 +20,10 @@ KINDS = {
 }
 BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2}|)"
 
-#: Words on each side of an entity that count as its context, in at most so many characters.
-CONTEXT_WORDS = 5
-CONTEXT_CHARS = 120
 #: Share of an entity's information that a term must reveal to be generalised, and removed.
 GENERALISE, REMOVE = 0.6, 0.85
-#: Bytes of a table that is broadcast; larger ones are joined by shuffling.
-BROADCAST_BYTES = 8 << 20
 
-TERM = r"(?<![\p{L}\p{N}])\p{L}{3,40}(?![\p{L}\p{N}])"
+TERM = r"[\p{L}\p{M}\p{N}]++"
 NONE = "array<struct<start:bigint,end:bigint,value:string>>"
 
 
@@ -75,112 +70,125 @@ def named_spans() -> Column:
     return F.concat(*map(of, KINDS))
 
 
-def contexts(found: DataFrame) -> DataFrame:
-    """A row per text, entity occurrence and term beside it: ``_key, entity, term, start, end``."""
-    places_ = found.select("_key", "text", F.explode(named_spans()).alias("e"))
-    begin = F.greatest(F.col("e.start") - CONTEXT_CHARS, F.lit(0))
-    sides = places_.select(
-        "_key", "e.entity", begin.alias("left_at"), F.col("e.end").alias("right_at"),
-        F.substring(F.col("text"), (begin + 1).cast("int"), (F.col("e.start") - begin).cast("int")).alias("left"),
-        F.substring(F.col("text"), (F.col("e.end") + 1).cast("int"), F.lit(CONTEXT_CHARS)).alias("right"),
-    ).dropDuplicates(["_key", "entity", "right_at"])
-
-    def at(words, offset):
-        return F.transform(words, lambda w: F.struct(
-            (w["start"] + offset).alias("start"), (w["end"] + offset).alias("end"), F.lower(w["value"]).alias("term"),
-        ))
+def holders(found: DataFrame) -> DataFrame:
+    """The distinct texts with an entity: ``_key, copies, text`` and ``spans``."""
+    spans = named_spans()
+    return found.where(F.size(spans) > 0).groupBy("_key").agg(
+        F.count(F.lit(1)).alias("copies"), F.first("text").alias("text"), F.first(spans).alias("spans")
+    )
 
-    left, right = places(F.col("left"), F.lit(TERM)), places(F.col("right"), F.lit(TERM))
-    left = F.slice(left, F.greatest(F.size(left) - CONTEXT_WORDS + 1, F.lit(1)), CONTEXT_WORDS)
-    right = F.slice(right, 1, CONTEXT_WORDS)
-    terms = F.concat(at(left, F.col("left_at")), at(right, F.col("right_at")))
-    around = sides.select("_key", "entity", terms.alias("terms"))
-    return around.select(
-        "_key", "entity", F.explode("terms").alias("t"),
-    ).select("_key", "entity", "t.*")
 
+def _terms(text: str) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda w: F.lower(w)))
 
-def small(df: DataFrame, row_bytes: int) -> bool:
-    """Whether a saved table of rows of at most so many bytes may be broadcast."""
-    return df.limit(BROADCAST_BYTES // row_bytes + 1).count() <= BROADCAST_BYTES // row_bytes
 
+def revealing(found: DataFrame, held: DataFrame) -> DataFrame:
+    """``_key, term, strength``: terms of a text that reveal one of its entities.
 
-def revealing(found: DataFrame, around: DataFrame) -> DataFrame:
-    """``entity, term, strength``: terms that reveal an entity's presence.
+    With N documents, n(c) with an entity, n(t) with a term and n(c, t) with
+    both, wherever they stand, strength is log(n(c, t) N / n(c) n(t)) /
+    log(N / n(c)), at most 1: the share of the entity's information that the
+    term gives away. All four are numbers of documents, copies included. No
+    number of documents is asked for: an entity seen once is revealed by each
+    term of a few documents. Of several entities in a text the strongest counts.
 
-    With N documents, n(c) with an entity, n(t) with a term and n(c, t) with the
-    entity beside the term, strength is log(n(c, t) N / n(c) n(t)) / log(N / n(c)),
-    at most 1: the share of the entity's information that the term gives away.
-    All four are numbers of documents, copies included, whatever words stand
-    beside. No number of documents is asked for: an entity seen once is
-    revealed by each term of a few documents.
+    Entities of the same texts have the same counts, so they are one group and
+    a list of addresses is no list of pairs. Since n(c, t) is at most n(c), a
+    pair reaches the least strength s only if n(t) is at most n(c)^s N^(1-s);
+    others are not made.
     """
-    copies = found.groupBy("_key").agg(F.count(F.lit(1)).alias("copies"))
-    pairs = around.select("_key", "entity", "term").distinct().join(copies, "_key").groupBy("entity", "term").agg(
-        F.sum("copies").alias("both")
-    )
-    named = F.array_distinct(F.transform(named_spans(), lambda x: x["entity"]))
-    entities = found.select(F.explode(named).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("seen"))
-    words = found.select(F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower))).alias("term"))
+    total = found.count()
+    names = F.array_distinct(F.transform("spans", lambda x: x["entity"]))
+    entities = saved(held.select("_key", "copies", F.explode(names).alias("entity")), "entities")
+    groups = entities.groupBy("entity").agg(
+        F.sum("copies").alias("seen"), F.count(F.lit(1)).alias("texts"),
+        F.bit_xor(F.xxhash64("_key")).alias("x"), F.bit_xor(F.xxhash64(F.lit("texts"), F.col("_key"))).alias("y"),
+    ).select("entity", "seen", F.md5(F.concat_ws(",", "seen", "texts", "x", "y")).alias("group"))
+    sets = salted_join(entities, saved(groups, "groups"), ["entity"]).select("_key", "copies", "group", "seen").distinct()
     # All terms are counted, so rows grow with the texts and not with the pairs;
     # counts are partial before they are shuffled.
-    used = words.groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
-    total = found.count()
-    joined = pairs.join(entities, "entity").join(used, "term")
+    used = found.select(F.explode(_terms("text")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
+    terms = salted_join(saved(held.select("_key", F.explode(_terms("text")).alias("term")), "terms"), used, ["term"])
+    most = F.pow(F.col("seen"), F.lit(GENERALISE)) * F.pow(F.lit(float(total)), F.lit(1 - GENERALISE))
+    pairs = terms.join(sets, "_key").where(F.col("docs") <= most * 1.000001)
+    pairs = saved(pairs.select("_key", "copies", "group", "seen", "term", "docs"), "pairs")
+    counts = pairs.groupBy("group", "term").agg(
+        F.sum("copies").alias("both"), F.max("seen").alias("seen"), F.max("docs").alias("docs")
+    )
     c, t = F.col("seen").cast("double"), F.col("docs").cast("double")
     shared = F.log(F.col("both") * F.lit(float(total)) / (c * t))
     strength = F.when(c >= total, F.lit(0.0)).otherwise(F.least(shared / F.log(total / c), F.lit(1.0)))
-    return joined.select("entity", "term", strength.alias("strength")).where(F.col("strength") >= GENERALISE)
+    strong = saved(
+        counts.select("group", "term", strength.alias("strength")).where(F.col("strength") >= GENERALISE), "revealing"
+    )
+    told = salted_join(pairs.select("_key", "group", "term"), strong, ["group", "term"])
+    return told.groupBy("_key", "term").agg(F.max("strength").alias("strength"))
+
+
+def marked(held: DataFrame, told: DataFrame) -> DataFrame:
+    """``_key`` and ``terms``: every place of a text's revealing terms, but those inside entities."""
+    text = F.col("text")
+    found = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    words = F.zip_with(F.split(text, F.lit(TERM), -1), found, lambda p, f: F.struct(
+        F.length(p).alias("gap"), f.alias("word"),
+    ))
+    words = held.select("_key", F.posexplode(F.slice(words, F.lit(1), F.size(found))).alias("at", "w"))
+    # Sums over a text's words, not an array grown word by word: its time is linear.
+    before = Window.partitionBy("_key").orderBy("at")
+    end = F.sum((F.col("w.gap") + F.length("w.word")).cast("bigint")).over(before)
+    words = words.select(
+        "_key", (end - F.length("w.word")).alias("start"), end.alias("end"), F.lower("w.word").alias("term")
+    )
+    words = words.join(told, ["_key", "term"]).select("_key", "start", "end", "term", "strength")
+    spans = held.select("_key", F.explode("spans").alias("s")).select(
+        "_key", "s.start", "s.end", F.lit(None).cast("string").alias("term"), F.lit(None).cast("double").alias("strength")
+    )
+    covered = F.max(F.when(F.col("term").isNull(), F.col("end"))).over(
+        Window.partitionBy("_key").orderBy("start", F.col("term").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    free = words.unionByName(spans).withColumn("covered", F.coalesce(covered, F.lit(0)))
+    return free.where(F.col("term").isNotNull() & (F.col("end") > F.col("covered"))).groupBy("_key").agg(
+        F.array_sort(F.collect_list(F.struct("start", "end", "term", "strength"))).alias("terms")
+    )
 
 
 def find_private(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` (null is empty), spans per kind, and ``terms`` with their strength.
 
-    Base spans depend on the text only. ``terms`` are words beside an entity
-    that reveal it (:func:`revealing`); those from strength 0.85 are to be
-    removed, others generalised. Repeated rows give repeated results; an empty
-    table gives none. No text takes more than linear time per expression.
+    Base spans depend on the text only. ``terms`` are all words of a text that
+    reveal an entity of it (:func:`revealing`), wherever they stand; those from
+    strength 0.85 are to be removed, others generalised. A word is a run of
+    letters, marks and digits of any length, also where a script has no blanks.
+    Repeated rows give repeated results; an empty table gives none.
     """
     found = saved(with_spans(docs), "spans")
-    around = saved(contexts(found), "contexts")
-    strong = saved(revealing(found, around), "revealing")
-    if small(strong, 200):
-        told = around.join(F.broadcast(strong), ["entity", "term"])
-    else:
-        told = salted_join(around, strong, ["entity", "term"])
-    spans = told.groupBy("_key", "start", "end", "term").agg(F.max("strength").alias("strength")).groupBy("_key").agg(
-        F.array_sort(F.collect_list(F.struct("start", "end", "term", "strength"))).alias("terms")
-    )
-    return _joined(found, spans)
-
-
-def _joined(found: DataFrame, spans: DataFrame) -> DataFrame:
-    """Rows with their text's terms. One text may be a third of the rows, so keys are dealt out."""
+    held = saved(holders(found), "holders")
+    terms = saved(marked(held, saved(revealing(found, held), "told")), "marked")
+    # Rows with an entity are joined, one text may be many of them; others pass.
+    with_any = F.size(named_spans()) > 0
     none = F.array().cast("array<struct<start:bigint,end:bigint,term:string,strength:double>>")
-    if small(spans, 20_000):
-        joined = found.join(F.broadcast(spans), "_key", "left")
-    else:
-        joined = salted_join(found, spans, ["_key"], "left")
-    return joined.withColumn("terms", F.coalesce("terms", none)).drop("_key")
+    joined = salted_join(found.where(with_any), terms, ["_key"], "left").withColumn("terms", F.coalesce("terms", none))
+    return joined.unionByName(found.where(~with_any).withColumn("terms", none)).drop("_key")
 
 
 def sanitised(found: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` with entities replaced by their kind and revealing terms
-    generalised to ``<term>`` or removed; of overlapping spans the first counts.
+    generalised to ``<term>`` or removed; spans that overlap are replaced as one, by the first.
     """
     marks = F.array_sort(F.concat(
-        F.transform(named_spans(), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["put"].alias("put"))),
+        F.transform(named_spans(), lambda x: F.struct(
+            x["start"].alias("start"), F.lit(0).alias("rank"), x["end"].alias("end"), x["put"].alias("put"),
+        )),
         F.transform("terms", lambda x: F.struct(
-            x["start"].alias("start"), x["end"].alias("end"),
+            x["start"].alias("start"), F.lit(1).alias("rank"), x["end"].alias("end"),
             F.when(x["strength"] >= REMOVE, F.lit("")).otherwise(F.lit("<term>")).alias("put"),
         )),
     ))
 
     def step(state, x):
         kept = F.substring(F.col("text"), (state["at"] + 1).cast("int"), (x["start"] - state["at"]).cast("int"))
-        return F.when(x["start"] < state["at"], state).otherwise(
-            F.struct(x["end"].alias("at"), F.concat(state["out"], kept, x["put"]).alias("out"))
-        )
+        more = F.when(x["start"] < state["at"], state["out"]).otherwise(F.concat(state["out"], kept, x["put"]))
+        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), more.alias("out"))
 
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
     rest = F.length("text").cast("int")

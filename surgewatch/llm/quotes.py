@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from surgewatch.llm.common import salted_join, saved
 
-#: Normalised characters below which a passage is too common to link by.
-LEAST_CHARS = 12
-
+#: Ends of sentences: marks followed by a blank, and full-width marks.
+SENTENCE = r"(?<=[.!?])\s+|(?<=[。！？])"
 LEVEL = r"^(?:[ \t]*>)*"
 
 
@@ -62,22 +61,20 @@ def link_quotes(messages: DataFrame) -> DataFrame:
 
     Lines with leading ``>`` are quotes, as deep as they have of them.
     Consecutive lines of one depth are a passage. A quoted passage is linked to
-    the earliest earlier message of the conversation that has a passage of the
-    same words among its own; of 12 characters at least. The parent of a message
-    is the latest message that its outermost linked quotes come from; without
-    one a message starts a thread. Threads follow parents up to their root.
+    the earliest earlier message of the conversation that has the same words, of
+    any number, among its own as a passage; if none has, as lines or sentences
+    of one (:func:`parts`). A passage that is no part itself is linked by its
+    own lines and sentences, to the message that has the most of them, the
+    earliest of several. The parent of a message is the latest message that its
+    outermost linked quotes come from; without one a message starts a thread.
+    Threads follow parents up to their root.
 
     ``own_text`` has no quotes. A null text is empty; a message with a null
     conv_id or turn is kept and links to nothing; repeated rows give repeated
     results; the order within equal turns does not matter.
     """
     found = saved(parsed(messages), "parsed")
-    rows = found.select("conv_id", "turn", F.explode("passages").alias("p")).select(
-        "conv_id", "turn", "p.level", _normal(F.col("p.text")).alias("words")
-    ).where(F.length("words") >= LEAST_CHARS).withColumn("hash", F.sha2("words", 256))
-    originals = rows.where("level = 0").groupBy("conv_id", "hash").agg(F.min("turn").alias("source"))
-    quoted = rows.where("level > 0").select("conv_id", "hash", "turn", "level").distinct()
-    links = salted_join(quoted, originals, ["conv_id", "hash"]).where("source < turn")
+    links = saved(_links(found), "links")
     outer = links.groupBy("conv_id", "turn").agg(
         F.min(F.struct(F.col("level"), (-F.col("source")).alias("back"))).alias("m"),
         F.countDistinct("hash").alias("n_linked"),
@@ -102,6 +99,52 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     )
 
 
+def _hash(words: Column) -> Column:
+    return F.unhex(F.substring(F.sha2(words, 256), 1, 32))
+
+
+def parts(text: Column) -> Column:
+    """The distinct lines and sentences of a passage, normalised; none without words."""
+    lines = F.split(text, "\n", -1)
+    sentences = F.split(F.replace(text, F.lit("\n"), F.lit(" ")), SENTENCE, -1)
+    in_lines = F.flatten(F.transform(lines, lambda x: F.split(x, SENTENCE, -1)))
+    return F.filter(F.array_distinct(F.transform(F.concat(lines, sentences, in_lines), _normal)), lambda x: x != "")
+
+
+def _links(found: DataFrame) -> DataFrame:
+    """``conv_id, turn, level, hash, source`` of the linked quotes; ``hash`` is the whole quote's.
+
+    Each hash of a conversation has one source for each way it stands in a
+    message, so a quote has at most as many candidates as lines and sentences.
+    """
+    rows = found.select("conv_id", "turn", F.explode("passages").alias("p")).select(
+        "conv_id", "turn", "p.level", _hash(_normal(F.col("p.text"))).alias("hash"),
+        _normal(F.col("p.text")).alias("words"), parts(F.col("p.text")).alias("parts"),
+    ).where("words <> ''")
+    own = rows.where("level = 0")
+    whole = own.select("conv_id", F.col("hash").alias("part"), "turn", F.lit(True).alias("whole")).unionAll(
+        own.select("conv_id", F.explode(F.transform("parts", _hash)), "turn", F.lit(False))
+    )
+    originals = whole.groupBy("conv_id", "part").agg(
+        F.min(F.when(F.col("whole"), F.col("turn"))).alias("as_whole"), F.min("turn").alias("as_part")
+    )
+    quoted = rows.where("level > 0").select("conv_id", "turn", "level", "hash", F.transform("parts", _hash).alias("parts"))
+    quoted = saved(quoted.distinct(), "quoted")
+    pieces = F.array_distinct(F.concat(F.array("hash"), F.col("parts")))
+    pieces = quoted.select("conv_id", "turn", "level", "hash", F.explode(pieces).alias("part"))
+    met = salted_join(pieces, originals, ["conv_id", "part"]).where("as_part < turn")
+    # The whole quote as a passage, else as a part of one, else the most of its parts.
+    met = met.select(
+        "conv_id", "turn", "level", "hash",
+        F.when(F.col("part") != F.col("hash"), 2).when(F.col("as_whole") < F.col("turn"), 0).otherwise(1).alias("way"),
+        F.when((F.col("part") == F.col("hash")) & (F.col("as_whole") < F.col("turn")), F.col("as_whole"))
+        .otherwise(F.col("as_part")).alias("source"),
+    )
+    votes = met.groupBy("conv_id", "turn", "level", "hash", "way", "source").agg((-F.count(F.lit(1))).alias("votes"))
+    best = votes.groupBy("conv_id", "turn", "level", "hash").agg(F.min(F.struct("way", "votes", "source")).alias("b"))
+    return best.select("conv_id", "turn", "level", "hash", "b.source")
+
+
 def _rooted(parents: DataFrame) -> DataFrame:
     """``root_turn, depth`` of messages with a parent, doubling the distance each round.
 

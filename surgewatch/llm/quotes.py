@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surgewatch.llm.common import salted_join, saved
@@ -57,7 +57,7 @@ def parsed(messages: DataFrame) -> DataFrame:
 
 def link_quotes(messages: DataFrame) -> DataFrame:
     """``conv_id, turn, role``, ``own_text``, ``n_quotes, n_linked``, ``parent_turn``,
-    ``root_turn`` and ``depth`` per message.
+    ``root_turn``, ``depth`` and ``position`` per message.
 
     Lines with leading ``>`` are quotes, as deep as they have of them.
     Consecutive lines of one depth are a passage. A quoted passage is linked to
@@ -67,7 +67,9 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     own lines and sentences, to the message that has the most of them, the
     earliest of several. The parent of a message is the latest message that its
     outermost linked quotes come from; without one a message starts a thread.
-    Threads follow parents up to their root.
+    Threads follow parents up to their root. ``position`` is the place of a turn
+    in its thread, from 0, each reply and what answers it standing after the
+    message it answers, replies to one message by turn.
 
     ``own_text`` has no quotes. A null text is empty; a message with a null
     conv_id or turn is kept and links to nothing; repeated rows give repeated
@@ -82,8 +84,9 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     parents = saved(
         outer.select("conv_id", "turn", (-F.col("m.back")).alias("parent_turn"), "n_linked"), "parents"
     )
-    roots = _rooted(parents)
-    keyed = parents.join(roots, ["conv_id", "turn"])
+    roots = saved(_rooted(parents), "roots")
+    placed = _positions(parents, roots)
+    keyed = parents.join(roots.drop("size"), ["conv_id", "turn"]).join(placed, ["conv_id", "turn"])
     own = F.filter("passages", lambda p: p["level"] == 0)
     base = found.select(
         "conv_id", "turn", "role",
@@ -96,6 +99,7 @@ def link_quotes(messages: DataFrame) -> DataFrame:
         F.coalesce("n_linked", F.lit(0)).cast("bigint").alias("n_linked"), "parent_turn",
         F.coalesce("root_turn", "turn").alias("root_turn"),
         F.coalesce("depth", F.lit(0)).cast("bigint").alias("depth"),
+        F.coalesce("position", F.lit(0)).cast("bigint").alias("position"),
     )
 
 
@@ -146,30 +150,72 @@ def _links(found: DataFrame) -> DataFrame:
 
 
 def _rooted(parents: DataFrame) -> DataFrame:
-    """``root_turn, depth`` of messages with a parent, doubling the distance each round.
+    """``root_turn, depth, size`` of messages with a parent, doubling the distance each round.
 
-    A parent has a smaller turn, so there are no cycles.
+    A parent has a smaller turn, so there are no cycles. ``size`` is the number
+    of turns from a message on downwards: those nearer than the distance, and of
+    messages at just that distance below it, theirs.
     """
-    ahead = parents.select("conv_id", "turn", F.col("parent_turn").alias("up"), F.lit(1).cast("bigint").alias("depth"))
+    ahead = parents.select(
+        "conv_id", "turn", F.col("parent_turn").alias("up"), F.lit(1).cast("bigint").alias("depth"),
+        F.lit(1).cast("bigint").alias("size"),
+    )
+    distance = 1
     while True:
         further = ahead.select(
             "conv_id", F.col("turn").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more")
         )
-        joined = salted_join(ahead, further, ["conv_id", "up"], "left")
+        below = ahead.where(F.col("depth") == distance).groupBy("conv_id", F.col("up").alias("turn")).agg(
+            F.sum("size").alias("below")
+        )
+        joined = salted_join(ahead, further, ["conv_id", "up"], "left").join(below, ["conv_id", "turn"], "left")
         ahead = saved(
             joined.select(
                 "conv_id", "turn", F.coalesce("next", "up").alias("up"),
                 (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+                (F.col("size") + F.coalesce("below", F.lit(0))).alias("size"),
                 F.col("next").isNotNull().alias("moved"),
             ),
             "threads",
         )
         if ahead.where("moved").isEmpty():
-            return ahead.select("conv_id", "turn", F.col("up").alias("root_turn"), "depth")
+            return ahead.select("conv_id", "turn", F.col("up").alias("root_turn"), "depth", "size")
+        ahead = ahead.drop("moved")
+        distance *= 2
+
+
+def _positions(parents: DataFrame, roots: DataFrame) -> DataFrame:
+    """``position`` of messages with a parent: the sum, up to the root, of one and the
+    sizes of earlier replies to the same message. No path is stored.
+    """
+    sized = parents.join(roots, ["conv_id", "turn"]).select("conv_id", "turn", "parent_turn", "size")
+    earlier = Window.partitionBy("conv_id", "parent_turn").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = saved(
+        sized.select(
+            "conv_id", "turn", F.col("parent_turn").alias("up"),
+            (F.coalesce(F.sum("size").over(earlier), F.lit(0)) + 1).alias("position"),
+        ),
+        "places",
+    )
+    while True:
+        further = ahead.select(
+            "conv_id", F.col("turn").alias("up"), F.col("up").alias("next"), F.col("position").alias("more")
+        )
+        joined = salted_join(ahead, further, ["conv_id", "up"], "left")
+        ahead = saved(
+            joined.select(
+                "conv_id", "turn", F.coalesce("next", "up").alias("up"),
+                (F.col("position") + F.coalesce("more", F.lit(0))).alias("position"),
+                F.col("next").isNotNull().alias("moved"),
+            ),
+            "places",
+        )
+        if ahead.where("moved").isEmpty():
+            return ahead.select("conv_id", "turn", "position")
         ahead = ahead.drop("moved")
 
 
 def in_reply_order(linked: DataFrame) -> DataFrame:
-    """The messages sorted over all partitions by conversation, thread, depth and turn."""
-    order = ["conv_id", "root_turn", "depth", "turn"]
+    """The messages sorted over all partitions by conversation, thread and position."""
+    order = ["conv_id", "root_turn", "position", "turn"]
     return linked.repartitionByRange(*order).sortWithinPartitions(*order)

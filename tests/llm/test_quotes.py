@@ -29,3 +29,21 @@ def test_a_part_of_a_paragraph_links(spark):
 def test_a_whole_passage_counts_before_a_part(spark):
     got = linked(spark, ["I came. Yes, do it. I went.", "Yes, do it.", "> Yes, do it.\nFine"])
     assert got[2].parent_turn == 1
+
+
+def test_positions_follow_the_tree(spark):
+    import random
+
+    pick = random.Random(3)
+    parent = {0: None, 1: None} | {i: pick.choice([i - 1, pick.randrange(i)]) for i in range(2, 40)}
+    texts = [f"reply number {i}" if parent[i] is None else f"> reply number {parent[i]}\nreply number {i}" for i in range(40)]
+
+    def walk(top):
+        return [top, *[x for i in range(40) if parent[i] == top for x in walk(i)]]
+
+    want = {x: n for top in (0, 1) for n, x in enumerate(walk(top))}
+    got = linked(spark, texts)
+    assert {i: got[i].position for i in range(40)} == want
+    rows = [("c", i, "u", t) for i, t in enumerate(texts)]
+    ordered = quotes.in_reply_order(quotes.link_quotes(spark.createDataFrame(rows, SCHEMA)))
+    assert [r.turn for r in ordered.collect()] == walk(0) + walk(1)

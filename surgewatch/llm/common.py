@@ -35,7 +35,8 @@ def salted_join(
     ``left`` should be cheap to read twice: its keys are counted first, unless
     ``counts`` has the rows ``_n`` of at least the keys in ``right``. Rows of
     a key with over 1/2048 of all rows are dealt out to 32 parts, and the key's
-    one row of ``right`` is copied to each. Only the list of hot keys (at most
+    one row of ``right`` is copied to each; rows equal in all columns go to one
+    part. Only the list of hot keys (at most
     2048) is broadcast. ``how`` is inner, left or left_semi. Null keys match nothing.
     """
     rows = left.count()
@@ -46,7 +47,8 @@ def salted_join(
     hot = F.broadcast(
         counts.where((F.col("_n") > rows / HOT_KEYS)).select(*keys, F.lit(True).alias("_hot"))
     )
-    spread = F.floor(F.rand(11) * SALTS).cast("int")
+    # By what a row holds: a task that runs again may read its rows in another order.
+    spread = F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")
     dealt = left.join(hot, keys, "left").withColumn(
         "_salt", F.when(F.col("_hot"), spread).otherwise(0)
     )

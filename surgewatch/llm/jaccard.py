@@ -366,12 +366,16 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row, all columns, of each group of linked documents: the smallest doc_id's.
+    """One row, all columns, of each group of linked rows: the smallest doc_id's, null last.
 
-    Documents without words are in no group and stay. A doc_id names one
-    document, so of several rows with it one stays; rows with a null doc_id stay.
+    Rows are told apart by a number of their own, so different texts under one
+    doc_id, or none, are different documents. Rows without words are in no
+    group and stay.
     """
-    groups = similar_documents(docs.select("doc_id", "text"), size, percent)
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.join(keep, "doc_id").dropDuplicates(["doc_id"])
-    return rows.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = similar_documents(rows.select(F.col("_row").alias("doc_id"), "text"), size, percent)
+    named = groups.select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", "doc_id"), "_row")
+    keep = named.groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("k")
+    ).select("k._row")
+    return rows.join(keep, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

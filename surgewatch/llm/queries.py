@@ -13,6 +13,7 @@ from surgewatch.llm import (
     pii,
     quotes,
     token_frames,
+    whitening,
 )
 
 #: Tokenizer file of op5 and of the pipeline; give another path to ``token_frames``.
@@ -74,6 +75,10 @@ def op10_entropy_mix(spark, sf_dir):
     return mixing.digest(_documents(spark, sf_dir))
 
 
+def op12_refined_whitening(spark, sf_dir):
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_language_profiles": op1_language_profiles,
     "op2_license_rules": op2_license_rules,
@@ -85,6 +90,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_repeated_phrases": op9_repeated_phrases,
     "op10_entropy_mix": op10_entropy_mix,
+    "op12_refined_whitening": op12_refined_whitening,
 }
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from surgewatch.llm import (
+    alignment,
     decontam,
     exact_dedup,
     jaccard,
@@ -18,12 +19,14 @@ from surgewatch.llm import (
 
 #: Tokenizer file of op5 and of the pipeline; give another path to ``token_frames``.
 TOKENIZER = "word_bpe_49k.json"
+#: Tokenizer files of op13.
+ALIGNED = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def _table(spark, sf_dir, name):
@@ -79,6 +82,10 @@ def op12_refined_whitening(spark, sf_dir):
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_token_alignment(spark, sf_dir):
+    return alignment.align(_documents(spark, sf_dir), *map(tokenizer_path, ALIGNED))
+
+
 QUERIES = {
     "op1_language_profiles": op1_language_profiles,
     "op2_license_rules": op2_license_rules,
@@ -91,6 +98,7 @@ QUERIES = {
     "op9_repeated_phrases": op9_repeated_phrases,
     "op10_entropy_mix": op10_entropy_mix,
     "op12_refined_whitening": op12_refined_whitening,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

@@ -14,6 +14,7 @@ from surgewatch.llm import (
     pii,
     quotes,
     token_frames,
+    url_filter,
     whitening,
 )
 
@@ -78,6 +79,10 @@ def op10_entropy_mix(spark, sf_dir):
     return mixing.digest(_documents(spark, sf_dir))
 
 
+def op11_path_templates(spark, sf_dir):
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages"))
+
+
 def op12_refined_whitening(spark, sf_dir):
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
 
@@ -97,6 +102,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_repeated_phrases": op9_repeated_phrases,
     "op10_entropy_mix": op10_entropy_mix,
+    "op11_path_templates": op11_path_templates,
     "op12_refined_whitening": op12_refined_whitening,
     "op13_token_alignment": op13_token_alignment,
 }

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Collection, Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surgewatch.session import scratch_dir
@@ -19,10 +22,34 @@ SMALL_ROWS = 20_000
 def saved(df: DataFrame, name: str) -> DataFrame:
     """The table, written once to the shared scratch folder and read from there."""
     path = scratch_dir(df.sparkSession, f"llm-{name}")
+    for paths in _NOTED:
+        paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Lists that take the paths of saved tables, one per open ``noted``.
+_NOTED: list[list[str]] = []
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The paths of the tables that are saved inside the block."""
+    paths: list[str] = []
+    _NOTED.append(paths)
+    try:
+        yield paths
+    finally:
+        _NOTED.remove(paths)
+
+
+def dropped(spark: SparkSession, paths: Collection[str]) -> None:
+    """Delete saved tables. Nothing that is still to be computed may read them."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,

@@ -10,6 +10,7 @@ from __future__ import annotations
 import importlib
 import importlib.util
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from surgewatch.operators.windows import hop_counts, tumble_counts
 from surgewatch.plans import alerts
 from surgewatch.sources import replay
 from surgewatch.sources.positions import start_at
-from surgewatch.streaming.replay import replay_alerts
+from surgewatch.streaming.replay import replay_alerts, replay_clocked, replay_latest
 
 SIZE, SLIDE = 21600, 7200
 YEAR = 31_536_000
@@ -105,7 +106,15 @@ def dim_changes_parse(spark, sf_dir):
 
 
 def processing_time(spark, sf_dir):
-    return with_processing_time(_logs(spark, sf_dir).drop("ts"))
+    """Each row, and whether its stamp is a time from now on."""
+    stamped = with_processing_time(_logs(spark, sf_dir).drop("ts"))
+    now = F.lit(datetime.now(timezone.utc))
+    return stamped.select("ip", "url", F.col("ts").between(now, now + F.expr("interval 1 day")).alias("is_now"))
+
+
+def temporal_join_bootstrap(spark, sf_dir):
+    known = replay.event_thresholds(_events(spark, sf_dir))
+    return temporal_join(_logs(spark, sf_dir), _changes(spark, sf_dir), initial=known)
 
 
 def dim_latest(spark, sf_dir):
@@ -203,39 +212,86 @@ def alert_json_lookup(spark, sf_dir):
 # --- the four jobs as streams, over the whole table -------------------------
 
 
-def _stream(spark, sf_dir, job):
-    path = f"{sf_dir}/events.parquet"
-    return replay_alerts(spark, path, SCHEMAS["events"], replay.event_logs, job, SIZE)
+def _stream(spark, sf_dir, job, name="events", to_logs=replay.event_logs, size=SIZE):
+    path = f"{sf_dir}/{name}.parquet"
+    return replay_alerts(spark, path, SCHEMAS[name], to_logs, job, size, files_per_trigger=1)
+
+
+def _as_of_options(delay):
+    # Recorded data is decided in few large steps: long buckets.
+    return {"delay": delay, "change_delay": delay, "bucket_seconds": 4 * SIZE}
 
 
 def stream_fixed_threshold_alerts(spark, sf_dir):
-    def job(logs, events):
-        return alerts.fixed_threshold_alerts(with_watermark(logs), SIZE, 2)
+    def job(logs, events, delay):
+        return alerts.fixed_threshold_alerts(with_watermark(logs, delay=delay), SIZE, 2)
 
     return _stream(spark, sf_dir, job)
 
 
 def stream_lookup_alerts(spark, sf_dir):
-    def job(logs, events):
-        return alerts.lookup_alerts(with_watermark(logs), replay.lookup_table(spark), SIZE)
+    def job(logs, events, delay):
+        dim = replay.lookup_table(spark)
+        return alerts.lookup_alerts(with_watermark(logs, delay=delay), dim, SIZE)
 
     return _stream(spark, sf_dir, job)
 
 
+def stream_lookup_alerts_parts(spark, sf_dir):
+    def job(logs, lines, delay):
+        return alerts.lookup_alerts(with_watermark(logs, delay=delay), _parts(spark, sf_dir), YEAR, salts=4)
+
+    return _stream(spark, sf_dir, job, "lineitem", replay.order_logs, YEAR)
+
+
 def stream_temporal_alerts(spark, sf_dir):
-    def job(logs, events):
-        return alerts.temporal_alerts(logs, replay.event_changes(events), SIZE)
+    def job(logs, events, delay):
+        changes = replay.event_changes(events)
+        return alerts.temporal_alerts(logs, changes, SIZE, **_as_of_options(delay))
+
+    return _stream(spark, sf_dir, job)
+
+
+def stream_bootstrap_alerts(spark, sf_dir):
+    def job(logs, events, delay):
+        changes, known = replay.event_changes(events), replay.event_thresholds(_events(spark, sf_dir))
+        return alerts.temporal_alerts(logs, changes, SIZE, initial=known, **_as_of_options(delay))
 
     return _stream(spark, sf_dir, job)
 
 
 def stream_hop_temporal_alerts(spark, sf_dir):
-    def job(logs, events):
-        return alerts.hop_temporal_alerts(logs, replay.event_changes(events), SIZE, SLIDE)
+    def job(logs, events, delay):
+        changes = replay.event_changes(events)
+        return alerts.hop_temporal_alerts(logs, changes, SIZE, SLIDE, **_as_of_options(delay))
 
     return _stream(spark, sf_dir, job)
 
 
+def stream_hop_counts_panes(spark, sf_dir):
+    def job(logs, events, delay):
+        return hop_counts(with_watermark(logs, delay=delay), 36_000, 7200).where("times > 0")
+
+    return _stream(spark, sf_dir, job, size=36_000)
+
+
+def stream_dim_latest(spark, sf_dir):
+    path = f"{sf_dir}/events.parquet"
+    return replay_latest(spark, path, SCHEMAS["events"], replay.event_changes, files_per_trigger=1)
+
+
+def stream_dim_latest_parts(spark, sf_dir):
+    path = f"{sf_dir}/lineitem.parquet"
+    return replay_latest(spark, path, SCHEMAS["lineitem"], replay.order_changes, files_per_trigger=1)
+
+
+def stream_processing_time_counts(spark, sf_dir):
+    """Requests per client and url, added up over windows of processing time."""
+    path = f"{sf_dir}/events.parquet"
+    counts = replay_clocked(spark, path, SCHEMAS["events"], replay.event_logs, 2, files_per_trigger=1)
+    return counts.groupBy("ip", "url").agg(F.sum("times").alias("times"))
+
+
 # --- the optional subpackage ------------------------------------------------
 
 
@@ -271,6 +327,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "temporal_join_rows": temporal_join_rows,
         "temporal_join_sorted": temporal_join_sorted,
         "temporal_join_parts": temporal_join_parts,
+        "temporal_join_bootstrap": temporal_join_bootstrap,
         "tumble_counts": tumble_counts_rows,
         "tumble_counts_by_threshold": tumble_counts_by_threshold,
         "hop_counts": hop_counts_by_threshold,
@@ -285,8 +342,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "alert_json": alert_json_lookup,
         "stream_fixed_threshold_alerts": stream_fixed_threshold_alerts,
         "stream_lookup_alerts": stream_lookup_alerts,
+        "stream_lookup_alerts_parts": stream_lookup_alerts_parts,
         "stream_temporal_alerts": stream_temporal_alerts,
+        "stream_bootstrap_alerts": stream_bootstrap_alerts,
         "stream_hop_temporal_alerts": stream_hop_temporal_alerts,
+        "stream_hop_counts_panes": stream_hop_counts_panes,
+        "stream_dim_latest": stream_dim_latest,
+        "stream_dim_latest_parts": stream_dim_latest_parts,
+        "stream_processing_time_counts": stream_processing_time_counts,
         **more,
     }
 
@@ -304,6 +367,9 @@ _CHANGES = f"""SELECT (['click', 'error', 'purchase', 'signup', 'view'])[{_K} %
     CAST({_K} % 3 + 1 AS VARCHAR) AS trigger_value, ts AS proc_time, event_id AS seq
     FROM events WHERE event_type = 'signup'"""
 
+_THRESHOLDS = """SELECT event_type AS url, CAST(count(*) % 3 + 1 AS VARCHAR) AS trigger_value,
+    TIMESTAMP '1970-01-01' AS proc_time, CAST(0 AS BIGINT) AS seq FROM events GROUP BY event_type"""
+
 _ORDER_LOGS = """SELECT CAST(l_suppkey AS VARCHAR) AS ip, 'part-' || l_partkey AS url,
     l_shipdate AS ts FROM lineitem"""
 
@@ -415,13 +481,16 @@ def _json(alert_rows: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query; ``processing_time`` depends on the clock and has none."""
+    """DuckDB SQL per query."""
     keys, by_threshold = "ip, url", "ip, url, trigger_value"
     number = "TRY_CAST(trigger_value AS BIGINT)"
     as_of = _as_of(_LOGS, _CHANGES)
     order_as_of = _as_of(_ORDER_LOGS, _ORDER_CHANGES)
     lookup_counted = _tumble(_lookup(_LOGS, _LOOKUP), SIZE, by_threshold)
     lookup_alerted = _alerts(lookup_counted, "trigger_value")
+    bootstrap = _as_of(_LOGS, f"({_CHANGES}) UNION ALL ({_THRESHOLDS})")
+    parts_counted = _tumble(_lookup(_ORDER_LOGS, _PARTS), YEAR, by_threshold)
+    parts_alerted = _alerts(parts_counted, "trigger_value")
     fixed_alerted = _alerts(_tumble(_LOGS, SIZE, keys), "2")
     temporal_alerted = _alerts(_tumble(as_of, SIZE, by_threshold), number)
     hop_alerted = _alerts(_hop(as_of, SIZE, SLIDE, by_threshold), number)
@@ -436,6 +505,7 @@ def oracle_sql() -> dict[str, str]:
         "malformed_counts": f"""SELECT count(*) AS lines,
             count(*) FILTER (WHERE len(f) < 2) AS malformed FROM ({_fields_tab()})""",
         "dim_changes_parse": _PARSED_CHANGES,
+        "processing_time": f"SELECT ip, url, true AS is_now FROM ({_LOGS})",
         "dim_latest": _latest(_CHANGES),
         "dim_latest_parts": _latest(_ORDER_CHANGES),
         "dim_versions": _versions(_CHANGES),
@@ -445,6 +515,7 @@ def oracle_sql() -> dict[str, str]:
         "temporal_join_rows": as_of,
         "temporal_join_sorted": as_of,
         "temporal_join_parts": order_as_of,
+        "temporal_join_bootstrap": bootstrap,
         "tumble_counts": _tumble(_LOGS, SIZE, keys),
         "tumble_counts_by_threshold": lookup_counted,
         "hop_counts": _hop(as_of, SIZE, SLIDE, by_threshold),
@@ -454,16 +525,21 @@ def oracle_sql() -> dict[str, str]:
             WHERE times >= {number}""",
         "fixed_threshold_alerts": fixed_alerted,
         "lookup_alerts": lookup_alerted,
-        "lookup_alerts_parts": _alerts(
-            _tumble(_lookup(_ORDER_LOGS, _PARTS), YEAR, by_threshold), "trigger_value"
-        ),
+        "lookup_alerts_parts": parts_alerted,
         "temporal_alerts": temporal_alerted,
         "temporal_alerts_parts": _alerts(_tumble(order_as_of, YEAR, by_threshold), number),
         "hop_temporal_alerts": hop_alerted,
         "alert_json": _json(lookup_alerted),
         "stream_fixed_threshold_alerts": fixed_alerted,
         "stream_lookup_alerts": lookup_alerted,
+        "stream_lookup_alerts_parts": parts_alerted,
         "stream_temporal_alerts": temporal_alerted,
+        "stream_bootstrap_alerts": _alerts(_tumble(bootstrap, SIZE, by_threshold), number),
         "stream_hop_temporal_alerts": hop_alerted,
+        "stream_hop_counts_panes": _hop(_LOGS, 36_000, 7200, keys),
+        "stream_dim_latest": _latest(_CHANGES),
+        "stream_dim_latest_parts": _latest(_ORDER_CHANGES),
+        "stream_processing_time_counts": f"""SELECT ip, url, count(*) AS times FROM ({_LOGS})
+            GROUP BY ip, url""",
         **more,
     }

@@ -33,6 +33,8 @@ def temporal_join(
     salts: int | None = None,
     delay: str = "0 seconds",
     change_delay: str = "0 seconds",
+    bucket_seconds: int | None = None,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """Inner as-of join on ``url``: log columns, ``trigger_value``, ``dim_url``.
 
@@ -43,15 +45,22 @@ def temporal_join(
     shuffled; an error if they were measured to be too large for that),
     ``sorted`` (log and versions merged in time order) or ``auto``: broadcast
     if the versions are small enough, sorted otherwise.
-    Streams keep the versions in state instead; ``salts`` and the delays belong
-    to them (see ``streaming.temporal``).
+    ``initial`` is a table ``url, trigger_value`` of thresholds known before
+    all changes, valid from its ``proc_time`` on if it has that column.
+    Streams keep the versions in state instead; ``salts``, the delays and
+    ``bucket_seconds`` belong to them (see ``streaming.temporal``).
     """
     if logs.isStreaming or changes.isStreaming:
-        from surgewatch.streaming.temporal import temporal_join_stream
+        from surgewatch.streaming.temporal import BUCKET_SECONDS, temporal_join_stream
 
-        return temporal_join_stream(logs, changes, time_col, salts, delay, change_delay)
+        width = BUCKET_SECONDS if bucket_seconds is None else bucket_seconds
+        return temporal_join_stream(
+            logs, changes, time_col, salts, delay, change_delay, width, initial
+        )
     if strategy not in ("auto", "broadcast", "sorted"):
         raise ValueError(f"unknown strategy {strategy!r}")
+    if initial is not None:
+        changes = _known_before(initial, changes)
     changes = changes.where("url is not null and proc_time is not null")
     kind = logs.schema[time_col].dataType
     if changes.schema["proc_time"].dataType != kind:
@@ -64,6 +73,19 @@ def temporal_join(
     return _sorted_join(logs, changes, size, time_col)
 
 
+def _known_before(initial: DataFrame, changes: DataFrame) -> DataFrame:
+    """The changes, and the initial thresholds as changes from long ago or from their time on."""
+    kind = changes.schema["proc_time"].dataType
+    long_ago = F.lit("0001-01-01 00:00:00").cast(kind)
+    at = F.coalesce(F.col("proc_time").cast(kind), long_ago) if "proc_time" in initial.columns else long_ago
+    columns = {"url": F.col("url"), "trigger_value": F.col("trigger_value").cast("string"), "proc_time": at}
+    if "seq" in changes.columns:
+        seq = F.col("seq").cast("bigint") if "seq" in initial.columns else F.lit(None).cast("bigint")
+        columns["seq"] = F.coalesce(seq, F.lit(0).cast("bigint"))
+    rows = initial.select(*[column.alias(name) for name, column in columns.items()])
+    return changes.select(*columns).unionByName(rows)
+
+
 @dataclass(frozen=True)
 class Size:
     """What one pass over the changes tells about them."""

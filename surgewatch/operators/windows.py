@@ -74,17 +74,26 @@ def hop_counts(
     """Requests per ``keys`` in windows of ``window_size`` seconds, one
     starting every ``window_interval`` seconds.
 
-    Every row belongs to about size/slide windows. Batch plans with many
-    windows per row count once per pane (the longest interval that divides
-    both lengths) and copy the pane counts, not the rows, into the windows.
-    ``panes`` overrides that choice. Streams count into the windows directly.
+    Every row belongs to about size/slide windows. Plans with many windows per
+    row count once per pane (the longest interval that divides both lengths)
+    and copy the pane counts, not the rows, into the windows. ``panes``
+    overrides that choice. A stream does the same in two chained counts: a row
+    changes one row of state, that of its pane, and windows take a pane when
+    the watermark has closed it. The choice is part of a stream's state.
     """
     check_window(window_size, window_interval)
     window = F.window(time_col, f"{window_size} seconds", f"{window_interval} seconds")
     if panes is None:
         panes = window_size >= PANE_FACTOR * window_interval
-    if panes and not logs.isStreaming and window_interval < window_size:
-        pane = tumble_counts(logs, gcd(window_size, window_interval), time_col, keys)
+    if panes and window_interval < window_size:
+        length = gcd(window_size, window_interval)
+        if logs.isStreaming:
+            pane = logs.groupBy(F.window(time_col, f"{length} seconds").alias("pane"), *keys)
+            pane = pane.agg(_request_count(logs).alias("times"))
+            # Spark takes the pane's last instant, with its watermark, as its time.
+            window = F.window("pane", f"{window_size} seconds", f"{window_interval} seconds")
+            return _counts(pane, window, keys, F.sum("times"))
+        pane = tumble_counts(logs, length, time_col, keys)
         pane = pane.withColumnRenamed("window_start", time_col)
         return _counts(pane, window, keys, F.sum("times"))
     return _counts(logs, window, keys, _request_count(logs))

@@ -42,6 +42,12 @@ def event_changes(events: DataFrame) -> DataFrame:
     )
 
 
+def event_thresholds(events: DataFrame) -> DataFrame:
+    """``url, trigger_value``: a threshold of each url that holds before its first change."""
+    counts = events.groupBy(F.col("event_type").alias("url")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("url", (F.col("n") % 3 + 1).cast("string").alias("trigger_value"))
+
+
 def event_change_json(events: DataFrame) -> DataFrame:
     """``value, proc_time, seq``: changes as JSON, some of them damaged."""
     changes = event_changes(events)

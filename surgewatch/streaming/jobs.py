@@ -26,6 +26,7 @@ from surgewatch.sources.positions import StartPosition, pinned, pinned_start, st
 from surgewatch.streaming.heartbeat import clock, with_heartbeat
 from surgewatch.streaming.sinks import write_alerts
 from surgewatch.streaming.snapshot import SnapshotCache
+from surgewatch.streaming.temporal import BUCKET_SECONDS
 
 
 @dataclass(frozen=True)
@@ -124,6 +125,14 @@ def _start(
     return write_alerts(rows, sink.fmt, checkpoint, target, name=name, **write_options)
 
 
+def _kept(spark: SparkSession, name: str, value: int | None, default: int, checkpoint: str) -> int:
+    """A number that state belongs to: the one of the first start, kept beside the checkpoint."""
+    kept = int(pinned(spark, str(value or default), f"{checkpoint}-{name}"))
+    if value not in (None, kept):
+        raise ValueError(f"this checkpoint was made with {name}={kept}, not {value}")
+    return kept
+
+
 @_job
 def run_fixed_threshold(
     spark: SparkSession,
@@ -192,6 +201,8 @@ def run_temporal(
     checkpoint: str,
     beats: DataFrame | None = None,
     salts: int | None = None,
+    bucket_seconds: int | None = None,
+    initial: DataFrame | None = None,
     name: str | None = None,
     **write_options: object,
 ) -> StreamingQuery:
@@ -199,16 +210,25 @@ def run_temporal(
     parameters have a ``window_interval``.
 
     ``source.delay`` and ``dim.delay`` are how late either stream's times may
-    be. The number of salts is kept beside the checkpoint, since state belongs
-    to it; another number at a later start is an error. With event times and
-    no ``beats``, results wait until both streams have passed them.
+    be. The numbers of salts and of seconds per bucket of waiting requests are
+    kept beside the checkpoint, since state belongs to them; other numbers at a
+    later start are an error. With event times and no ``beats``, results wait
+    until both streams have passed them. ``initial`` is a table of thresholds
+    known before the first start (``url, trigger_value[, proc_time, seq]``, as
+    from ``operators.dims.latest_per_key``): without it, requests before a
+    url's first change in the stream are dropped.
     """
-    kept = int(pinned(spark, str(salts or SALTS), f"{checkpoint}-salts"))
-    if salts not in (None, kept):
-        raise ValueError(f"this checkpoint was made with salts={kept}, not {salts}")
+    kept = _kept(spark, "salts", salts, SALTS, checkpoint)
+    width = _kept(spark, "bucket_seconds", bucket_seconds, BUCKET_SECONDS, checkpoint)
     logs = _logs(spark, params, source, checkpoint, beats)
     changes = _changes(spark, params, dim, checkpoint)
-    join = {"salts": kept, "delay": source.delay, "change_delay": dim.delay}
+    join = {
+        "salts": kept,
+        "delay": source.delay,
+        "change_delay": dim.delay,
+        "bucket_seconds": width,
+        "initial": initial,
+    }
     if isinstance(params, HopTemporalParams):
         name = name or "hop-temporal-alerts"
         rows = alerts.hop_temporal_alerts(

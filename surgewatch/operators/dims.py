@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from surgewatch.operators.sizing import fits_broadcast
+
 # A url with more changes than this has them put in order slice by slice.
 GROUP_ROWS = 4_000_000
+# Slices of urls cut by time in the sorted form of the as-of join.
 SLICE_SECONDS = 3600
 
 
@@ -40,14 +45,46 @@ def versions(
 
     The changes of the busiest url are counted first. If they are few enough
     for one task, the next change is simply the next row of the url. If not,
-    or if ``slice_seconds`` is given, each url is cut into time slices.
+    busy urls are cut where their changes are dense (``quantile_slices``); if
+    ``slice_seconds`` is given, each url is cut into slices of that length.
     """
-    if slice_seconds is None:
-        busiest = changes.groupBy("url").count().agg(F.max("count").alias("n")).first()["n"]
-        if (busiest or 0) <= GROUP_ROWS:
-            return whole_versions(changes, time_col)
-        slice_seconds = SLICE_SECONDS
-    return sliced_versions(changes, time_col, slice_seconds)
+    if slice_seconds is not None:
+        return sliced_versions(changes, time_col, slice_seconds)
+    busiest = changes.groupBy("url").count().agg(F.max("count").alias("n")).first()["n"] or 0
+    if busiest <= GROUP_ROWS:
+        return whole_versions(changes, time_col)
+    return cut_versions(quantile_slices(changes, busiest, time_col), changes.columns, time_col)
+
+
+def quantile_slices(
+    changes: DataFrame, busiest: int, time_col: str = "proc_time", group_rows: int | None = None
+) -> DataFrame:
+    """Add ``slice``: for urls with over ``group_rows`` changes, between which quantiles of their times.
+
+    The quantiles are sketched per url, combined before the shuffle, and leave
+    about half of ``group_rows`` changes to a slice, however dense some hours
+    are; only changes of one instant are never cut. Other urls have one slice.
+    The list of busy urls is bounded by rows / ``group_rows`` and broadcast if
+    it was measured to be small.
+    """
+    group_rows = group_rows or GROUP_ROWS
+    pieces = ceil(2 * busiest / group_rows)
+    at = F.unix_micros(F.col(time_col).cast("timestamp"))
+    busy = changes.groupBy("url").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group_rows)
+    busy = busy.select(F.col("url").alias("busy_url"))
+    # Accurate to a twentieth of a slice.
+    quantiles = F.percentile_approx(at, [i / pieces for i in range(1, pieces)], 20 * pieces)
+    same = F.col("url").eqNullSafe(F.col("busy_url"))
+    # A left semi join keeps the columns of the changes alone.
+    borders = changes.join(_small(busy), same, "left_semi").groupBy(F.col("url").alias("busy_url"))
+    borders = borders.agg(F.array_distinct(quantiles).alias("borders"))
+    cut = changes.join(_small(borders), same, "left")
+    number = F.coalesce(F.size(F.filter("borders", lambda border: border < at)), F.lit(0))
+    return cut.select(*[changes[c] for c in changes.columns], F.when(F.col("borders").isNull(), 0).otherwise(number).alias("slice"))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if fits_broadcast(df) else df
 
 
 def whole_versions(changes: DataFrame, time_col: str = "proc_time") -> DataFrame:
@@ -59,14 +96,19 @@ def whole_versions(changes: DataFrame, time_col: str = "proc_time") -> DataFrame
 def sliced_versions(
     changes: DataFrame, time_col: str = "proc_time", slice_seconds: int = SLICE_SECONDS
 ) -> DataFrame:
-    """``versions`` with the changes of a url and time slice in one task.
+    """``versions`` with the changes of a url and time slice in one task."""
+    sliced = changes.withColumn("slice", time_slice(time_col, slice_seconds))
+    return cut_versions(sliced, changes.columns, time_col)
+
+
+def cut_versions(sliced: DataFrame, columns: list[str], time_col: str = "proc_time") -> DataFrame:
+    """``versions`` of changes with a ``slice`` that grows with time.
 
     Inside a slice the next change is the next row. For the last row of a
     slice it is the first change of the url's next slice that has any, taken
     from one summary row per url and slice.
     """
-    sliced = changes.withColumn("slice", time_slice(time_col, slice_seconds))
-    in_slice = Window.partitionBy("url", "slice").orderBy(*change_order(changes, time_col))
+    in_slice = Window.partitionBy("url", "slice").orderBy(*change_order(sliced, time_col))
     over_slices = Window.partitionBy("url").orderBy("slice")
     following = (
         sliced.groupBy("url", "slice")
@@ -81,7 +123,7 @@ def sliced_versions(
             F.col("o.url").eqNullSafe(F.col("f.url")) & (F.col("o.slice") == F.col("f.slice")),
         )
         .select(
-            *[F.col(f"o.{c}") for c in changes.columns],
+            *[F.col(f"o.{c}") for c in columns],
             F.coalesce("o.in_slice", "f.next_at").alias("valid_to"),
         )
     )

@@ -49,20 +49,46 @@ def read_dim_jdbc(
     user: str | None = None,
     password: str | None = None,
     options: Mapping[str, str] | None = None,
+    partition_column: str | None = None,
+    partitions: int = 8,
 ) -> DataFrame:
     """``id, trigger_value, url`` of a JDBC table.
 
-    Only the needed columns are read. Further options (driver, fetch size,
-    partition column and bounds for large tables) are passed on.
+    Only the needed columns are read. Further options (driver, fetch size) are
+    passed on. With ``partition_column``, a numeric column such as ``id``, the
+    table is read by ``partitions`` tasks: its smallest and largest value are
+    asked for first and cut into ranges, the outer ones open, so rows that come
+    later are read too.
     """
     settings = {"url": url, "dbtable": table}
     if user is not None:
         settings["user"] = user
     if password is not None:
         settings["password"] = password
-    rows = spark.read.format("jdbc").options(**settings, **(options or {})).load()
+    settings.update(options or {})
+    if partition_column is None:
+        rows = spark.read.format("jdbc").options(**settings).load()
+    else:
+        query = f"SELECT MIN({partition_column}) AS low, MAX({partition_column}) AS high FROM {table}"
+        asked = {k: v for k, v in settings.items() if k != "dbtable"}
+        low, high = spark.read.format("jdbc").options(**asked, query=query).load().first()
+        ranges = range_predicates(partition_column, low, high, partitions)
+        rest = {k: v for k, v in settings.items() if k not in ("url", "dbtable")}
+        rows = spark.read.jdbc(url, table, predicates=ranges, properties=rest)
     return rows.select(
         F.col("id").cast("int").alias("id"),
         F.col("trigger_value").cast("int").alias("trigger_value"),
         F.col("url").cast("string").alias("url"),
     )
+
+
+def range_predicates(column: str, low: float | None, high: float | None, parts: int) -> list[str]:
+    """SQL conditions that deal out all rows, null values too, to ``parts`` ranges of a column."""
+    if parts < 1:
+        raise ValueError(f"partitions must be positive: {parts!r}")
+    borders = [] if low is None else sorted({low + (high - low) * i // parts for i in range(1, parts)} - {low})
+    if not borders:
+        return ["1 = 1"]
+    first = f"{column} < {borders[0]} OR {column} IS NULL"
+    inner = [f"{column} >= {x} AND {column} < {y}" for x, y in zip(borders, borders[1:])]
+    return [first, *inner, f"{column} >= {borders[-1]}"]

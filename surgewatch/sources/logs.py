@@ -8,7 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgewatch.sources.positions import StartPosition, kafka_start, start_at
+from surgewatch.sources import table_replay
+from surgewatch.sources.positions import StartPosition, kafka_start, start_at, start_time
 
 # Spark's file formats, which know no start position.
 FILE_FORMATS = ("text", "json", "csv", "parquet", "orc", "avro", "xml")
@@ -24,30 +25,58 @@ def read_records(
     position: StartPosition | str = StartPosition.TRIM_HORIZON,
     timestamp: datetime | str | float | None = None,
     time_col: str | None = None,
+    position_option: str | None = None,
+    timestamp_option: str | None = None,
 ) -> DataFrame:
     """Records of a source, from a start position on.
 
-    Kafka gets the position as its own options. Connectors that ship apart
-    from Spark get theirs from the caller in ``options``. Files and tables are
-    filtered on ``time_col``; files without one can only be read as a whole.
+    Kafka and ``table_replay`` get the position as their own options, other
+    connectors as the options named by ``position_option`` (``LATEST`` and so
+    on) and ``timestamp_option`` (ISO text). Without such names, rows are
+    filtered on ``time_col``. A position that reaches nobody is an error.
     """
     position = StartPosition.of(position)
     from_start = position is StartPosition.TRIM_HORIZON
-    if fmt in FILE_FORMATS and not from_start and not time_col:
-        raise ValueError(f"{fmt} files have no start position without a time column")
+    own = fmt in ("kafka", table_replay.NAME) or position_option is not None
+    if not from_start and not own and not time_col:
+        what = f"{fmt} files have" if fmt in FILE_FORMATS else f"the connector {fmt} has"
+        raise ValueError(f"{what} no start position without a time column or options for it")
     settings = dict(options or {})
     if fmt == "kafka":
         settings = {**kafka_start(position, timestamp), **settings}
+    elif own:
+        settings = {**own_start(position, timestamp, position_option, timestamp_option), **settings}
+    if fmt == table_replay.NAME:
+        spark.dataSource.register(table_replay.TableReplay)
+        if time_col:
+            settings.setdefault("timecol", time_col)
     reader = spark.readStream if streaming else spark.read
     reader = reader.format(fmt).options(**settings)
     if schema:
         reader = reader.schema(schema)
     rows = reader.load()
-    if fmt != "kafka" and not from_start and time_col:
+    if not own and not from_start:
         rows = start_at(rows, position, timestamp, time_col)
     return rows
 
 
+def own_start(
+    position: StartPosition,
+    timestamp: datetime | str | float | None,
+    position_option: str | None,
+    timestamp_option: str | None,
+) -> dict[str, str]:
+    """A start position as a connector's own options."""
+    settings = {position_option or "position": position.value}
+    if position is StartPosition.AT_TIMESTAMP:
+        if timestamp is None:
+            raise ValueError("AT_TIMESTAMP needs a start timestamp")
+        if position_option and not timestamp_option:
+            raise ValueError("AT_TIMESTAMP needs the name of the connector's option for the time")
+        settings[timestamp_option or "timestamp"] = start_time(timestamp).isoformat()
+    return settings
+
+
 def read_logs(
     spark: SparkSession,
     fmt: str,

@@ -20,6 +20,7 @@ from surgewatch.params import (
 )
 from surgewatch.plans import alerts
 from surgewatch.session import SALTS, STREAM_CONF, session_conf
+from surgewatch.sources import table_replay
 from surgewatch.sources.dims import read_dim_changes, read_dim_jdbc
 from surgewatch.sources.logs import read_logs
 from surgewatch.sources.positions import StartPosition, pinned, pinned_start, start_at
@@ -34,7 +35,9 @@ class Endpoint:
     """A connector: format, options, and the option that takes a stream name.
 
     ``time_col`` names the column with the record's own time; without it the
-    processing time is used. ``delay`` is how late such a time may be.
+    processing time is used. ``delay`` is how late such a time may be. A
+    connector with a start position of its own gets it by ``position_option``
+    and ``timestamp_option``.
     """
 
     fmt: str
@@ -44,10 +47,30 @@ class Endpoint:
     payload_col: str = "value"
     time_col: str | None = None
     delay: str = "0 seconds"
+    position_option: str | None = None
+    timestamp_option: str | None = None
+    parameters: Mapping[str, str] = field(default_factory=dict)
 
-    def named(self, name: str, kafka_option: str) -> dict[str, str]:
+    def named(self, name: str, kafka_option: str, given: Mapping[str, str]) -> dict[str, str]:
+        """The connector's options: the stream's name, parameters of the job, and its own, which count most.
+
+        ``parameters`` names the connector's options for those parameters of a
+        job that only connectors understand; it gets no others.
+        """
         option = self.name_option or (kafka_option if self.fmt == "kafka" else "path")
-        return {option: name, **self.options}
+        passed = {self.parameters[k]: v for k, v in given.items() if k in self.parameters}
+        return {option: name, **passed, **self.options}
+
+    @property
+    def start_options(self) -> dict[str, str | None]:
+        """Names of the connector's options for the start position, for ``read_records``."""
+        return {"position_option": self.position_option, "timestamp_option": self.timestamp_option}
+
+    @property
+    def filtered(self) -> bool:
+        """Whether the start position is a filter on the time column."""
+        own = self.fmt in ("kafka", table_replay.NAME) or self.position_option is not None
+        return self.time_col is not None and not own
 
 
 def _job(run: Callable[..., StreamingQuery]) -> Callable[..., StreamingQuery]:
@@ -65,17 +88,18 @@ def _source(
     spark: SparkSession, params: JobParams, source: Endpoint, checkpoint: str
 ) -> DataFrame:
     start = params.stream_init_position, params.stream_initial_timestamp
-    if source.time_col and source.fmt != "kafka":
+    if source.filtered:
         start = pinned_start(spark, start[0], f"{checkpoint}-start") or start
     lines = read_logs(
         spark,
         source.fmt,
-        source.named(params.input_stream_name, "subscribe"),
+        source.named(params.input_stream_name, "subscribe", params.connector),
         payload_col=source.payload_col,
         time_col=source.time_col,
         schema=source.schema,
         position=start[0],
         timestamp=start[1],
+        **source.start_options,
     )
     logs = parse_lines(lines, params.delimiter, metric="log_lines")
     return with_event_time(logs, "ts") if source.time_col else with_processing_time(logs)
@@ -99,16 +123,17 @@ def _changes(
     spark: SparkSession, params: TemporalParams, dim: Endpoint, checkpoint: str
 ) -> DataFrame:
     position, pinned = params.dim_stream_init_position, None
-    if dim.time_col and dim.fmt != "kafka":
+    if dim.filtered:
         pinned = pinned_start(spark, position, f"{checkpoint}-start-changes")
     changes = read_dim_changes(
         spark,
         dim.fmt,
-        dim.named(params.dim_stream_name, "subscribe"),
+        dim.named(params.dim_stream_name, "subscribe", params.connector),
         payload_col=dim.payload_col,
         time_col=dim.time_col,
         schema=dim.schema,
         position=StartPosition.TRIM_HORIZON if pinned else position,
+        **dim.start_options,
     )
     return start_at(changes, *pinned, time_col="proc_time") if pinned else changes
 
@@ -121,7 +146,7 @@ def _start(
     name: str,
     write_options: Mapping[str, object],
 ) -> StreamingQuery:
-    target = sink.named(params.target_stream_name, "topic")
+    target = sink.named(params.target_stream_name, "topic", params.connector)
     return write_alerts(rows, sink.fmt, checkpoint, target, name=name, **write_options)
 
 

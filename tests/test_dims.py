@@ -49,3 +49,19 @@ def test_a_busy_url_is_cut_into_slices(spark, monkeypatch):
     monkeypatch.setattr(dims, "GROUP_ROWS", 10)
     assert found(versions(changes)) == want
     assert "slice" in versions(changes)._jdf.queryExecution().analyzed().toString()
+
+
+def test_slices_follow_dense_hours(spark, monkeypatch):
+    """One url has nearly all its changes in one hour; another has a few, and one none too many."""
+    rng = random.Random(8)
+    rows = [("a", str(i % 3), rng.random() * 3600, i) for i in range(900)]
+    rows += [("a", "1", 5000.0 + 100 * i, 1000 + i) for i in range(60)] + [(None, "2", float(i % 40), i) for i in range(120)]
+    rows += [("b", "1", float(i), i) for i in range(30)]
+    changes = make_changes(spark, rows)
+    cut = dims.quantile_slices(changes, 960, group_rows=50)
+    sizes = {(r.url, r.slice): r["count"] for r in cut.groupBy("url", "slice").count().collect()}
+    assert max(sizes.values()) <= 50 and sum(sizes.values()) == len(rows)
+    assert sum(url == "a" for url, _ in sizes) > 20 and ("b", 0) in sizes and len([u for u, _ in sizes if u == "b"]) == 1
+    monkeypatch.setattr(dims, "GROUP_ROWS", 50)
+    names = ("url", "trigger_value", "proc_time", "seq", "valid_to")
+    assert found(versions(changes), *names) == found(dims.whole_versions(changes), *names)

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from helpers import at, found, make_logs
 from surgewatch.functions.timeattr import with_event_time, with_processing_time
 from surgewatch.session import scratch_dir
-from surgewatch.sources.dims import read_dim_changes, read_dim_jdbc
-from surgewatch.sources.logs import read_logs
+from surgewatch.sources import table_replay
+from surgewatch.sources.dims import range_predicates, read_dim_changes, read_dim_jdbc
+from surgewatch.sources.logs import own_start, read_logs
 from surgewatch.sources.positions import (
     StartPosition,
     kafka_start,
@@ -15,6 +16,7 @@ from surgewatch.sources.positions import (
     start_at,
     start_time,
 )
+from surgewatch.streaming.jobs import Endpoint
 
 
 def test_position_names():
@@ -138,3 +140,125 @@ def test_time_columns(spark):
     stamped = with_processing_time(logs.drop("ts")).first()["ts"]
     assert abs(stamped - now) < timedelta(minutes=5)
     assert found(with_event_time(logs.withColumnRenamed("ts", "t"), "t")) == [("1", "a", 3)]
+
+
+def test_ranges_hold_every_row():
+    import duckdb
+
+    rows = "(SELECT range AS id FROM range(-999, 5000) UNION ALL SELECT NULL)"
+    for low, high, parts in ((1, 1000, 8), (5, 5, 4), (0, 3, 10), (-50, 7, 3), (None, None, 4)):
+        tests = range_predicates("id", low, high, parts)
+        assert 1 <= len(tests) <= parts
+        hits = " + ".join(f"CAST(coalesce({test}, false) AS INT)" for test in tests)
+        assert duckdb.sql(f"SELECT DISTINCT {hits} FROM {rows}").fetchall() == [(1,)]
+    with pytest.raises(ValueError):
+        range_predicates("id", 1, 2, 0)
+
+
+def test_jdbc_table_read_by_several_tasks(spark):
+    asked = {}
+
+    class Reader:
+        def format(self, name):
+            return self
+
+        def options(self, **options):
+            asked["bounds"] = options
+            return self
+
+        def load(self):
+            return spark.createDataFrame([(1, 100)], "low int, high int")
+
+        def jdbc(self, url, table, predicates, properties):
+            asked["read"] = url, table, predicates, properties
+            return spark.createDataFrame([(1, 2, "a")], "id int, trigger_value int, url string")
+
+    class Session:
+        read = Reader()
+
+    read_dim_jdbc(Session(), "jdbc:x", "dim_tb", "me", "pw", {"fetchsize": "10"}, "id", 4)
+    assert asked["bounds"]["query"] == "SELECT MIN(id) AS low, MAX(id) AS high FROM dim_tb"
+    assert "dbtable" not in asked["bounds"] and asked["bounds"]["user"] == "me"
+    url, table, predicates, properties = asked["read"]
+    assert (url, table, len(predicates)) == ("jdbc:x", "dim_tb", 4)
+    assert properties == {"user": "me", "password": "pw", "fetchsize": "10"}
+
+
+@pytest.fixture
+def recorded(spark, tmp_path):
+    """Three files of two row groups each; times grow with the files."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder = tmp_path / "table"
+    folder.mkdir()
+
+    def put(n):
+        rows = [{"value": f"{i}\ta", "at": at(i)} for i in range(10 * n, 10 * n + 10)]
+        schema = pa.schema([("value", pa.string()), ("at", pa.timestamp("us"))])
+        pq.write_table(pa.Table.from_pylist(rows, schema), folder / f"{n:04d}.parquet", row_group_size=5)
+
+    for n in range(3):
+        put(n)
+    return str(folder), put
+
+
+def replayed(spark, tmp_path, path, **options):
+    rows = read_logs(spark, "table_replay", {"path": path}, schema="value string, at timestamp_ntz", **options)
+    query = rows.select("line").writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ck"))
+    query = query.trigger(availableNow=True).start(str(tmp_path / "out"))
+    query.awaitTermination()
+    lines = spark.read.schema("line string").parquet(str(tmp_path / "out")).collect() if query.recentProgress else []
+    return sorted(int(r.line.split("\t")[0]) for r in lines)
+
+
+def test_replay_goes_on_from_its_offsets(spark, tmp_path, recorded):
+    path, put = recorded
+    assert replayed(spark, tmp_path, path, time_col="at") == list(range(30))
+    put(3)
+    assert replayed(spark, tmp_path, path, time_col="at") == list(range(40))
+
+
+def test_replay_starts_at_a_time(spark, tmp_path, recorded):
+    path, put = recorded
+    start = {"position": "AT_TIMESTAMP", "timestamp": at(17).isoformat(), "time_col": "at"}
+    assert replayed(spark, tmp_path, path, **start) == list(range(17, 30))
+
+
+def test_replay_positions():
+    reader = lambda **o: table_replay.TableReplay({"path": "/", **o}).streamReader(None)
+    with pytest.raises(ValueError, match="none of"):
+        reader(position="MIDDLE")
+    with pytest.raises(ValueError, match="needs"):
+        reader(position="AT_TIMESTAMP", timestamp="0")
+    with pytest.raises(ValueError, match="no option"):
+        reader(speed="9")
+
+
+def test_replay_offsets(recorded):
+    path, put = recorded
+    reader = table_replay.ReplayReader(None, {"path": path, "position": "LATEST"})
+    assert reader.initialOffset() == reader.latestOffset() == {"group": 6}
+    put(3)
+    assert reader.latestOffset() == {"group": 8}
+    parts = reader.partitions({"group": 5}, {"group": 7})
+    assert [(p.path[-12:], p.group) for p in parts] == [("0002.parquet", 1), ("0003.parquet", 0)]
+    with pytest.raises(ValueError, match="gone"):
+        reader.partitions({"group": 5}, {"group": 9})
+    late = {"path": path, "position": "AT_TIMESTAMP", "timestamp": at(26).isoformat(), "timecol": "at"}
+    assert table_replay.ReplayReader(None, late).initialOffset() == {"group": 5}
+
+
+def test_an_unknown_connector_gets_its_position_or_an_error(spark):
+    with pytest.raises(ValueError, match="no start position"):
+        read_logs(spark, "someconnector", {}, position="LATEST")
+    asked = own_start(StartPosition.AT_TIMESTAMP, "2024-01-01T00:00:00", "startingposition", "startingtime")
+    assert asked == {"startingposition": "AT_TIMESTAMP", "startingtime": "2024-01-01T00:00:00+00:00"}
+    with pytest.raises(ValueError, match="option for the time"):
+        own_start(StartPosition.AT_TIMESTAMP, 0, "startingposition", None)
+
+
+def test_connector_parameters_reach_the_connector():
+    source = Endpoint("x", {"region": "own"}, name_option="stream", parameters={"ak": "accessKey", "aws_region": "region"})
+    given = {"ak": "key", "sk": "secret", "aws_region": "elsewhere"}
+    assert source.named("in", "subscribe", given) == {"stream": "in", "accessKey": "key", "region": "own"}

@@ -91,6 +91,16 @@ def salted_join(
     return joined.drop("_salt")
 
 
+def renamed(docs: DataFrame, *kept: str) -> tuple[DataFrame, list[Column]]:
+    """The rows with names that clash with none, ``c0, c1`` and so on, but for those ``kept``.
+
+    The second part are the columns that give all names back.
+    """
+    names = [c.lower() if c.lower() in kept else f"c{i}" for i, c in enumerate(docs.columns)]
+    plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    return plain, [F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` for each node of the undirected edges ``a, b``; root is its smallest node.
 

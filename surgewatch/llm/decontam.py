@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surgewatch.llm.common import saved
+from surgewatch.llm.common import renamed, saved
 
 #: Words of a window.
 WINDOW = 10
@@ -226,12 +226,12 @@ def drop_contaminated(
     are written between blocks so that only one block's tables are in memory.
     """
     blocks = _Blocks(benchmark, window, block_bytes)
+    docs, names = renamed(docs, "text")
     for block in range(blocks.count):
         if block:
             docs = saved(docs, "clean")
-        found = _found(docs, blocks.tables(block), docs.columns)
-        docs = found.where(F.size(F.col(found.columns[-3])) == 0).select(*docs.columns)
-    return docs
+        docs = _found(docs, blocks.tables(block), docs.columns).where(F.size("starts") == 0).select(*docs.columns)
+    return docs.select(*names)
 
 
 def digest(found: DataFrame) -> DataFrame:

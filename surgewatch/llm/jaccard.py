@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surgewatch.llm.common import components, salted_join, saved
+from surgewatch.llm.common import components, renamed, salted_join, saved
 
 #: Words of a shingle, and the least similarity in hundredths.
 SHINGLE = 5
@@ -372,10 +372,11 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
     doc_id, or none, are different documents. Rows without words are in no
     group and stay.
     """
-    rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    plain, names = renamed(docs, "doc_id", "text")
+    rows = saved(plain.withColumn("_row", F.monotonically_increasing_id()), "rows")
     groups = similar_documents(rows.select(F.col("_row").alias("doc_id"), "text"), size, percent)
     named = groups.select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", "doc_id"), "_row")
     keep = named.groupBy("component_id").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("k")
     ).select("k._row")
-    return rows.join(keep, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.join(keep, "_row", "left_semi").select(*names)

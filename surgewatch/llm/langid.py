@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from surgewatch.llm.common import renamed
+
 #: N-grams of a language profile, and of a document that are compared with it.
 TOP = 400
 #: Languages that profiles can be learned for; more is an error, as profiles are broadcast.
@@ -205,9 +207,9 @@ def keep_identified(docs: DataFrame, top: int = TOP, least_score: float = 0.0) -
     Rejected are texts without a letter and texts none of whose frequent n-grams
     is near its place in any profile (score 0).
     """
+    docs, names = renamed(docs, "text", "lang")
     model = collected(learn(docs, top), top)
     lang, score = F.col("_pred.lang_pred"), F.col("_pred.score")
     return (
-        _with_prediction(docs, model, "_pred").where((lang != "und") & (score > least_score))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
-    )
+        _with_prediction(docs, model, "_pred").where((lang != "und") & (score > least_score)).select(*names)
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from surgewatch.llm.common import salted_join, saved, word_count
+from surgewatch.llm.common import renamed, salted_join, saved, word_count
 
 # Weights of the sources in code point order, repeating; share of
 # all words; most times a document or source can be taken.
@@ -205,14 +205,13 @@ def mixed(docs: DataFrame) -> DataFrame:
 
     Rates are computed without texts; equal rows share the sum of their copies.
     """
-    hashed = [f"`{f.name}`" for f in docs.schema if not f.dataType.simpleString().startswith("map<")]
+    docs, names = renamed(docs, "doc_id", "source", "text")
+    hashed = [f.name for f in docs.schema if not f.dataType.simpleString().startswith("map<")]
     keyed = docs.withColumn("_key", F.concat_ws("|", F.xxhash64(*hashed), F.col("doc_id")))
     rates = mix_rates(keyed.select("doc_id", "source", "text", F.col("_key").alias("_row")), "_row")
     totals = rates.groupBy(F.col("_row").alias("_key")).agg(F.sum("copies").cast("int").alias("_copies"))
     rows = keyed.dropDuplicates(["_key"]).join(totals.where("_copies > 0"), "_key")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*names)
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -101,3 +101,20 @@ def test_registered_sql(spark, small_dir, name):
         return sorted(tuple("" if pd.isna(v) else str(v) for v in row) for row in frame[sorted(want.columns)].itertuples(index=False))
 
     assert plain(got) == plain(want)
+
+
+CLASHES = ["_row", "_key", "_copies", "_copy", "_pred", "n_words", "starts", "ends", "item_ids", "a.b", "c1", "component_id", "size", "doc_id"]
+
+
+def test_stages_give_extra_columns_back(spark, tmp_path):
+    """Columns named as the stages' own, or with a dot, come out as they went in."""
+    spark.createDataFrame([(1, LEAK)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    names = ["text", "lang", "source", *CLASHES]
+    data = [(text_of(i), "en", "web", *[f"{n}{i}" for n in CLASHES[:-1]], i) for i in range(12)]
+    schema = ", ".join(f"`{n}` {'bigint' if n == 'doc_id' else 'string'}" for n in names)
+    docs = spark.createDataFrame(data, schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, str(tmp_path))
+        assert got.columns == names
+        rows = {tuple(r) for r in got.collect()}
+        assert rows and rows <= {tuple(r) for r in docs.collect()}

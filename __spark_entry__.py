@@ -8,7 +8,6 @@ year long because the tables span a month and seven years.
 from __future__ import annotations
 
 import importlib
-import importlib.util
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -296,12 +295,14 @@ def stream_processing_time_counts(spark, sf_dir):
 
 
 def _optional(name: str):
-    """A module that may have been removed; errors inside one that is there are raised."""
-    spec = importlib.util.find_spec(name)
-    return importlib.import_module(name) if spec and spec.origin else None
+    """A module that may have been removed, or that needs libraries which are not there."""
+    try:
+        return importlib.import_module(name)
+    except ImportError:
+        return None
 
 
-_llm = _optional("surgewatch.llm") and importlib.import_module("surgewatch.llm.queries")
+_llm = _optional("surgewatch.llm.queries")
 _pipeline = _llm and _optional("corpus_pipeline")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from surgewatch.functions.jsonio import alert_json
 from surgewatch.session import STREAM_CONF, session_conf
+from surgewatch.streaming.alert_table import NAME, AlertTable
 
 # Fixed value: seconds between micro-batches (and so between checkpoints).
 CHECKPOINT_SECONDS = 5
@@ -27,8 +28,9 @@ def write_alerts(
 ) -> StreamingQuery:
     """Start the query: one JSON document per alert, appended to the target.
 
-    ``text`` writes files of JSON lines (each alert exactly once), ``kafka``
-    writes to a topic (at least once). With ``foreach_batch`` the alert rows
+    ``text`` writes files of JSON lines and ``alert_table`` a table of finished
+    micro-batches (each alert exactly once in both), ``kafka`` writes to a
+    topic (at least once). With ``foreach_batch`` the alert rows
     themselves go to that function; see ``batch_folders``.
     """
     rows = alerts if foreach_batch or fmt == "parquet" else alert_json(alerts)
@@ -41,6 +43,8 @@ def write_alerts(
     else:
         writer = writer.trigger(processingTime=f"{trigger_seconds} seconds")
     writer = writer.foreachBatch(foreach_batch) if foreach_batch else writer.format(fmt)
+    if fmt == NAME:
+        alerts.sparkSession.dataSource.register(AlertTable)
     with session_conf(alerts.sparkSession, STREAM_CONF):
         return writer.start()
 

@@ -211,9 +211,9 @@ def alert_json_lookup(spark, sf_dir):
 # --- the four jobs as streams, over the whole table -------------------------
 
 
-def _stream(spark, sf_dir, job, name="events", to_logs=replay.event_logs, size=SIZE):
+def _stream(spark, sf_dir, job, name="events", to_logs=replay.event_logs, size=SIZE, fmt="parquet"):
     path = f"{sf_dir}/{name}.parquet"
-    return replay_alerts(spark, path, SCHEMAS[name], to_logs, job, size, files_per_trigger=1)
+    return replay_alerts(spark, path, SCHEMAS[name], to_logs, job, size, files_per_trigger=1, fmt=fmt)
 
 
 def _as_of_options(delay):
@@ -228,6 +228,15 @@ def stream_fixed_threshold_alerts(spark, sf_dir):
     return _stream(spark, sf_dir, job)
 
 
+def stream_alert_table(spark, sf_dir):
+    """The alerts of one threshold as JSON, from the table that takes each micro-batch once."""
+
+    def job(logs, events, delay):
+        return alerts.fixed_threshold_alerts(with_watermark(logs, delay=delay), SIZE, 2)
+
+    return _stream(spark, sf_dir, job, fmt="alert_table")
+
+
 def stream_lookup_alerts(spark, sf_dir):
     def job(logs, events, delay):
         dim = replay.lookup_table(spark)
@@ -342,6 +351,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hop_temporal_alerts": hop_temporal_alerts,
         "alert_json": alert_json_lookup,
         "stream_fixed_threshold_alerts": stream_fixed_threshold_alerts,
+        "stream_alert_table": stream_alert_table,
         "stream_lookup_alerts": stream_lookup_alerts,
         "stream_lookup_alerts_parts": stream_lookup_alerts_parts,
         "stream_temporal_alerts": stream_temporal_alerts,
@@ -532,6 +542,7 @@ def oracle_sql() -> dict[str, str]:
         "hop_temporal_alerts": hop_alerted,
         "alert_json": _json(lookup_alerted),
         "stream_fixed_threshold_alerts": fixed_alerted,
+        "stream_alert_table": _json(fixed_alerted),
         "stream_lookup_alerts": lookup_alerted,
         "stream_lookup_alerts_parts": parts_alerted,
         "stream_temporal_alerts": temporal_alerted,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from surgewatch.session import STREAM_CONF, scratch_dir, session_conf
+from surgewatch.streaming import alert_table
 from surgewatch.streaming.changelog import latest_stream, upserted
 from surgewatch.streaming.clocked import processing_time_counts
 from surgewatch.streaming.heartbeat import with_heartbeat
@@ -46,6 +47,7 @@ def replay_alerts(
     job: Callable[[DataFrame, DataFrame, str], DataFrame],
     window_size: int,
     files_per_trigger: int | None = None,
+    fmt: str = "parquet",
 ) -> DataFrame:
     """The alerts a job writes for a table read as a stream.
 
@@ -55,8 +57,11 @@ def replay_alerts(
     micro-batch, and none of their rows is late. When the table is used up, the
     job is started again from its checkpoint with one clock row, derived from
     the table, that lies well after the last log row and closes every window.
-    Alerts are written to the shared scratch folder and read back from there.
+    Alerts are written to the shared scratch folder and read back from there:
+    as rows, or with the format ``alert_table`` as ``value``, their JSON.
     """
+    if fmt not in ("parquet", alert_table.NAME):
+        raise ValueError(f"alerts are read back from parquet or {alert_table.NAME}, not {fmt}")
     work = scratch_dir(spark, "replay")
     with session_conf(spark, STREAM_CONF):
         times = to_logs(spark.read.schema(schema).parquet(path)).select(F.col("ts").cast("timestamp"))
@@ -76,13 +81,15 @@ def replay_alerts(
             alerts = job(with_heartbeat(logs, beats), rows, f"{late} seconds")
             target = {"path": f"{work}/alerts"}
             write_alerts(
-                alerts, "parquet", f"{work}/checkpoint", target, available_now=True
+                alerts, fmt, f"{work}/checkpoint", target, available_now=True
             ).awaitTermination()
 
         run()
         if last is not None:
             clock.write.mode("append").parquet(f"{work}/clock")
             run()
+    if fmt == alert_table.NAME:
+        return alert_table.read_alerts(spark, f"{work}/alerts")
     # Instants in UTC are written; read without a zone they are the table's times.
     return spark.read.schema(ALERT_SCHEMA).parquet(f"{work}/alerts")
 

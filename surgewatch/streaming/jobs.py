@@ -210,7 +210,7 @@ def run_lookup(
     cache.refresh()
     logs = with_watermark(_logs(spark, params, source, checkpoint, beats), delay=source.delay)
     salts = None if cache.kept else SALTS
-    rows = alerts.lookup_alerts(logs, dim, params.window_size, salts=salts)
+    rows = alerts.lookup_alerts(logs, cache.table, params.window_size, salts=salts)
     query = _start(rows, params, sink, checkpoint, name, write_options)
     cache.keep_fresh(query)
     return query

@@ -297,6 +297,34 @@ def test_a_table_over_the_row_limit_is_not_kept(spark, tmp_path, feeds, table):
     query.stop()
 
 
+def test_a_failing_read_keeps_the_copy(spark, tmp_path, feeds, table):
+    dim, put = table
+    # An id below 0 makes the read fail.
+    checked = dim.withColumn("id", F.when(F.col("id") >= 0, F.col("id")).otherwise(F.raise_error(F.lit("no table"))))
+    cache = SnapshotCache(checked, 1000, max_rows=5)
+    cache.refresh()
+    query, seen = lookup_stream(spark, tmp_path, feeds, cache.table)
+    put([(-1, 7, "a")])
+    for ip in ("1", "2"):
+        with pytest.raises(Exception, match="no table"):
+            cache.refresh()
+        assert cache.kept and seen(ip) == [2]
+    put([(1, 9, "a")])
+    assert seen("3") == [2]
+    cache.refresh()
+    put([(1, 4, "a")])
+    assert seen("4") == [9]
+    put([(i, i, "a") for i in range(6)])
+    cache.refresh()
+    assert not cache.kept and sorted(seen("5")) == [0, 1, 2, 3, 4, 5]
+    put([(1, 3, "a")])
+    cache.refresh()
+    put([(1, 5, "a")])
+    assert cache.kept and seen("6") == [3]
+    cache.release()
+    query.stop()
+
+
 # --- whole jobs -------------------------------------------------------------
 
 LINE = "value string, at timestamp"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surgewatch.llm.common import renamed, salted_join, saved, word_count
@@ -13,8 +13,6 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 LIMIT = 2.0
 
-#: Size classes per doubling; a class has one rate per source.
-CLASSES = 16
 #: Rows of a source that are rounded together.
 ROUND_ROWS = 50_000
 #: Times that what rounding left over is made up for by single copies.
@@ -23,57 +21,77 @@ NEWTON_STEPS = 60
 TOLERANCE = 1e-9
 
 
+def _running(table: DataFrame, name: str, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """The table with ``{key}`` per entry of ``sums``: the sum over all rows before it in an order.
+
+    The order must have no ties. The table is dealt by ranges of the order and
+    written; each task sums its own range, and sums of whole ranges, one row a
+    range, are put before it.
+    """
+    ranged = saved(table.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), name)
+    totals = ranged.groupBy("_range").agg(*[F.sum(v).alias(f"_all_{k}") for k, v in sums.items()])
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = totals.select("_range", *[F.sum(f"_all_{k}").over(before).alias(f"_all_{k}") for k in sums])
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = ranged.select("*", *[F.sum(v).over(inside).alias(f"_own_{k}") for k, v in sums.items()])
+    none = F.lit(0).cast("bigint")
+    return rows.join(F.broadcast(whole), "_range").select(*table.columns, *[
+        (F.coalesce(F.col(f"_all_{k}"), none) + F.coalesce(F.col(f"_own_{k}"), none)).alias(k) for k in sums
+    ])
+
+
 def _targets(sources: DataFrame) -> DataFrame:
-    """``source_size`` and ``target`` per source: a common level times the weight,
-    stopped at ``LIMIT`` times the size, the excess going to the others by weight.
+    """``source_size, source_rows``, ``most`` and ``target`` per source: a common level times
+    the weight, stopped at ``LIMIT`` times the size, the excess going to the others by weight.
 
-    The table has one row per source, so one task ranks it.
+    Sums are of whole numbers, so the order of rows changes nothing.
     """
+    place = _running(sources, "sources", [F.col("source").asc_nulls_last()], {"place": F.lit(1)})
     weight = F.element_at(
-        F.array(*[F.lit(float(w)) for w in WEIGHTS]),
-        F.pmod(F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1, F.lit(len(WEIGHTS))) + 1,
+        F.array(*[F.lit(w) for w in WEIGHTS]), (F.col("place") % len(WEIGHTS) + 1).cast("int")
     )
-    sources = sources.withColumn("weight", weight).withColumn("most", LIMIT * F.col("source_size"))
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    weighed = place.withColumn("weight", weight).withColumn("most", F.col("source_size") * int(LIMIT))
     # Sources stop in the order of most / weight. A row's level is what the
     # others share if exactly the rows before it have stopped.
     ratio = F.col("most") / F.col("weight")
-    order = Window.orderBy(ratio, F.col("source").asc_nulls_last())
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    full = F.coalesce(F.sum("most").over(before), F.lit(0.0))
-    gone = F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    total, weights = F.sum("source_size").over(everything), F.sum("weight").over(everything)
-    sources = sources.withColumn("place", F.row_number().over(order)).withColumn(
-        "level", (SHARE * total - full) / (weights - gone)
-    )
-    goes_on = F.col("most") > F.col("level") * F.col("weight")
-    first = F.min(F.when(goes_on, F.struct("place", "level"))).over(everything)
-    return sources.withColumn("first", first).select(
-        "source", "source_size", "most",
-        F.when(F.col("first").isNull(), F.col("most"))
-        .otherwise(F.least("most", F.col("first.level") * F.col("weight"))).alias("target"),
-    )
+    ranked = saved(_running(
+        weighed, "weighed", [ratio.asc(), F.col("place").asc()],
+        {"full": F.col("most"), "gone": F.col("weight"), "rank": F.lit(1)},
+    ), "ranked")
+    total, weights = ranked.agg(F.sum("source_size"), F.sum("weight")).first()
+    level = (SHARE * (total or 0) - F.col("full")) / ((weights or 0) - F.col("gone"))
+    goes_on = F.col("most") > level * F.col("weight")
+    first = ranked.where(goes_on).agg(F.min(F.struct(F.col("rank"), level.alias("level")))).first()[0]
+    most = F.col("most").cast("double")
+    target = most if first is None else F.least(most, F.lit(first.level) * F.col("weight"))
+    return ranked.select("source", "source_size", "source_rows", most.alias("most"), target.alias("target"))
 
 
 def _rate(tilt, feature):
-    """Times a document is taken: logistic, so that it never exceeds ``LIMIT``.
+    """Times a document is taken: an exponential tilt under the bounds 0 and ``LIMIT``.
 
-    It is what least relative entropy to an even rate gives under the bounds 0
-    and ``LIMIT``: the odds are those of rate 1, tilted by exp(tilt * feature).
+    Among rates with a given sum of size * rate, these have the least relative
+    entropy to taking each document once: minus the sum of r log r + (LIMIT - r)
+    log(LIMIT - r) is stationary where log(r / (LIMIT - r)) is the constraint's
+    multiplier times its coefficient, the size.
     """
     return LIMIT / (1.0 + F.exp(-F.greatest(F.least(tilt * feature, F.lit(500.0)), F.lit(-500.0))))
 
 
 def _feature():
-    """What the tilt works on: one and a sixteenth of the size's binary logarithm."""
-    return 1.0 + F.col("class") / (16.0 * CLASSES)
+    """The coefficient of a document in its source's constraint: its size over the source's mean."""
+    mean = F.col("source_size") / F.col("source_rows")
+    return F.when(mean > 0, F.col("size") / mean).otherwise(0.0)
 
 
 def balance(classes: DataFrame, targets: DataFrame) -> DataFrame:
-    """``tilt`` per source: the dual's root by Newton steps with a bracket.
+    """``tilt`` per source: where the gradient of the convex dual is 0, by Newton steps with a bracket.
 
-    ``classes`` has ``source, feature, words``. A source with nothing to take
-    has tilt -inf, one that is taken in full +inf.
+    ``classes`` has ``source, feature, words``, words being the sum of the sizes
+    that have the feature. The gradient is words taken less the target, the
+    Hessian the sum of words * feature * r (1 - r / LIMIT). A source with
+    nothing to take has tilt -inf, one that is taken in full +inf. Tilts are
+    rounded, so that the order of sums does not show.
     """
     infinite = F.lit(float("inf"))
     state = targets.select(
@@ -119,7 +137,12 @@ def balance(classes: DataFrame, targets: DataFrame) -> DataFrame:
         worst = state.agg(F.max("error")).first()[0]
         if worst is None or worst < TOLERANCE:
             break
-    return state.select("source", "tilt")
+    return state.select("source", F.when(fixed, F.col("tilt")).otherwise(F.round("tilt", 11)).alias("tilt"))
+
+
+def _key(source: str) -> Column:
+    """A source as a key that equals itself, null too."""
+    return F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("null"))
 
 
 def mix_rates(docs: DataFrame, *carried: str) -> DataFrame:
@@ -130,8 +153,8 @@ def mix_rates(docs: DataFrame, *carried: str) -> DataFrame:
     takes no words. An empty table gives no rows; if all sizes are 0 so are all
     targets. Repeated rows count each for itself. ``carried`` columns are kept.
 
-    Documents of a source fall into size classes, so that sums over (source,
-    class) replace rows in the iterations. Rates become copies by systematic
+    Documents of a source with one size have one rate, so that sums over (source,
+    size) replace rows in the iterations. Rates become copies by systematic
     rounding along the sizes: running sums of rates, started at a place drawn
     from the source's name, are rounded down, and their steps are the copies.
     A source with more rows than 50,000 is rounded in parts drawn by hash. What
@@ -143,29 +166,26 @@ def mix_rates(docs: DataFrame, *carried: str) -> DataFrame:
         word_count(F.col("text").cast("string")).alias("size"),
         F.xxhash64(F.col("doc_id").cast("string"), F.col("text").cast("string")).alias("_hash"), *carried,
     )
-    step = F.floor(F.log2(F.greatest("size", F.lit(1))) * CLASSES).cast("int")
-    base = saved(base.withColumn("class", step), "sizes")
-    groups = saved(
-        base.groupBy("source", "class").agg(
-            F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows")
-        ),
-        "classes",
-    )
+    base = saved(base, "sizes")
+    groups = saved(base.groupBy("source", "size").agg(F.count(F.lit(1)).alias("rows")), "groups")
     sources = groups.groupBy("source").agg(
-        F.sum("words").alias("source_size"), F.sum("rows").alias("source_rows")
+        F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.sum("rows").alias("source_rows")
     )
-    targets = saved(_targets(sources).join(
-        sources.select(F.col("source").alias("_s"), "source_rows"), F.col("source").eqNullSafe(F.col("_s"))
-    ).drop("_s"), "targets")
-    classes = groups.select("source", _feature().alias("feature"), F.col("words").cast("double").alias("words"))
+    targets = saved(_targets(sources), "targets")
+    of_source = targets.select(F.col("source").alias("_s"), "source_size", "source_rows")
+    classes = saved(salted_join(
+        groups.withColumn("_key", _key("source")), of_source.withColumn("_key", _key("_s")), ["_key"]
+    ).select(
+        "source", _feature().alias("feature"), (F.col("size") * F.col("rows")).cast("double").alias("words")
+    ), "classes")
     tilts = balance(classes, targets)
     plan = targets.alias("t").join(
         tilts.alias("b"), F.col("t.source").eqNullSafe(F.col("b.source"))
     ).select(
-        F.coalesce(F.concat(F.lit("="), "t.source"), F.lit("null")).alias("_key"),
-        "source_size", "target", "tilt", F.ceil(F.col("source_rows") / ROUND_ROWS).alias("_parts"),
+        _key("t.source").alias("_key"), "source_size", "source_rows", "target", "tilt",
+        F.ceil(F.col("source_rows") / ROUND_ROWS).alias("_parts"),
     )
-    keyed = base.withColumn("_key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")))
+    keyed = base.withColumn("_key", _key("source"))
     rows = salted_join(keyed, plan, ["_key"])
     infinite = float("inf")
     rate = F.when(F.col("tilt") == infinite, F.lit(LIMIT)).when(
@@ -181,7 +201,7 @@ def mix_rates(docs: DataFrame, *carried: str) -> DataFrame:
     for _ in range(REPAIRS):
         rows = _repaired(rows)
     return rows.withColumn("copies", F.col("copies").cast("int")).drop(
-        "_hash", "_key", "_part", "_parts", "_upto", "tilt", "class"
+        "_hash", "_key", "_part", "_parts", "_upto", "tilt", "source_rows"
     )
 
 

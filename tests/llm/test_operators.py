@@ -1,6 +1,7 @@
 """Operators against brute force on small tables with nulls, ties, copies and odd columns."""
 
 import hashlib
+import math
 import re
 import zlib
 
@@ -189,6 +190,57 @@ def test_mix(docs):
     assert mixing.mixed(docs).count() == sum(r.copies for r in got)
 
 
+def direct_mix(rows):
+    """Targets by resharing until none is above, rates by bisection of the dual: plain Python."""
+    sizes = {}
+    for source, size in rows:
+        sizes.setdefault(source, []).append(size)
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(order)}
+    most = {s: 2.0 * sum(sizes[s]) for s in order}
+    target, open_ = {}, set(order)
+    while open_:
+        left = 1.5 * sum(map(sum, sizes.values())) - sum(target.values())
+        level = left / sum(weight[s] for s in open_)
+        above = {s for s in open_ if most[s] <= level * weight[s]}
+        target |= {s: most[s] for s in above} or {s: level * weight[s] for s in open_}
+        open_ = open_ - above if above else set()
+    rates = {}
+    for s in order:
+        low, high = -1e3, 1e3
+        mean = sum(sizes[s]) / len(sizes[s]) or 1.0
+
+        def rate(tilt, size, mean=mean):
+            return 2.0 / (1.0 + math.exp(min(500.0, max(-500.0, -tilt * size / mean))))
+
+        for _ in range(200):
+            tilt = (low + high) / 2
+            low, high = (tilt, high) if sum(x * rate(tilt, x) for x in sizes[s]) < target[s] else (low, tilt)
+        rates |= {(s, x): rate(tilt, x) for x in sizes[s]}
+    return target, rates
+
+
+def test_mix_against_a_direct_solver(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROUND_ROWS", 150)
+    data = [(i, "w " * (1 + (i * i * 7919) % 97 ** (1 + i % 2) // 9), "big" if i % 3 else f"s{i % 21}") for i in range(900)]
+    data += [(1000 + i, "w " * (i % 5), None) for i in range(40)] + [(2000, None, "none"), (2001, "", "none")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    want, rates = direct_mix([(s, len((t or "").split())) for _, t, s in data])
+    got = mixing.digest(docs).collect()
+    source = {i: s for i, _, s in data}
+    assert len(got) == len(data)
+    for r in got:
+        s = source[r.doc_id]
+        assert r.target == pytest.approx(want[s])
+        if 0 < want[s] < 2 * r.source_size * (1 - 1e-9):
+            assert r.rate == pytest.approx(rates[s, r.size], abs=1e-6)
+        assert abs(r.copies - r.rate) < 2 and 0 <= r.copies <= 2
+    for s, target in want.items():
+        mine = [r for r in got if source[r.doc_id] == s]
+        assert abs(sum(r.taken for r in mine) - target) <= max(2, 0.01 * target)
+    assert sorted(map(str, mixing.digest(docs.repartition(7)).collect())) == sorted(map(str, got))
+
+
 def test_languages(spark):
     data = [(i, " ".join(w[(i * k) % 7] for k in range(1, 9)), lang)
             for lang, w in (("aa", "tor zal mek pon rus dib vex".split()), ("bb", "ény ölu àqi ûsh îma éço tèw".split()))

@@ -18,7 +18,7 @@ BASE = (
     ("cc-by-nc", "cc by nc"),
 )
 
-V = "(?:version |v )?"
+V = "(?:version |v ?)?"
 # License, words of which some must occur (| separates the choices), expression
 # for its name. Text is single words with one blank between them: "2.0" is
 # "2 0", "BY-NC" is "by nc".
@@ -73,15 +73,59 @@ NAMES = (
     ("pddl-1", "pddl|open data commons", rf"pddl(?: {V}1(?: 0)?)?|open data commons public domain dedication"),
     ("gfdl-1.3", "gfdl|gnu free documentation", rf"gfdl {V}1 3|gnu free documentation license {V}1 3"),
     ("rail-m", "openrail|open rail|rail", r"(?:bigscience |creativeml )?open ?rail(?: m)?"),
+    # Families without a version; of two equal matches the earlier, more exact name counts.
+    ("apache", "apache", r"apache(?: software)?(?: licen[cs]e)?"),
+    ("bsd", "bsd", r"bsd(?: style| like)?"),
+    ("gpl", "gpl|gnu general", r"(?:gnu )?gpl|gnu general public license"),
+    ("lgpl", "lgpl|gnu library|gnu lesser", r"(?:gnu )?lgpl|gnu (?:library|lesser) general public license"),
+    ("agpl", "agpl|gnu affero", r"(?:gnu )?agpl|gnu affero general public license"),
+    ("gfdl", "gfdl|gnu free documentation", r"gfdl|gnu free documentation license"),
+    ("mpl", "mpl|mozilla", r"mpl|mozilla(?: public)?(?: licen[cs]e)?"),
+    ("epl", "epl|eclipse public", r"epl|eclipse public(?: licen[cs]e)?"),
+    ("eupl", "eupl|european union public", r"eupl|european union public licen[cs]e"),
+    ("cddl", "cddl|common development", r"cddl|common development and distribution license"),
+    ("artistic", "artistic|perl artistic", r"(?:perl )?artistic"),
+    ("creative-commons", "creative commons", r"creative commons(?: public)?(?: licen[cs]e)?"),
 )
 
-# Ways to state a name, best first: word that must occur, expression.
+#: Names of programs and places too: by themselves they state no license.
+ALSO_THINGS = frozenset((
+    "mit", "apache", "apache-1.1", "apache-2", "artistic", "artistic-1", "artistic-2", "bsd", "isc", "mpl",
+    "ncsa", "openssl", "php-3.01", "postgresql", "python-2", "rail-m", "ruby", "unlicense", "zlib",
+))
+
+OFFERED = r"licen[cs]ed|released|distributed|available|published|provided|covered|offered|shared|made available|redistributed"
+TERMS = r"(?:the |a |an )?(?:terms (?:and conditions )?of (?:the |a )?)?"
+LICENSE = r" (?:international |unported |public |open source )?licen[cs]e"
+VERSION = r"(?: (?:version |v ?)?[0-9](?: [0-9])?(?= ))?"
+
+# Ways to state a name, best first: word that must occur, expression, and the
+# expression for names of :data:`ALSO_THINGS`, which need a word of licensing.
 STATEMENTS = (
-    ("spdx", r"spdx license identifiers? (?:{name})"),
-    ("under", r"(?:licen[cs]ed|released|distributed|available|published|provided|covered|offered|shared|made available|redistributed) under (?:the |a )?(?:terms (?:and conditions )?of (?:the )?)?(?:{name})(?: licen[cs]e)?(?: version [0-9](?: [0-9])?)?"),
-    ("under", r"under (?:the |a )?(?:terms of (?:the )?)?(?:{name})(?: licen[cs]e)?(?: version [0-9](?: [0-9])?)?"),
-    ("licen", r"licen[cs]e(?:s|d)?(?: type| name)?(?: is| as)? (?:the )?(?:{name})(?: licen[cs]e)?"),
-    ("licen", r"(?:the )?(?:{name}) (?:international |unported |public )?licen[cs]e"),
+    ("spdx", r"spdx license identifiers? (?:{name})", r"spdx license identifiers? (?:{name})"),
+    (
+        "under",
+        rf"(?:{OFFERED}) under {TERMS}(?:{{name}})(?:{LICENSE})?{VERSION}",
+        rf"(?:licen[cs]ed under {TERMS}(?:{{name}})(?:{LICENSE})?|(?:{OFFERED}) under {TERMS}(?:{{name}})(?:{LICENSE}|(?<=licen[cs]e[ .0-9a-z]{{0,12}}))){VERSION}",
+    ),
+    (
+        "under",
+        rf"under {TERMS}(?:{{name}})(?:{LICENSE})?{VERSION}",
+        rf"under {TERMS}(?:{{name}})(?:{LICENSE}|(?<=licen[cs]e[ .0-9a-z]{{0,12}})){VERSION}",
+    ),
+    (
+        "licen",
+        r"licen[cs]e(?:s|d)?(?: type| name)?(?: is| as)? (?:the )?(?:{name})(?: licen[cs]e)?",
+        r"licen[cs]e(?: type| name)?(?: is| as)? (?:the )?(?:{name})(?: licen[cs]e)?(?! (?:code|library|server|toolkit|team|foundation|on)(?= ))",
+    ),
+    ("licen", rf"(?:the )?(?:{{name}}){LICENSE}", rf"(?:the )?(?:{{name}}){LICENSE}"),
+)
+
+#: What denies a license. A match has no label and suppresses what lies in it.
+ABBREVIATED = r"licen[cs]e|[al]?gpl(?:v[0-9])?|mpl|epl|cddl|cc0|cc by(?: (?:nc|sa|nd))*"
+DENIALS = (
+    ("under", rf"(?:not|never|nor|neither|no longer)(?! (?:only|just|merely) ) (?:be |been |yet |currently |being )?(?:(?:{OFFERED}) )?under (?:[^ ]+ ){{0,7}}?(?:{ABBREVIATED}){VERSION}"),
+    ("licen", rf"(?:is|are|was|were) (?:not|no longer)(?! (?:only|just|merely) ) (?:under )?(?:the |an? )?(?:[^ ]+ ){{0,4}}?licen[cs]e{VERSION}"),
 )
 
 # Wording of the licenses themselves: label, word that must occur, expression.
@@ -110,6 +154,37 @@ WORDINGS = (
     ("cc-by-nc-sa", "creativecommons", r"creativecommons org licenses by nc sa [1-4] [05]"),
     ("cc-by-nc-nd", "creativecommons", r"creativecommons org licenses by nc nd [1-4] [05]"),
     ("cc0", "creativecommons", r"creativecommons org publicdomain zero 1 0"),
+    ("gpl-1", "gpl", rf"(?:gnu )?gpl {V}1(?: 0)? or (?:any )?later"),
+    ("gpl-2", "gpl", rf"(?:gnu )?gpl {V}2(?: 0)? (?:or (?:any )?later|only)"),
+    ("gpl-3", "gpl", rf"(?:gnu )?gpl {V}3(?: 0)? (?:or (?:any )?later|only)"),
+    ("lgpl-2.1", "lgpl", rf"(?:gnu )?lgpl {V}2 1 (?:or (?:any )?later|only)"),
+    ("lgpl-3", "lgpl", rf"(?:gnu )?lgpl {V}3(?: 0)? (?:or (?:any )?later|only)"),
+    ("agpl-3", "agpl", rf"(?:gnu )?agpl {V}3(?: 0)? (?:or (?:any )?later|only)"),
+    ("gpl-2", "gplv2", r"(?:gnu )?gplv2(?: 0)?(?: or (?:any )?later| only)?"),
+    ("gpl-3", "gplv3", r"(?:gnu )?gplv3(?: 0)?(?: or (?:any )?later| only)?"),
+    ("lgpl-2.1", "lgplv2", r"(?:gnu )?lgplv2 1(?: or (?:any )?later| only)?"),
+    ("lgpl-3", "lgplv3", r"(?:gnu )?lgplv3(?: or (?:any )?later| only)?"),
+    ("agpl-3", "agplv3", r"(?:gnu )?agplv3(?: or (?:any )?later| only)?"),
+    ("mit", "as is", r"the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("mit", "permission notice", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("apache-2", "apache", r"you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org"),
+    ("bsd-3-clause", "endorse or promote", r"neither the name of (?:[^ ]+ ){1,12}?nor the names of its contributors may be used to endorse or promote products derived from this software"),
+    ("bsd-4-clause", "advertising materials", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("bsd-2-clause", "redistributions", r"redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("agpl-3", "affero", r"terms of the gnu affero general public license as published by the free software foundation either version 3"),
+    ("lgpl-3", "lesser", r"terms of the gnu lesser general public license as published by the free software foundation either version 3"),
+    ("gfdl-1.3", "free documentation", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license version 1 3"),
+    ("mpl-2", "mozilla", r"if a copy of the mpl was not distributed with this file you can obtain one at https? mozilla org mpl 2 0"),
+    ("bsl-1", "boost", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license|boost org license 1 0 txt"),
+    ("zlib", "altered source", r"altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("postgresql", "permission to use", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("ncsa", "software without restriction", r"deal with the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense"),
+    ("python-2", "licensee a nonexclusive", r"psf hereby grants licensee a nonexclusive royalty free world wide license"),
+    ("ofl-1.1", "font software", r"permission is hereby granted free of charge to any person obtaining a copy of the font software|scripts sil org ofl"),
+    ("cc0", "waives", r"waives abandons and surrenders all of affirmer s copyright and related rights"),
+    ("cddl-1", "common development", r"subject to the terms of the common development and distribution license"),
+    ("odbl-1", "opendatacommons", r"opendatacommons org licenses odbl(?: 1 0)?"),
+    ("pddl-1", "opendatacommons", r"opendatacommons org licenses pddl(?: 1 0)?"),
     ("proprietary", "all rights reserved", r"proprietary and confidential|all rights reserved unauthorized"),
 )
 
@@ -117,10 +192,13 @@ WORDINGS = (
 def rules() -> list[tuple[int, int, str, str, str, str]]:
     """(priority, order, label, keyword, name, expression), the best priority first.
 
-    Wordings of licenses come first, then each way of stating each name.
+    Denials, with no label, and wordings of licenses come first, then each way
+    of stating each name.
     """
-    found = [(0, label, word, "", text) for label, word, text in WORDINGS]
-    for (rank, (word, shape)), (label, _, name) in product(enumerate(STATEMENTS), NAMES):
+    found = [(0, "", word, "", text) for word, text in DENIALS]
+    found += [(0, label, word, "", text) for label, word, text in WORDINGS]
+    for (rank, (word, clear, guarded)), (label, _, name) in product(enumerate(STATEMENTS), NAMES):
+        shape = guarded if label in ALSO_THINGS else clear
         found.append((rank + 1, label, word, name, shape.replace("{name}", name)))
     return [
         (priority, order, label, word, name, rf"(?<= )(?:{text})(?= )")
@@ -141,7 +219,10 @@ def _rule_array() -> Column:
 #: Text in which the rules are tried; every rule's keyword contains one of these or is one.
 GATE = ("licen", "spdx", "hereby granted", "apache", "redistribution", "free software", "gnu general",
         "lesser", "mozilla", "eclipse", "permission to use", "as is", "unencumbered", "what the",
-        "public domain", "creativecommons", "all rights reserved", " under ")
+        "public domain", "creativecommons", "all rights reserved", " under ", "gpl", "permission notice",
+        "endorse or promote", "advertising materials", "affero", "free documentation", "boost",
+        "altered source", "software without restriction", "font software", "waives", "common development",
+        "opendatacommons")
 
 DETECTION = "start:bigint,end:bigint,priority:int,order:int,label:string"
 
@@ -192,7 +273,7 @@ def resolved(found: Column) -> Column:
 
     In the order of start, longest first, a detection lies in an earlier one
     exactly if it ends no later, so one pass with the largest end so far per
-    priority is enough.
+    priority is enough. Denials suppress, and are left out themselves.
     """
     ranks = len(STATEMENTS) + 1
     ordered = F.array_sort(F.transform(found, lambda d: F.struct(
@@ -216,7 +297,7 @@ def resolved(found: Column) -> Column:
         )
 
     start = F.struct(ends.alias("ends"), none.alias("out"))
-    return F.aggregate(ordered, start, step, lambda s: s["out"])
+    return F.aggregate(ordered, start, step, lambda s: F.filter(s["out"], lambda d: d["label"] != ""))
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
@@ -226,7 +307,9 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     characters beyond ASCII. Null is an empty text: no words, no labels, score
     0. Places overlap freely; repeated rows give repeated results. Score is 1
     for a license's own wording and falls with the rule's priority; a document
-    with only a base phrase has 0.5.
+    with only a base phrase has 0.5. A name that is also a thing's needs a word
+    of licensing beside it; a license that is denied gives no label, but for base
+    phrases.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     upper, lower = string.ascii_uppercase, string.ascii_lowercase

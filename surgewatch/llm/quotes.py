@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surgewatch.llm.common import salted_join, saved
+from surgewatch.llm.common import once, salted_join, saved
 
 #: Ends of sentences: marks followed by a blank, and full-width marks.
 SENTENCE = r"(?<=[.!?])\s+|(?<=[。！？])"
@@ -26,26 +26,32 @@ def _normal(text: Column) -> Column:
 
 
 def _runs(lines: Column) -> Column:
-    """Consecutive lines of one quote level, empty lines ending a run: ``level, text``."""
-    empty = F.array().cast("array<struct<level:int,text:string>>")
-
-    def step(state, line):
-        level, text = _level(line), F.rtrim(_bare(line))
-        last = F.try_element_at(state["out"], F.lit(-1))
-        same = F.coalesce(last["level"] == level, F.lit(False)) & state["open"]
-        grown = F.concat(
-            F.slice(state["out"], F.lit(1), F.greatest(F.size(state["out"]) - 1, F.lit(0))),
-            F.array(F.struct(level.alias("level"), F.concat_ws("\n", last["text"], text).alias("text"))),
-        )
-        new = F.array_append(state["out"], F.struct(level.alias("level"), text.alias("text")))
-        blank = F.trim(text) == ""
-        return F.struct(
-            (~blank).alias("open"),
-            F.when(blank, state["out"]).when(same, grown).otherwise(new).alias("out"),
-        )
+    """Consecutive lines of one quote level, empty lines ending a run: ``level, text``.
+
+    Lines are put together as one text in which carriage returns, that no line
+    has, begin the runs, so the work grows with the text alone.
+    """
+    shaped = F.transform(
+        lines, lambda x: F.struct(_level(x).alias("level"), F.rtrim(_bare(x)).alias("text"))
+    )
+
+    def blank(line):
+        return F.trim(line["text"]) == ""
+
+    def joined(all_lines):
+        def piece(line, i):
+            last = F.get(all_lines, i - 1)
+            goes_on = F.coalesce(~blank(last) & (last["level"] == line["level"]), F.lit(False))
+            begins = F.concat(F.lit("\r"), line["level"].cast("string"), F.lit(" "), line["text"])
+            return F.when(blank(line), "").when(goes_on, F.concat(F.lit("\n"), line["text"])).otherwise(begins)
+
+        return F.array_join(F.transform(all_lines, piece), "")
 
-    start = F.struct(F.lit(False).alias("open"), empty.alias("out"))
-    return F.aggregate(lines, start, step, lambda s: s["out"])
+    runs = F.filter(F.split(once(shaped, joined), "\r", -1), lambda x: x != "")
+    return F.transform(runs, lambda x: F.struct(
+        F.substring_index(x, " ", 1).cast("int").alias("level"),
+        F.substring(x, F.locate(" ", x) + 1, F.length(x)).alias("text"),
+    ))
 
 
 def parsed(messages: DataFrame) -> DataFrame:

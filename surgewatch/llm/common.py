@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from surgewatch.session import scratch_dir
 
-#: A key with more than this share of a table's rows counts as hot, so at most
-#: ``HOT_KEYS`` keys can, and their list is small whatever the table's size.
+#: A key with more than this share of a table's rows counts as hot,
 HOT_KEYS = 2048
-#: Parts into which the rows of one hot key are dealt.
-SALTS = 32
+#: or, in large tables, with more rows than this,
+HOT_ROWS = 1_000_000
+#: but no share below this: at most so many keys are listed, whatever the table's size.
+MOST_KEYS = 65_536
 #: A table with fewer rows is joined as it is: one task could take all of it.
 SMALL_ROWS = 20_000
 
@@ -61,36 +62,39 @@ def salted_join(
 
     ``left`` should be cheap to read twice: its keys are counted first, unless
     ``counts`` has the rows ``_n`` of at least the keys in ``right``. Rows of
-    a key with over 1/2048 of all rows are dealt out to 32 parts, and the key's
-    one row of ``right`` is copied to each; rows equal in all columns go to one
-    part. Only the list of hot keys (at most
-    2048) is broadcast. ``how`` is inner, left or left_semi. Null keys match nothing.
+    a hot key (:func:`hot_limit`) are dealt out to parts of about as many rows as
+    make a key hot, and the key's one row of ``right`` is copied to each, twice
+    the number of listed keys in all; rows equal in all columns go to one part.
+    Only the list of hot keys (at most 65,536) is broadcast. ``how`` is inner,
+    left or left_semi. Null keys match nothing.
     """
     rows = left.count()
     if rows < SMALL_ROWS:
         return left.join(right, keys, how)
+    limit = hot_limit(rows)
     if counts is None:
         counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = F.broadcast(
-        counts.where((F.col("_n") > rows / HOT_KEYS)).select(*keys, F.lit(True).alias("_hot"))
+        counts.where(F.col("_n") > limit).select(*keys, F.ceil(F.col("_n") / limit).alias("_parts"))
     )
+    parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
     # By what a row holds: a task that runs again may read its rows in another order.
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")
-    dealt = left.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), spread).otherwise(0)
-    )
+    spread = F.pmod(F.xxhash64(*left.columns), parts)
+    dealt = left.join(hot, keys, "left").withColumn("_salt", spread)
     copied = right.join(hot, keys, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))
     )
-    joined = dealt.drop("_hot").join(copied.drop("_hot"), [*keys, "_salt"], how)
+    joined = dealt.drop("_parts").join(copied.drop("_parts"), [*keys, "_salt"], how)
     return joined.drop("_salt")
 
 
+def hot_limit(rows: int) -> float:
+    """Rows that make a key of a table hot: 1/2048 of all, or a million where that is
+    more, but at least 1/65,536 of all, so that the list of hot keys stays small.
+    """
+    return max(min(rows / HOT_KEYS, HOT_ROWS), rows / MOST_KEYS)
+
+
 def renamed(docs: DataFrame, *kept: str) -> tuple[DataFrame, list[Column]]:
     """The rows with names that clash with none, ``c0, c1`` and so on, but for those ``kept``.
 

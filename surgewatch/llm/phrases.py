@@ -19,6 +19,9 @@ WINDOW = 50
 PHRASE = 8
 #: Characters of segments that one automaton's shard is made of, on average.
 SHARD_CHARS = 2 << 20
+#: Segments of one phrase that an automaton takes: they are in one shard, so this
+#: bounds a shard's memory, some 1 MB of text, beside what it holds on average.
+PHRASE_SEGMENTS = 1000
 #: Windows of a segment at most.
 SEGMENT_WINDOWS = 64
 
@@ -103,7 +106,7 @@ def cutter(window: int):
     """The text of each segment listed for a document."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "key", "phrase", "first", "text"]
+        names = ["doc_id", "key", "phrase", "first", "text", "hot"]
         for batch in batches:
             rows: list[list] = [[] for _ in names]
             columns = [batch.column(c).to_pylist() for c in ("doc_id", "key", "listed")]
@@ -113,7 +116,7 @@ def cutter(window: int):
                 for one in listed:
                     part = words[one["first"] : one["first"] + one["windows"] + window - 1]
                     for column, value in zip(
-                        rows, (doc_id, key, one["phrase"], one["first"], b" ".join(part)), strict=True
+                        rows, (doc_id, key, one["phrase"], one["first"], b" ".join(part), one["hot"]), strict=True
                     ):
                         column.append(value)
                 if len(rows[0]) > 20_000:
@@ -125,7 +128,7 @@ def cutter(window: int):
 
 
 def _segment_rows(rows: list[list], names: list[str]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names=names)
 
 
@@ -293,16 +296,19 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
     runs = saved(runs, "runs")
     short = F.xxhash64("key")
-    recurring = runs.groupBy("phrase").agg(F.min(short).alias("a"), F.max(short).alias("b")).where("a <> b")
-    listed = salted_join(runs, recurring.select("phrase"), ["phrase"], "left_semi").groupBy("key", "doc_id").agg(
-        F.collect_list(F.struct("phrase", "first", "windows")).alias("listed")
+    recurring = runs.groupBy("phrase").agg(
+        F.min(short).alias("a"), F.max(short).alias("b"), F.count(F.lit(1)).alias("m")
+    ).where("a <> b")
+    hot = recurring.select("phrase", (F.col("m") > PHRASE_SEGMENTS).alias("hot"))
+    listed = salted_join(runs, hot, ["phrase"]).groupBy("key", "doc_id").agg(
+        F.collect_list(F.struct("phrase", "first", "windows", "hot")).alias("listed")
     )
     wanted = plain.alias("d").join(listed.alias("l"), _same("d", "l")).select(
         "d.doc_id", "d.key", "d.text", "l.listed"
     ).dropDuplicates(["key"])
     wanted = saved(wanted, "wanted")
     cut = wanted.mapInArrow(
-        cutter(window), "doc_id bigint, key string, phrase bigint, first bigint, text string"
+        cutter(window), "doc_id bigint, key string, phrase bigint, first bigint, text string, hot boolean"
     )
     spans = _located(cut, wanted, window)
     spans = spans.groupBy("doc_id", "key").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
@@ -328,26 +334,22 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def _located(cut: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     """Spans to remove from the documents whose segments ``cut`` has.
 
-    A phrase with more segments than a shard should have is split by the
-    segments' windows: each of its windows alone, filed under its own hash.
+    A phrase with over ``PHRASE_SEGMENTS`` segments, at any size of the table, is
+    split by the segments' windows: each of its windows alone, filed under its
+    own hash. So an automaton never holds more of one phrase.
     """
     sizes = wanted.agg(F.sum(F.size("listed")).alias("n")).first()["n"] or 0
     mean = window * 2 * 8  # characters of a segment, roughly
     shards = max(1, sizes * mean // SHARD_CHARS)
-    by_phrase = wanted.select(F.explode("listed.phrase").alias("phrase")).groupBy("phrase").agg(
-        F.count(F.lit(1)).alias("m")
-    )
-    hot = F.broadcast(by_phrase.where(F.col("m") > max(1000, sizes // 2048)).select("phrase", F.lit(True).alias("hot")))
-    marked = cut.join(hot, "phrase", "left")
     words = F.split("text", " ")
     last = F.size(words) - window + 1
     single = F.transform(F.sequence(F.lit(1), last), lambda i: F.struct(
         (F.col("first") + i - 1).alias("first"), F.array_join(F.slice(words, i, window), " ").alias("text"),
     ))
-    cold = marked.where("hot is null").select(
+    cold = cut.where("not hot").select(
         F.pmod(F.xxhash64("phrase"), F.lit(shards)).alias("shard"), "doc_id", "key", "first", "text"
     )
-    split = marked.where("hot").select("doc_id", "key", F.explode(single).alias("s")).select(
+    split = cut.where("hot").select("doc_id", "key", F.explode(single).alias("s")).select(
         "doc_id", "key", "s.first", "s.text"
     )
     # A window of a hot phrase needs no automaton: its owner is the least document.

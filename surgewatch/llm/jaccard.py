@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -184,49 +185,91 @@ def links(sets: DataFrame, keys: DataFrame, percent: int = PERCENT) -> DataFrame
 def left_over(sets: DataFrame, keys: DataFrame, label: DataFrame, percent: int) -> DataFrame:
     """Links between sets of different components that share a key.
 
-    Components that share keys form a cluster, and a cluster's sets are dealt to
-    blocks: a component larger than a block to blocks of its own, others
-    together. Each two blocks are compared by one task, unless both are of the
-    same component. So no pairs are listed, a task holds two blocks, and a
-    large component meets only what is not part of it.
+    Components that share keys form a cluster. A cluster of over a block's sets
+    is taken apart into its keys if comparing the sets of each key with each
+    other is less than comparing the cluster's: chains of keys, as common
+    passages make them, cost what their keys cost and not the square of the
+    chain. The sets of such a unit, a cluster or a key, are dealt to blocks: in
+    units larger than a block by size, and there a component larger than a block
+    to blocks of its own. Each two blocks whose sizes can link are compared by
+    one task, unless both are of the same component. So no pairs are listed, a
+    task holds two blocks, and a large component meets only what is not part of it.
     """
     own = saved(_labelled(keys, label), "labelled")
     open_ = own.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    own = saved(salted_join(own, open_.select("key", "low"), ["key"]).select("id", "root", "low").distinct(), "open")
+    own = saved(
+        salted_join(own, open_.select("key", "low"), ["key"]).select("key", "id", "n", "root", "low").distinct(), "open"
+    )
     roots = own.select(F.col("root").alias("a"), F.col("low").alias("b"))
-    clusters = components(roots).select(F.col("node").alias("root"), F.col("root").alias("cluster"))
-    members = own.select("id", "root").distinct()
-    sizes = saved(
-        members.groupBy("root").agg(F.count(F.lit(1)).alias("m")).join(clusters, "root"), "clusters"
+    clusters = saved(
+        components(roots).select(F.col("node").alias("root"), F.col("root").alias("cluster")), "clusters"
     )
-    mixed = sizes.where(F.col("m") <= BLOCK_SETS).groupBy("cluster").agg(F.sum("m").alias("rest"))
-    sizes = sizes.join(mixed, "cluster", "left")
-    large = F.col("m") > BLOCK_SETS
-    of_root = sizes.select(
-        "root", "cluster", F.when(large, F.col("root")).alias("only"),
-        F.when(large, F.ceil(F.col("m") / BLOCK_SETS)).alias("parts"),
-        F.pmod(F.xxhash64("root"), F.ceil(F.col("rest") / BLOCK_SETS)).alias("mix"),
-    )
-    part = F.when(F.col("parts").isNull(), F.col("mix")).otherwise(F.pmod(F.xxhash64("id"), F.col("parts")))
-    block = F.xxhash64(F.col("cluster"), F.coalesce(F.col("only"), F.lit(b"")), part)
-    placed = salted_join(members, of_root, ["root"]).withColumn("block", block)
-    placed = saved(placed.select("id", "root", "cluster", "only", "block"), "blocks")
-    blocks = saved(placed.select("cluster", "only", "block").distinct(), "blocks")
-    x, y = blocks.alias("x"), blocks.alias("y")
-    tasks = x.join(y, F.col("x.cluster") == F.col("y.cluster")).where(
+    rows = saved(_units(own, clusters, percent), "units")
+    blocks, placed = _blocks(rows)
+    x = blocks.select("*", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)).alias("near")).alias("x")
+    y = blocks.alias("y")
+    tasks = x.join(y, (F.col("x.unit") == F.col("y.unit")) & (F.col("x.near") == F.col("y.size"))).where(
         (F.col("x.block") <= F.col("y.block"))
-        & ~F.coalesce(F.col("x.only") == F.col("y.only"), F.lit(False))
+        & ~((F.col("x.only") == F.col("y.only")) & (F.col("x.only") != F.lit(b"")))
     ).select(F.xxhash64("x.block", "y.block").alias("task"), F.col("x.block").alias("b1"), F.col("y.block").alias("b2"))
-    sides = tasks.select("task", F.col("b1").alias("block"), F.lit(0).alias("side")).unionAll(
+    sides = saved(tasks.select("task", F.col("b1").alias("block"), F.lit(0).alias("side")).unionAll(
         tasks.where("b1 <> b2").select("task", F.col("b2").alias("block"), F.lit(1).alias("side"))
-    )
-    rows = placed.select("id", "root", "block").join(sides, "block").select("task", "side", "id", "root")
+    ), "tasks")
+    rows = placed.join(sides, "block").select("task", "side", "id", "root")
     rows = salted_join(rows, sets.select("id", "n", "hashes"), ["id"])
     return rows.repartition("task").sortWithinPartitions("task").mapInArrow(
         comparer(percent), "a binary, b binary"
     )
 
 
+def _units(own: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """``unit, id, root, size``: the sets to compare, by cluster or by key.
+
+    ``size`` is a class: linked sets are of one or of neighbouring classes.
+    """
+    members = own.select("id", "root").distinct().groupBy("root").agg(F.count(F.lit(1)).alias("m"))
+    sizes = members.join(clusters, "root").groupBy("cluster").agg(F.sum("m").alias("all"))
+    by_key = own.groupBy("key").agg(F.count(F.lit(1)).cast("double").alias("m"), F.min("root").alias("root"))
+    costs = by_key.join(clusters, "root").groupBy("cluster").agg(F.sum(F.col("m") * F.col("m")).alias("apart"))
+    whole = F.col("all").cast("double")
+    apart = sizes.join(costs, "cluster").select(
+        "cluster", ((F.col("all") > BLOCK_SETS) & (F.col("apart") < whole * whole)).alias("apart")
+    )
+    of_root = salted_join(clusters, apart, ["cluster"])
+    unit = F.when(F.col("apart"), F.xxhash64("key", F.lit("key"))).otherwise(F.xxhash64("cluster"))
+    # A little wider than the ratio, so that rounding puts no linked sets two classes apart.
+    width = max(math.log(100 / percent) * 1.000001, 0.05)
+    return salted_join(own, of_root, ["root"]).select(
+        unit.alias("unit"), "id", "root", F.floor(F.log("n") / width).alias("size")
+    ).distinct()
+
+
+def _blocks(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The blocks ``unit, only, size, block`` and the sets in them, ``id, root, block``.
+
+    ``only`` is the component all sets of a block are of, empty if they are of several.
+    """
+    per = saved(rows.groupBy("unit", "root", "size").agg(F.count(F.lit(1)).alias("m")), "per")
+    whole = per.groupBy("unit").agg(F.sum("m").alias("all"))
+    of_root = per.groupBy("unit", "root").agg(F.sum("m").alias("in_root"))
+    plan = salted_join(salted_join(per, of_root, ["unit", "root"]), whole, ["unit"]).select(
+        "unit", "root", F.col("size").alias("own"), "m",
+        F.when(F.col("all") > BLOCK_SETS, F.col("size")).otherwise(0).alias("size"),
+        F.when(F.col("in_root") > BLOCK_SETS, F.col("root")).otherwise(F.lit(b"")).alias("only"),
+    )
+    plan = saved(plan, "plan")
+    parts = plan.groupBy("unit", "only", "size").agg(F.ceil(F.sum("m") / BLOCK_SETS).alias("parts"))
+    placing = saved(salted_join(plan, parts, ["unit", "only", "size"]), "placing").select(
+        "unit", "root", "only", F.col("own").alias("size"), F.col("size").alias("class"), "parts"
+    )
+    block = F.xxhash64("unit", "only", "class", F.pmod(F.xxhash64("id"), F.col("parts")))
+    placed = salted_join(rows, placing, ["unit", "root", "size"]).select(
+        "unit", "id", "root", "only", F.col("class").alias("size"), block.alias("block")
+    )
+    placed = saved(placed, "blocks")
+    return saved(placed.select("unit", "only", "size", "block").distinct(), "blocks"), placed.select("id", "root", "block")
+
+
 def comparer(percent: int):
     """Links between the two sides of each task, or within its only side."""
 

@@ -75,16 +75,16 @@ def salted_join(
     if counts is None:
         counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = F.broadcast(
-        counts.where(F.col("_n") > limit).select(*keys, F.ceil(F.col("_n") / limit).alias("_parts"))
+        counts.where(F.col("_n") > limit).select(*keys, F.ceil(F.col("_n") / limit).alias("_salts"))
     )
-    parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
+    parts = F.coalesce("_salts", F.lit(1).cast("bigint"))
     # By what a row holds: a task that runs again may read its rows in another order.
     spread = F.pmod(F.xxhash64(*left.columns), parts)
     dealt = left.join(hot, keys, "left").withColumn("_salt", spread)
     copied = right.join(hot, keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))
     )
-    joined = dealt.drop("_parts").join(copied.drop("_parts"), [*keys, "_salt"], how)
+    joined = dealt.drop("_salts").join(copied.drop("_salts"), [*keys, "_salt"], how)
     return joined.drop("_salt")
 
 

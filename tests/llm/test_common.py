@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from surgewatch.llm import common
+from surgewatch.llm import common, mixing
 
 
 def test_salts_do_not_depend_on_the_order_of_rows(spark, monkeypatch):
@@ -25,7 +25,7 @@ def test_parts_of_a_hot_key_grow_with_its_rows(spark, monkeypatch):
     assert seen.agg(F.count("v"), F.sum("one")).first() == (30_000, 30_000)
     # A key of two thirds of the rows has about 2/3 of 2,048 parts.
     plan = seen._jdf.queryExecution().optimizedPlan().toString()
-    assert "_parts" in plan
+    assert "_salts" in plan
     monkeypatch.setattr(common, "HOT_KEYS", 2)
     assert common.salted_join(left, right, ["k"], "left").count() == 30_000
 
@@ -35,3 +35,15 @@ def test_hot_keys_are_listed_in_bounds():
     assert common.hot_limit(10**10) == common.HOT_ROWS
     for rows in (10**5, 10**9, 10**12, 10**15):
         assert rows / common.hot_limit(rows) <= common.MOST_KEYS
+
+
+def test_mixing_with_dealt_keys(spark, monkeypatch):
+    """The names a salted join uses are none of the operators' own."""
+    monkeypatch.setattr(common, "SMALL_ROWS", 0)
+    docs = spark.range(300).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"),
+        F.repeat(F.lit("w "), (F.col("id") % 7).cast("int")).alias("text"),
+    )
+    sums = mixing.digest(docs).groupBy("source_size").agg(F.max("target").alias("target"), F.sum("taken").alias("taken"))
+    for row in sums.collect():
+        assert abs(row.taken - row.target) <= 7

@@ -2,78 +2,11 @@
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-# The processor below travels with the query, so executors need no copy of
-# this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 INSERT, UPDATE = "insert", "update"
 
-ROWS = "url string, trigger_value string, at bigint, seq bigint"
-OUTPUT = "url string, trigger_value string, proc_time timestamp, change string"
-
-
-def _place(row: tuple) -> tuple:
-    """Order of changes ``trigger_value, at, seq``: time, sequence number, value; null first."""
-    value, at, seq = row
-    return tuple((x is not None, x if x is not None else 0) for x in (at, seq)) + (value is not None, value or "")
-
-
-def _rows(batch: pd.DataFrame) -> Iterator[tuple]:
-    """``url, (trigger_value, at, seq)`` with None for missing values."""
-    columns = [batch[c].astype(object).where(batch[c].notna(), None) for c in ("url", "trigger_value", "at", "seq")]
-    for url, value, at, seq in zip(*columns):
-        yield url, (value, None if at is None else int(at), None if seq is None else int(seq))
-
-
-def newest_in_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The last change of each url, batch by batch of a task: a url that changes most sends few rows."""
-    for batch in batches:
-        newest: dict = {}
-        for url, row in _rows(batch):
-            if url not in newest or _place(row) > _place(newest[url]):
-                newest[url] = row
-        rows = [(url, *row) for url, row in newest.items()]
-        frame = pd.DataFrame(rows, columns=["url", "trigger_value", "at", "seq"])
-        yield frame.astype({"url": object, "trigger_value": object, "at": "Int64", "seq": "Int64"})
-
-
-class Latest(StatefulProcessor):
-    """Per url: its latest change. A newer one replaces it and is passed on; others are not."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.latest = handle.getValueState("latest", "trigger_value string, at bigint, seq bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        known = before = tuple(self.latest.get()) if self.latest.exists() else None
-        for batch in rows:
-            for _, row in _rows(batch):
-                if known is None or _place(row) > _place(known):
-                    known = row
-        if known == before:
-            return
-        self.latest.update(known)
-        value, at, _ = known
-        yield pd.DataFrame(
-            {
-                "url": [key[0]],
-                "trigger_value": [value],
-                "proc_time": pd.to_datetime([at], unit="us", utc=True),
-                "change": [UPDATE if before is not None else INSERT],
-            }
-        )
-
-    def close(self) -> None:
-        pass
-
 
 def latest_stream(changes: DataFrame, time_col: str = "proc_time") -> DataFrame:
     """Changelog ``url, trigger_value, proc_time, change`` of the latest threshold of each url.
@@ -82,22 +15,30 @@ def latest_stream(changes: DataFrame, time_col: str = "proc_time") -> DataFrame:
     it in update mode, to a target that replaces by url (see ``upserted``). At
     most one row a url comes of each micro-batch. Changes may arrive in any
     order: an older one changes nothing, and of changes at one time the last
-    (``seq``, then the value) counts. A null url is a url like others.
+    (``seq``, then the value; null first) counts. A null url is a url like others.
 
-    State is one value a url. Tasks send on only the newest change they have
-    of a url, so a url with a third of all changes is no hot key.
+    State is one row a url: its latest change, and the time of the micro-batches
+    that brought it and the url's first one. A repeated micro-batch has the time
+    of its first attempt. Tasks send on only the newest change they have of a
+    url, so a url with a third of all changes is no hot key.
     """
     seq = F.col("seq").cast("bigint") if "seq" in changes.columns else F.lit(None).cast("bigint")
     rows = changes.select(
         F.col("url").cast("string").alias("url"),
-        F.col("trigger_value").cast("string").alias("trigger_value"),
         F.unix_micros(F.col(time_col).cast("timestamp")).alias("at"),
         seq.alias("seq"),
+        F.col("trigger_value").cast("string").alias("trigger_value"),
+        F.unix_millis(F.current_timestamp()).alias("batch"),
     )
-    return (
-        rows.mapInPandas(newest_in_batch, ROWS)
-        .groupBy("url")
-        .transformWithStateInPandas(Latest(), OUTPUT, "update", "none")
+    # Of equal changes the first one: it is no news when it comes again.
+    newest = F.max(F.struct("at", "seq", "trigger_value", (-F.col("batch")).alias("since")))
+    latest = rows.groupBy("url").agg(newest.alias("v"), F.min("batch").alias("first"))
+    now = F.unix_millis(F.current_timestamp())
+    return latest.where(F.col("v.since") == -now).select(
+        "url",
+        "v.trigger_value",
+        F.timestamp_micros("v.at").alias("proc_time"),
+        F.when(F.col("first") == now, INSERT).otherwise(UPDATE).alias("change"),
     )
 
 

@@ -1,0 +1,40 @@
+"""Streams over many keys: what they do per row and key, and results with nulls, ties and repeated rows."""
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import at, found, make_changes
+from surgewatch.operators.dims import latest_per_key
+from surgewatch.session import STREAM_CONF, session_conf
+from surgewatch.streaming.changelog import latest_stream, upserted
+from surgewatch.streaming.replay import changelog_to
+from test_streaming import CHANGES, Feed
+
+
+@pytest.fixture
+def feeds(spark, tmp_path):
+    return lambda name, schema: Feed(spark, tmp_path / name, schema)
+
+
+def test_latest_values_need_no_python_per_url(spark, tmp_path, feeds):
+    changes, batches = feeds("changes", CHANGES), []
+    for n in range(3):
+        rows = [(f"u{i}", str((i + n) % 3), (i * 7 + n * 5) % 11, i % 4) for i in range(200)]
+        rows += [(None, None, n, None), ("tie", None, 3, 1), ("tie", str(n), 3, 1), ("tie", str(n), 3, 1), ("still", "1", 9, None)]
+        batches.append(rows)
+    for rows in batches:
+        changes.put([(u, v, at(s), n) for u, v, s, n in rows])
+        with session_conf(spark, STREAM_CONF):
+            query = changelog_to(latest_stream(changes.stream), str(tmp_path / "log"), availableNow=True)
+            query.awaitTermination()
+        operator, = query.recentProgress[0].stateOperators
+        assert operator.operatorName == "stateStoreSave"  # no call of Python for each url
+    log = spark.read.parquet(str(tmp_path / "log" / "changes"))
+    assert log.groupBy("batch_id", "url").count().where("count > 1").count() == 0
+    first = log.groupBy("url").agg(F.min_by("change", "batch_id").alias("c"), F.count_if(F.col("change") == "insert").alias("n"))
+    assert first.where("c != 'insert' or n != 1").count() == 0
+    assert [r.change for r in log.where("url = 'still'").collect()] == ["insert"]
+    assert [r.trigger_value for r in log.where("url = 'tie'").orderBy("batch_id").collect()] == ["0", "1", "2"]
+    everything = make_changes(spark, [row for rows in batches for row in rows])
+    assert found(upserted(log), "url", "trigger_value") == found(latest_per_key(everything), "url", "trigger_value")

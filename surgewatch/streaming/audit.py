@@ -40,7 +40,7 @@ def _join_state(spark: SparkSession, checkpoint: str, variable: str) -> DataFram
 def threshold_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Per url, of a temporal job: its keys (one per salt) and the fewest and most thresholds of a key."""
     rows = _join_state(spark, checkpoint, "changes")
-    kept = rows.groupBy("key.url", "key.salt").agg(F.count(F.lit(1)).alias("n"))
+    kept = rows.groupBy("key.url", "key.salt").agg(F.sum(F.size("list_element.at")).alias("n"))
     return kept.groupBy("url").agg(
         F.count(F.lit(1)).alias("salts"), F.min("n").alias("fewest"), F.max("n").alias("most")
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +35,12 @@ BUCKET_SECONDS = 60
 #: Keys whose thresholds a task remembers between the timers of a micro-batch.
 KNOWN_KEYS = 64
 
+#: Changes that one entry of state holds, at most.
+PART_CHANGES = 10_000
+
+#: Changes of a url that travel together: the newest one's time, and their columns, pickled.
+PACKED = "url string, kind int, at bigint, part binary"
+
 OUTPUT = "ip string, url string, {time} timestamp, hits bigint, trigger_value string, dim_url string"
 
 
@@ -61,7 +69,7 @@ class AsOf(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.changes = handle.getListState(
-            "changes", "at bigint, seq bigint, trigger_value string"
+            "changes", "at array<bigint>, seq array<bigint>, trigger_value array<string>"
         )
         self.parts = handle.getMapState("parts", "bucket bigint", "n int")
         self.waiting = handle.getMapState(
@@ -70,7 +78,7 @@ class AsOf(StatefulProcessor):
         self.known: dict[tuple, list] = {}
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self._add_changes(initialState)
+        self._add_changes(_columns(initialState))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         self.known.pop(key, None)
@@ -78,8 +86,9 @@ class AsOf(StatefulProcessor):
         for batch in rows:
             changes = batch[batch["kind"] == CHANGE]
             if len(changes):
-                self._add_changes(changes)
-                newest = int(changes["at"].max())
+                columns = _columns(changes)
+                self._add_changes(columns)
+                newest = max(columns[0])
                 last = newest if last is None else max(last, newest)
             logs = batch[batch["kind"] == LOG]
             if len(logs):
@@ -112,12 +121,9 @@ class AsOf(StatefulProcessor):
         )
         return iter([result])
 
-    def _add_changes(self, changes: pd.DataFrame) -> None:
-        values = changes["trigger_value"].astype(object)
-        values = values.where(values.notna(), None)
-        self.changes.appendList(
-            list(zip(changes["at"].tolist(), changes["seq"].tolist(), values.tolist()))
-        )
+    def _add_changes(self, columns: tuple[list, list, list]) -> None:
+        if columns[0]:
+            self.changes.appendList([columns])
 
     def _add_waiting(self, at: np.ndarray, ips: list, hits: list) -> None:
         """Add log rows, ordered by time, to their buckets."""
@@ -145,9 +151,12 @@ class AsOf(StatefulProcessor):
                 continue
             later: tuple[list, list, list] = ([], [], [])
             for part in range(self.parts.getValue((bucket,))[0]):
-                for row in zip(*self.waiting.getValue((bucket, part))):
-                    for column, value in zip(due if row[0] <= watermark * 1000 else later, row):
-                        column.append(value)
+                rows = self.waiting.getValue((bucket, part))
+                # Parts are in order of time.
+                cut = bisect_right(rows[0], watermark * 1000)
+                for column, more, values in zip(due, later, rows):
+                    column += values[:cut]
+                    more += values[cut:]
                 self.waiting.removeKey((bucket, part))
             self.parts.removeKey((bucket,))
             if later[0]:
@@ -167,15 +176,17 @@ class AsOf(StatefulProcessor):
         if key not in self.known:
             if len(self.known) >= KNOWN_KEYS:
                 self.known.clear()
+            parts = self.changes.get() if self.changes.exists() else ()
             known = sorted(
-                self.changes.get() if self.changes.exists() else (),
+                (change for part in parts for change in zip(*part)),
                 key=lambda c: (c[0], c[1], c[2] is not None, c[2] or ""),
             )
             self.known[key] = [np.array([c[0] for c in known], dtype=np.int64), known, 0]
         starts, known, dropped = self.known[key]
         passed = int(np.searchsorted(starts, limit, side="right"))
         if passed - 1 - dropped > 0 and passed - 1 - dropped >= len(known) - (passed - 1):
-            self.changes.put([tuple(c) for c in known[passed - 1 :]])
+            kept = known[passed - 1 :]
+            self.changes.put([tuple(map(list, zip(*part))) for part in _cut(kept, PART_CHANGES)])
             self.known[key][2] = passed - 1
         return starts, known
 
@@ -183,6 +194,35 @@ class AsOf(StatefulProcessor):
         pass
 
 
+def _cut(rows: list, size: int) -> list[list]:
+    return [rows[low : low + size] for low in range(0, len(rows), size)]
+
+
+def _columns(changes: pd.DataFrame) -> tuple[list, list, list]:
+    """Times, sequence numbers and values of changes, in rows or ``packed``."""
+    if "part" in changes:
+        parts = [pickle.loads(part) for part in changes["part"]]
+        at, seq, values = ([v for part in parts for v in part[i]] for i in range(3))
+        return at, seq, values
+    values = changes["trigger_value"].astype(object)
+    return changes["at"].tolist(), changes["seq"].tolist(), values.where(values.notna(), None).tolist()
+
+
+def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A row for each url's changes in a batch of a task; clock rows are dropped, they have moved the watermark.
+
+    Changes without a time hold for no request and are dropped too.
+    """
+    for batch in batches:
+        changes = batch[(batch["kind"] == CHANGE) & batch["at"].notna() & batch["url"].notna()]
+        changes = changes.astype({"at": "int64"})
+        rows = [
+            (url, CHANGE, int(part["at"].max()), pickle.dumps(_columns(part)))
+            for url, part in changes.groupby("url", sort=False)
+        ]
+        yield pd.DataFrame(rows, columns=["url", "kind", "at", "part"])
+
+
 def temporal_join_stream(
     logs: DataFrame,
     changes: DataFrame,
@@ -229,8 +269,6 @@ def temporal_join_stream(
         F.col(time_col).cast("timestamp").alias(time_col),
         kind.alias("kind"),
         "ip",
-        F.lit(None).cast("string").alias("trigger_value"),
-        F.lit(0).cast("bigint").alias("seq"),
     ).withWatermark(time_col, delay)
     known = changes.select(
         "url",
@@ -250,23 +288,26 @@ def temporal_join_stream(
             F.lit(0).cast("bigint").alias("seq"),
         )
         known = known.unionByName(beats)
-    copies = F.when(F.col("kind") == CLOCK, F.array(F.lit(0))).otherwise(
-        F.sequence(F.lit(0), F.lit(salts - 1))
-    )
-    known = known.withWatermark(time_col, change_delay).select(
-        "url",
-        F.explode(copies).alias("salt"),
-        F.lit(NEVER_LATE).cast("timestamp").alias(time_col),
-        "kind",
-        F.lit(None).cast("string").alias("ip"),
-        "trigger_value",
-        "seq",
-        F.unix_micros(time_col).alias("at"),
+    # Packed before they are copied to the salts.
+    known = (
+        known.withWatermark(time_col, change_delay)
+        .withColumn("at", F.unix_micros(time_col))
+        .drop(time_col)
+        .mapInPandas(packed, PACKED)
+        .select(
+            "url",
+            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
+            F.lit(NEVER_LATE).cast("timestamp").alias(time_col),
+            "kind",
+            F.lit(None).cast("string").alias("ip"),
+            "at",
+            "part",
+        )
     )
     return (
-        rows.withColumn("at", F.unix_micros(time_col))
+        rows.withColumns({"at": F.unix_micros(time_col), "part": F.lit(None).cast("binary")})
         .unionByName(known)
-        .where("url is not null")
+        .where("url is not null and at is not null")
         .groupBy("url", "salt")
         .transformWithStateInPandas(
             AsOf(time_col, 1000 * bucket_seconds),

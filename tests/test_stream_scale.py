@@ -1,5 +1,9 @@
 """Streams over many keys: what they do per row and key, and results with nulls, ties and repeated rows."""
 
+import time
+from collections import Counter
+from types import SimpleNamespace
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +12,10 @@ from helpers import at, found, make_changes
 from surgewatch.operators.dims import latest_per_key
 from surgewatch.session import STREAM_CONF, session_conf
 from surgewatch.streaming.changelog import latest_stream, upserted
+from surgewatch.streaming.clocked import BucketCounts, processing_time_counts
 from surgewatch.streaming.replay import changelog_to
+from surgewatch.streaming.temporal import CHANGE, LOG, AsOf, packed
+from test_stream_state import advance, give, started
 from test_streaming import CHANGES, Feed
 
 
@@ -38,3 +45,59 @@ def test_latest_values_need_no_python_per_url(spark, tmp_path, feeds):
     assert [r.trigger_value for r in log.where("url = 'tie'").orderBy("batch_id").collect()] == ["0", "1", "2"]
     everything = make_changes(spark, [row for rows in batches for row in rows])
     assert found(upserted(log), "url", "trigger_value") == found(latest_per_key(everything), "url", "trigger_value")
+
+
+def test_clocked_counts_of_a_bucket():
+    processor, handle = started(BucketCounts(1000))
+    rows = [("1", "a", 2), (None, "b", 1), ("1", None, 5), ("2", "a", 1)]
+
+    def batch(now, rows):
+        values = SimpleNamespace(getCurrentProcessingTimeInMs=lambda: now)
+        list(processor.handleInputRows((7,), iter([pd.DataFrame(rows, columns=["ip", "url", "hits"])]), values))
+
+    def close(end):
+        frames = processor.handleExpiredTimer((7,), None, SimpleNamespace(getExpiryTimeInMs=lambda: end))
+        return sorted([(str(r.ip), str(r.url), r.times, r.window_start.timestamp(), r.window_end.timestamp()) for f in frames for r in f.itertuples()])
+
+    batch(1500, rows)
+    batch(1999, rows[:2])
+    assert processor.counts.reads == []  # a micro-batch only adds
+    batch(2000, rows[3:])
+    assert handle.timers == {2000, 3000}
+    assert close(2000) == [("1", "None", 5, 1, 2), ("1", "a", 4, 1, 2), ("2", "a", 1, 1, 2), ("None", "b", 2, 1, 2)]
+    assert close(3000) == [("2", "a", 1, 2, 3)]
+    assert not processor.counts.rows and not processor.parts.rows
+
+
+def test_many_clients_share_keys_of_state(spark, tmp_path, feeds):
+    logs = feeds("logs", "ip string, url string")
+    rows = [(str(i % 3000), "ab"[i % 2]) for i in range(6000)] + [(None, "a"), ("", "a"), ("1", None), (None, None)]
+    logs.put(rows)
+    with session_conf(spark, STREAM_CONF):
+        out = []
+        query = processing_time_counts(logs.stream, 1).writeStream.option("checkpointLocation", str(tmp_path / "ck"))
+        query = query.foreachBatch(lambda batch, n: out.extend(batch.collect())).trigger(processingTime="1 second").start()
+        try:
+            for _ in range(120):
+                if sum(r.times for r in out) >= len(rows) or not query.isActive:
+                    break
+                time.sleep(1)
+            first = next(p for p in query.recentProgress if p.numInputRows)
+        finally:
+            query.stop()
+    assert first.stateOperators[0].numRowsUpdated <= 2 * 256  # not one for each client and url
+    assert Counter((r.ip, r.url) for r in out for _ in range(r.times)) == Counter(rows)
+
+
+def test_changes_are_packed_before_they_are_copied_to_salts():
+    changes = pd.DataFrame(
+        [("a", CHANGE, 5.0, "1", 2), ("b", CHANGE, 1.0, None, 1), ("a", CHANGE, 3.0, "x", 9), ("a", CHANGE, None, "y", 9), ("__hb__", 2, 9.0, None, 0)],
+        columns=["url", "kind", "at", "trigger_value", "seq"],
+    )
+    frame, = packed(iter([changes]))
+    assert list(zip(frame["url"], frame["kind"], frame["at"])) == [("a", CHANGE, 5), ("b", CHANGE, 1)]
+    processor, handle = started(AsOf("ts", 1000))
+    list(processor.handleInputRows(("a", 0), iter([frame[frame["url"] == "a"].assign(ip=None)]), None))
+    assert processor.changes.rows == [([5, 3], [2, 9], ["1", "x"])]  # one entry of state for all
+    give(processor, [(LOG, 4, "c", 0, None), (LOG, 6, "d", 0, None), (LOG, 2, "e", 0, None)])
+    assert [(r[0], r[3]) for r in advance(processor, handle, 10)] == [("c", "x"), ("d", "1")]

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
 import re
 import struct
+from array import array
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -154,48 +157,55 @@ class Sides:
         found = list(map(self.chunks.get, chunks))
         at = [i for i, entry in enumerate(found) if entry is None]
         new = [chunks[i] for i in at]
-        bytes_a, bytes_b = self.a.bytes, self.b.bytes
-        for i, chunk, a, b in zip(at, new, self.a.encode(new), self.b.encode(new), strict=True):
-            whole = chunk.encode("utf-8", "surrogatepass")
-            same = b"".join([bytes_a[x] for x in a]) == whole == b"".join([bytes_b[x] for x in b])
-            found[i] = struct.pack(f"={len(a)}i", *a), struct.pack(f"={len(b)}i", *b), same
+        ids = self.a.encode(new), self.b.encode(new)
+        whole = [chunk.encode("utf-8", "surrogatepass") for chunk in new]
+        same = [x and y for x, y in zip(self.back(0, ids[0], whole), self.back(1, ids[1], whole), strict=True)]
+        packed = [[array("i", x).tobytes() for x in side] for side in ids]
+        for i, chunk, entry in zip(at, new, zip(*packed, same, strict=True), strict=True):
+            found[i] = entry
             if len(chunk) <= LONGEST:
-                self.chunks[chunk] = found[i]
+                self.chunks[chunk] = entry
         return found
 
+    def back(self, side: int, ids: list[list[int]], whole: list[bytes]) -> list[bool]:
+        """Whether a tokenizer's ids of each chunk give its bytes back; all chunks are compared at once."""
+        entries, sizes = (self.a, self.b)[side].bytes, self.lengths[side]
+        lengths = [sum([sizes[x] for x in chunk]) for chunk in ids]
+        if lengths == list(map(len, whole)):
+            if b"".join([entries[x] for chunk in ids for x in chunk]) == b"".join(whole):
+                return [True] * len(whole)
+        return [b"".join([entries[x] for x in chunk]) == text for chunk, text in zip(ids, whole, strict=True)]
+
     def window(self, key: tuple[bytes, bytes]) -> tuple[str, int, bytes]:
         """The groups of a window's ids as text, their number, and the linked pairs."""
         known = self.windows.get(key)
         if known is None:
-            known = self.groups(*(struct.unpack(f"={len(k) // 4}i", k) for k in key))
+            known = self.groups(memoryview(key[0]).cast("i").tolist(), memoryview(key[1]).cast("i").tolist())
             if len(key[0]) + len(key[1]) <= 4 * LONGEST:
                 if len(self.windows) > WINDOWS:
                     self.windows = {}
                 self.windows[key] = known
         return known
 
-    def groups(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, int, bytes]:
+    def groups(self, a: list[int], b: list[int]) -> tuple[str, int, bytes]:
         """Cut ids of equal bytes where tokens of both end, every token having bytes."""
-        (sizes_a, sizes_b), names = self.lengths, self.names
+        names = self.names
+        names_a, names_b = [names[k] for k in a], [names[k] for k in b]
+        if len(a) == 1 or len(b) == 1:
+            return ",".join(names_a) + "|" + ",".join(names_b), 1, struct.pack("=q", a[-1] * PAIR + b[-1])
+        sizes_a, sizes_b = self.lengths
+        ends = {end: j for j, end in enumerate(accumulate([sizes_b[k] for k in b]), 1)}
         text, links = [], []
-        i = j = first_a = first_b = 0
-        x, y = sizes_a[a[0]], sizes_b[b[0]]
-        while True:
-            if x < y:
-                i += 1
-                x += sizes_a[a[i]]
-            elif y < x:
-                j += 1
-                y += sizes_b[b[j]]
-            else:
-                links.append(a[i] * PAIR + b[j])
-                i, j = i + 1, j + 1
-                left = ",".join([names[k] for k in a[first_a:i]])
-                text.append(left + "|" + ",".join([names[k] for k in b[first_b:j]]))
-                if i == len(a):
-                    return ";".join(text), len(text), struct.pack(f"={len(links)}q", *links)
+        first_a = first_b = 0
+        for i, end in enumerate(accumulate([sizes_a[k] for k in a]), 1):
+            j = ends.get(end)
+            if j:
+                links.append(a[i - 1] * PAIR + b[j - 1])
+                left = names_a[first_a] if i - first_a == 1 else ",".join(names_a[first_a:i])
+                right = names_b[first_b] if j - first_b == 1 else ",".join(names_b[first_b:j])
+                text.append(left + "|" + right)
                 first_a, first_b = i, j
-                x, y = sizes_a[a[i]], sizes_b[b[j]]
+        return ";".join(text), len(text), struct.pack(f"={len(links)}q", *links)
 
 
 def spread(flat: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -245,7 +255,21 @@ def numbered(ids: list[np.ndarray], ends: list[np.ndarray]) -> np.ndarray:
 
 
 def aligned(texts: list[str], sides: Sides) -> list:
-    """The columns from ``n_a`` on for texts that are not empty."""
+    """The columns from ``n_a`` on for texts that are not empty.
+
+    Nothing made here refers back to itself, so no search for such garbage is
+    made in the worker's large memory meanwhile.
+    """
+    searching = gc.isenabled()
+    gc.disable()
+    try:
+        return _aligned(texts, sides)
+    finally:
+        if searching:
+            gc.enable()
+
+
+def _aligned(texts: list[str], sides: Sides) -> list:
     cut = [sides.cut(t) for t in texts]
     codes, chunks = pd.factorize(np.array([c for part in cut for c in part], object))
     entries = sides.encode(chunks.tolist())

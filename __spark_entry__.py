@@ -19,13 +19,14 @@ from surgewatch.functions.parse import LITERAL_TAB, TAB, malformed_counts, parse
 from surgewatch.functions.thresholds import as_number, at_least
 from surgewatch.functions.timeattr import with_processing_time, with_watermark
 from surgewatch.operators.dims import latest_per_key, versions
-from surgewatch.operators.lookup import lookup_counts, lookup_join
+from surgewatch.operators.lookup import lookup_counts, lookup_join, salted
 from surgewatch.operators.temporal import temporal_join
 from surgewatch.operators.windows import hop_counts, tumble_counts
 from surgewatch.plans import alerts
 from surgewatch.sources import replay
 from surgewatch.sources.positions import start_at
 from surgewatch.streaming.replay import replay_alerts, replay_clocked, replay_latest
+from surgewatch.streaming.windowed import BUCKETS
 
 SIZE, SLIDE = 21600, 7200
 YEAR = 31_536_000
@@ -223,7 +224,7 @@ def _as_of_options(delay):
 
 def stream_fixed_threshold_alerts(spark, sf_dir):
     def job(logs, events, delay):
-        return alerts.fixed_threshold_alerts(with_watermark(logs, delay=delay), SIZE, 2)
+        return alerts.fixed_threshold_alerts(with_watermark(logs, delay=delay), SIZE, 2, buckets=BUCKETS)
 
     return _stream(spark, sf_dir, job)
 
@@ -232,7 +233,7 @@ def stream_alert_table(spark, sf_dir):
     """The alerts of one threshold as JSON, from the table that takes each micro-batch once."""
 
     def job(logs, events, delay):
-        return alerts.fixed_threshold_alerts(with_watermark(logs, delay=delay), SIZE, 2)
+        return alerts.fixed_threshold_alerts(with_watermark(logs, delay=delay), SIZE, 2, buckets=BUCKETS)
 
     return _stream(spark, sf_dir, job, fmt="alert_table")
 
@@ -240,16 +241,22 @@ def stream_alert_table(spark, sf_dir):
 def stream_lookup_alerts(spark, sf_dir):
     def job(logs, events, delay):
         dim = replay.lookup_table(spark)
-        return alerts.lookup_alerts(with_watermark(logs, delay=delay), dim, SIZE)
+        return alerts.lookup_alerts(with_watermark(logs, delay=delay), dim, SIZE, buckets=BUCKETS)
 
     return _stream(spark, sf_dir, job)
 
 
 def stream_lookup_alerts_parts(spark, sf_dir):
+    # Kept for all micro-batches: the recorded table does not change.
+    dim = salted(_parts(spark, sf_dir), 4).persist()
+
     def job(logs, lines, delay):
-        return alerts.lookup_alerts(with_watermark(logs, delay=delay), _parts(spark, sf_dir), YEAR, salts=4)
+        return alerts.lookup_alerts(with_watermark(logs, delay=delay), dim, YEAR, salts=4, buckets=BUCKETS)
 
-    return _stream(spark, sf_dir, job, "lineitem", replay.order_logs, YEAR)
+    try:
+        return _stream(spark, sf_dir, job, "lineitem", replay.order_logs, YEAR)
+    finally:
+        dim.unpersist()
 
 
 def stream_temporal_alerts(spark, sf_dir):

@@ -9,6 +9,25 @@ from surgewatch.operators.sizing import MAX_BROADCAST_ROWS, fits_broadcast
 from surgewatch.operators.windows import tumble_counts
 
 
+# The column that tells the copies of a table row apart.
+SALT = "_dim_salt"
+
+
+def _copies(dim: DataFrame, salts: int) -> DataFrame:
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    return dim.select("*", every).withColumn(SALT, F.col("col").alias(SALT, metadata={"salts": salts})).drop("col")
+
+
+def salted(dim: DataFrame, salts: int) -> DataFrame:
+    """``dim`` as a stream's join with ``salts`` needs it: copied, dealt out and sorted.
+
+    Persist it while the stream runs. Each micro-batch sees the table as it was then.
+    """
+    partitions = int(dim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _copies(dim.select(F.col("url").alias("dim_url"), "trigger_value"), salts)
+    return rows.repartition(partitions, "dim_url", SALT).sortWithinPartitions("dim_url", SALT)
+
+
 def lookup_join(
     logs: DataFrame,
     dim: DataFrame,
@@ -26,9 +45,15 @@ def lookup_join(
     table's measured size (see ``streaming.snapshot``) or by its statistics.
     With ``salts`` the log rows of a url are dealt out to so many keys and each
     table row is copied to all of them, so that a popular url keeps many tasks
-    busy; give it where the table is too large to broadcast.
+    busy; give it where the table is too large to broadcast. ``salted`` makes
+    those copies ahead, to be persisted and given as ``dim`` with the same
+    ``salts``; the table is then neither read nor shuffled by each micro-batch.
     """
-    dim = dim.select(F.col("url").alias("dim_url"), "trigger_value")
+    copied = SALT in dim.columns
+    if copied and not (logs.isStreaming and dim.schema[SALT].metadata.get("salts") == salts):
+        raise ValueError("a salted table is joined to a stream, with its number of salts")
+    if not copied:
+        dim = dim.select(F.col("url").alias("dim_url"), "trigger_value")
     if not logs.isStreaming and fits_broadcast(dim, max_rows):
         dim = F.broadcast(dim)
     matching = F.col("url") == F.col("dim_url")
@@ -36,9 +61,8 @@ def lookup_join(
     if logs.isStreaming and salts:
         # Seeded, so by position in the scan: equal when a lost task is run again.
         logs = logs.withColumn("_salt", F.floor(F.rand(7) * salts).cast("int"))
-        every = F.sequence(F.lit(0), F.lit(salts - 1))
-        dim = dim.withColumn("_dim_salt", F.explode(every))
-        matching = matching & (F.col("_salt") == F.col("_dim_salt"))
+        dim = dim if copied else _copies(dim, salts)
+        matching = matching & (F.col("_salt") == F.col(SALT))
     return logs.join(dim, matching).select(*columns)
 
 
@@ -49,6 +73,7 @@ def lookup_counts(
     time_col: str = "ts",
     max_rows: int = MAX_BROADCAST_ROWS,
     salts: int | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Requests per window, ip, url and threshold of the matching rows.
 
@@ -58,11 +83,11 @@ def lookup_counts(
     counts before any join, and a popular url needs no special care.
 
     On a stream the row's own micro-batch decides which threshold it sees, so
-    there the join comes first.
+    there the join comes first (for ``buckets`` see ``windows.tumble_counts``).
     """
     if logs.isStreaming:
         joined = lookup_join(logs, dim, max_rows, salts)
-        return tumble_counts(joined, window_size, time_col, ("ip", "url", "trigger_value"))
+        return tumble_counts(joined, window_size, time_col, ("ip", "url", "trigger_value"), buckets)
     copies = dim.groupBy(F.col("url").alias("dim_url"), "trigger_value").agg(
         F.count(F.lit(1)).alias("copies")
     )

@@ -34,6 +34,15 @@ def _request_count(logs: DataFrame) -> Column:
     return F.count(F.lit(1))
 
 
+def _requests(logs: DataFrame) -> Column:
+    """What a row adds to ``_request_count``."""
+    if "hits" in logs.columns:
+        return F.col("hits")
+    if "hb" in logs.columns:
+        return F.coalesce((~F.col("hb")).cast("bigint"), F.lit(0))
+    return F.lit(1)
+
+
 def _counts(logs: DataFrame, window: Column, keys: Sequence[str], total: Column) -> DataFrame:
     return (
         logs.groupBy(window.alias("w"), *keys)
@@ -52,17 +61,32 @@ def tumble_counts(
     window_size: int,
     time_col: str = "ts",
     keys: Sequence[str] = LOG_KEYS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Requests per ``keys`` in windows of ``window_size`` seconds.
 
     One shuffle of partial counts: a key that holds a large share of all rows
     reaches it as one row per window and map task.
+
+    With ``buckets`` a stream keeps its counts in so many keys of state, for
+    windows that stay open over many micro-batches (``streaming.windowed``);
+    no effect in batch. The choice is part of a stream's state.
     """
     check_window(window_size)
+    if buckets is not None and logs.isStreaming:
+        return _bucketed(logs, window_size, window_size, time_col, keys, buckets)
     window = F.window(time_col, f"{window_size} seconds")
     return _counts(logs, window, keys, _request_count(logs))
 
 
+def _bucketed(
+    logs: DataFrame, size: int, slide: int, time_col: str, keys: Sequence[str], buckets: int
+) -> DataFrame:
+    from surgewatch.streaming.windowed import windowed_counts
+
+    return windowed_counts(logs, size, slide, time_col, keys, _requests(logs), buckets)
+
+
 def hop_counts(
     logs: DataFrame,
     window_size: int,
@@ -70,6 +94,7 @@ def hop_counts(
     time_col: str = "ts",
     keys: Sequence[str] = LOG_KEYS,
     panes: bool | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Requests per ``keys`` in windows of ``window_size`` seconds, one
     starting every ``window_interval`` seconds.
@@ -79,9 +104,13 @@ def hop_counts(
     and copy the pane counts, not the rows, into the windows. ``panes``
     overrides that choice. A stream does the same in two chained counts: a row
     changes one row of state, that of its pane, and windows take a pane when
-    the watermark has closed it. The choice is part of a stream's state.
+    the watermark has closed it. With ``buckets`` (see ``tumble_counts``) it
+    keeps its panes in so many keys of state and makes a window of them when it
+    closes. The choice is part of a stream's state.
     """
     check_window(window_size, window_interval)
+    if buckets is not None and logs.isStreaming:
+        return _bucketed(logs, window_size, window_interval, time_col, keys, buckets)
     window = F.window(time_col, f"{window_size} seconds", f"{window_interval} seconds")
     if panes is None:
         panes = window_size >= PANE_FACTOR * window_interval

@@ -22,12 +22,16 @@ THRESHOLD_KEYS = ("ip", "url", "trigger_value")
 
 
 def fixed_threshold_alerts(
-    logs: DataFrame, window_size: int, trigger_value: int, time_col: str = "ts"
+    logs: DataFrame,
+    window_size: int,
+    trigger_value: int,
+    time_col: str = "ts",
+    buckets: int | None = None,
 ) -> DataFrame:
     """Clients with at least ``trigger_value`` requests to a url in a window."""
     if isinstance(trigger_value, bool) or not isinstance(trigger_value, int):
         raise ValueError(f"trigger_value must be a whole number: {trigger_value!r}")
-    counts = tumble_counts(logs, window_size, time_col)
+    counts = tumble_counts(logs, window_size, time_col, buckets=buckets)
     return at_least(counts, trigger_value).select(*ALERT_COLUMNS)
 
 
@@ -38,9 +42,10 @@ def lookup_alerts(
     time_col: str = "ts",
     max_rows: int = MAX_BROADCAST_ROWS,
     salts: int | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """As above with a threshold per url from the table ``dim``."""
-    counts = lookup_counts(logs, dim, window_size, time_col, max_rows, salts)
+    counts = lookup_counts(logs, dim, window_size, time_col, max_rows, salts, buckets)
     return at_least(counts, F.col("trigger_value")).select(*ALERT_COLUMNS)
 
 

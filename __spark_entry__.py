@@ -285,7 +285,7 @@ def stream_hop_temporal_alerts(spark, sf_dir):
 
 def stream_hop_counts_panes(spark, sf_dir):
     def job(logs, events, delay):
-        return hop_counts(with_watermark(logs, delay=delay), 36_000, 7200).where("times > 0")
+        return hop_counts(with_watermark(logs, delay=delay), 36_000, 7200, buckets=BUCKETS).where("times > 0")
 
     return _stream(spark, sf_dir, job, size=36_000)
 

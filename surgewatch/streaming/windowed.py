@@ -109,46 +109,51 @@ class WindowCounts(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # The last watermark, and the first end under which a part is filed.
-        self.clock = handle.getValueState("clock", "seen bigint, next bigint")
-        self.filed = handle.getMapState("filed", "due bigint, since bigint", "n int")
+        # The last watermark, the first end under which a part is filed, and the next part's number.
+        self.clock = handle.getValueState("clock", "seen bigint, due bigint, part bigint")
         # Windows that end until ``since`` have been emitted with the part's rows.
-        self.parts = handle.getMapState("parts", "due bigint, since bigint, part int", "counts binary")
+        self.filed = handle.getMapState("filed", "part bigint", "due bigint, since bigint")
+        self.parts = handle.getMapState("parts", "part bigint", "counts binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if not self.clock.exists():
-            self._tick(0, NEVER)
-        seen, first = self.clock.get()
+        # Each call of the state's is a message to the JVM: few per micro-batch.
+        clock = self.clock.get()
+        seen, first, number = clock or (0, NEVER, 0)
         given = [unpack(part) for batch in rows for part in batch["part"] if part is not None]
         if given:
             counts = joined(given)
             counts = counts.filter(pc.greater(counts["pane"], seen - self.pane))
-            due = self._file(counts, 0)
-            if due < first:
-                self.clock.update((seen, due))
+            first, number = self._file(counts, 0, first, number)
+        if clock is None:
+            self._tick(seen, first, number)
+        elif given:
+            self.clock.update((seen, first, number))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        watermark, first = timerValues.getCurrentWatermarkInMs(), self.clock.get()[1]
+        watermark = timerValues.getCurrentWatermarkInMs()
+        _, first, number = self.clock.get()
         if first <= watermark:
             closed, later = [], []
             latest = (watermark - self.size) // self.slide * self.slide
             first = NEVER
-            for due, since in [tuple(filed) for filed in self.filed.keys()]:
+            for part, (due, since) in [(part, filed) for (part,), filed in self.filed.iterator()]:
                 if due > watermark:
                     first = min(first, due)
                     continue
-                for counts in self._take(due, since):
-                    pane = counts["pane"].to_numpy()
-                    last = pane // self.slide * self.slide
-                    closed.append(self._spread(counts, self._first(pane, since), np.minimum(last, latest)))
-                    later.append(counts.filter(pa.array(last > latest)))
+                counts = unpack(self.parts.getValue((part,))[0])
+                self.parts.removeKey((part,))
+                self.filed.removeKey((part,))
+                pane = counts["pane"].to_numpy()
+                last = pane // self.slide * self.slide
+                closed.append(self._spread(counts, self._first(pane, since), np.minimum(last, latest)))
+                later.append(counts.filter(pa.array(last > latest)))
             yield from self._emitted(summed(joined(closed)))
-            first = min(first, self._file(joined(later), watermark))
-        self._tick(watermark, first)
+            first, number = self._file(joined(later), watermark, first, number)
+        self._tick(watermark, first, number)
 
-    def _tick(self, seen: int, first: int) -> None:
-        self.clock.update((seen, first))
+    def _tick(self, seen: int, first: int, number: int) -> None:
+        self.clock.update((seen, first, number))
         self.handle.registerTimer(seen + 1)
 
     def _first(self, pane: np.ndarray, since: int) -> np.ndarray:
@@ -156,26 +161,16 @@ class WindowCounts(StatefulProcessor):
         first = -((self.size - self.pane - pane) // self.slide) * self.slide
         return np.maximum(first, ((since - self.size) // self.slide + 1) * self.slide)
 
-    def _file(self, counts: pa.Table, since: int) -> int:
-        """Keep counts, those of near panes in one part; the first end under which one is filed."""
+    def _file(self, counts: pa.Table, since: int, first: int, number: int) -> tuple[int, int]:
+        """Keep counts, those of near panes in one part; the first end, and the next part's number."""
         counts = summed(counts).sort_by("pane")
-        first = NEVER
         for low in range(0, counts.num_rows, PART_ROWS):
             part = counts.slice(low, PART_ROWS)
             due = int(self._first(part["pane"].to_numpy(), since).min()) + self.size
-            n = self.filed.getValue((due, since))[0] if self.filed.containsKey((due, since)) else 0
-            self.parts.updateValue((due, since, n), (pack(part),))
-            self.filed.updateValue((due, since), (n + 1,))
-            first = min(first, due)
-        return first
-
-    def _take(self, due: int, since: int) -> Iterator[pa.Table]:
-        """The parts filed under an end; they are forgotten."""
-        for n in range(self.filed.getValue((due, since))[0]):
-            part = self.parts.getValue((due, since, n))[0]
-            self.parts.removeKey((due, since, n))
-            yield unpack(part)
-        self.filed.removeKey((due, since))
+            self.parts.updateValue((number,), (pack(part),))
+            self.filed.updateValue((number,), (due, since))
+            first, number = min(first, due), number + 1
+        return first, number
 
     def _spread(self, counts: pa.Table, first: np.ndarray, last: np.ndarray) -> pa.Table:
         """A row for each window from ``first`` to ``last``, whose start takes the place of the pane."""

@@ -24,16 +24,13 @@ COUNTS = "ip string, url string, times bigint, window_start timestamp_ntz, windo
 
 
 class Map(FakeMap):
-    def keys(self):
-        return iter(list(self.rows))
+    def iterator(self):
+        return iter(list(self.rows.items()))
 
 
 class Value:
     value = None
 
-    def exists(self):
-        return self.value is not None
-
     def get(self):
         return self.value
 
@@ -188,7 +185,7 @@ def test_refused(feeds):
         tumble_counts(logs, 10, keys=("ip", "ts"), buckets=2)
 
 
-@pytest.mark.parametrize("name", ["stream_lookup_alerts_parts", "stream_lookup_alerts", "stream_fixed_threshold_alerts"])
+@pytest.mark.parametrize("name", ["stream_lookup_alerts_parts", "stream_hop_counts_panes", "stream_lookup_alerts", "stream_fixed_threshold_alerts"])
 def test_registered_streams_keep_buckets(spark, small_dir, name, monkeypatch):
     used = []
     from surgewatch.streaming import windowed

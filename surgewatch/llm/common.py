@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgewatch.session import scratch_dir
+from surgewatch.session import scratch_dir, session_conf
 
 #: A key with more than this share of a table's rows counts as hot,
 HOT_KEYS = 2048
@@ -19,13 +19,20 @@ MOST_KEYS = 65_536
 #: A table with fewer rows is joined as it is: one task could take all of it.
 SMALL_ROWS = 20_000
 
+#: Shuffle files go with the query that wrote them, not when the driver happens to collect its garbage.
+NO_SHUFFLES_KEPT = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """The table, written once to the shared scratch folder and read from there."""
+    """The table, written once to the shared scratch folder and read from there.
+
+    What was shuffled for it is deleted once it is written.
+    """
     path = scratch_dir(df.sparkSession, f"llm-{name}")
     for paths in _NOTED:
         paths.append(path)
-    df.write.option("compression", "zstd").parquet(path)
+    with session_conf(df.sparkSession, NO_SHUFFLES_KEPT):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -35,20 +42,24 @@ _NOTED: list[list[str]] = []
 
 @contextmanager
 def noted() -> Iterator[list[str]]:
-    """The paths of the tables that are saved inside the block."""
+    """The paths of the tables that are saved inside the block and not dropped there."""
     paths: list[str] = []
     _NOTED.append(paths)
     try:
         yield paths
     finally:
-        _NOTED.remove(paths)
+        # The list itself, not one of the same paths.
+        _NOTED[:] = [x for x in _NOTED if x is not paths]
 
 
 def dropped(spark: SparkSession, paths: Collection[str]) -> None:
-    """Delete saved tables. Nothing that is still to be computed may read them."""
-    for path in paths:
+    """Delete saved tables, which are then noted nowhere. Nothing that is still to be computed may read them."""
+    gone = set(paths)
+    for path in gone:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    for open_ in _NOTED:
+        open_[:] = [path for path in open_ if path not in gone]
 
 
 def salted_join(
@@ -110,28 +121,35 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps until nothing changes. Each step
     takes minima per node (combined before the shuffle) and one join, dealt out
-    for nodes with very many edges; no node's neighbours are gathered.
+    for nodes with very many edges; no node's neighbours are gathered. A step's
+    tables are deleted after the next one.
     """
-    edges = saved(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct(),
-        "edges",
-    )
+    spark = edges.sparkSession
+    with noted() as old:
+        edges = saved(
+            edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+            .distinct(),
+            "edges",
+        )
     before = None
     while True:
         # Large star: neighbours above a node move to the smallest around it.
         both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = salted_join(both, least, ["a"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = saved(large.where("a <> b").distinct(), "large")
+        with noted() as passing:
+            large = saved(large.where("a <> b").distinct(), "large")
         # Small star: neighbours below a node, and the node, move to the smallest.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = salted_join(large, least, ["a"])
-        edges = saved(
-            small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .unionAll(least.select("a", F.col("m").alias("b"))).distinct(),
-            "edges",
-        )
+        with noted() as new:
+            edges = saved(
+                small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                .unionAll(least.select("a", F.col("m").alias("b"))).distinct(),
+                "edges",
+            )
+        dropped(spark, old + passing)
+        old = new
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

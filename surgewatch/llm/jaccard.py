@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surgewatch.llm.common import components, renamed, salted_join, saved
+from surgewatch.llm.common import components, dropped, noted, renamed, salted_join, saved
 
 #: Words of a shingle, and the least similarity in hundredths.
 SHINGLE = 5
@@ -335,46 +335,59 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
     occur in other sets; whole sets are made of these alone. Then tokens are
     counted, those in one set dropped, the boundary between light and heavy sets
     chosen, and keys joined (:func:`join_keys`, :func:`links`).
+
+    A table is deleted when the last step that reads it is written. The result
+    reads two: what is returned of each row, and the sets' components.
     """
+    spark = docs.sparkSession
     plain = docs.select(
         F.col("doc_id").cast("bigint"), F.col("text").cast("string").alias("text"),
         F.md5(F.col("text").cast("string")).alias("key"),
     )
-    sketch = saved(
-        plain.mapInArrow(
-            sketcher(size, percent),
-            "row bigint, doc_id bigint, key string, n bigint, id binary, first array<bigint>, need bigint",
-        ),
-        "sketch",
-    )
+    with noted() as sketched:
+        sketch = saved(
+            plain.mapInArrow(
+                sketcher(size, percent),
+                "row bigint, doc_id bigint, key string, n bigint, id binary, first array<bigint>, need bigint",
+            ),
+            "sketch",
+        )
+    listed = saved(sketch.select("doc_id", "n", F.when(F.col("n") > 0, F.col("id")).alias("id")), "listed")
     full = sketch.where("n > 0")
     # The row that stands for a set; of several with its doc_id, by key.
     stand = full.groupBy("id").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("s")
     ).select("id", F.col("s.doc_id").alias("doc_id"), F.col("s.key").alias("key"))
-    stand = saved(stand, "stand")
+    with noted() as standing:
+        stand = saved(stand, "stand")
     tokens = full.select("row", F.explode("first").alias("token"))
     short = full.select(F.xxhash64("id").alias("short"), F.explode("first").alias("token"))
-    elsewhere = saved(
-        short.groupBy("token").agg(
-            F.min("short").alias("low"), F.max("short").alias("high"), F.count(F.lit(1)).alias("_n")
-        ).where("low <> high").select("token", "_n"),
-        "elsewhere",
-    )
+    with noted() as counted:
+        elsewhere = saved(
+            short.groupBy("token").agg(
+                F.min("short").alias("low"), F.max("short").alias("high"), F.count(F.lit(1)).alias("_n")
+            ).where("low <> high").select("token", "_n"),
+            "elsewhere",
+        )
     shared = salted_join(tokens, elsewhere.select("token"), ["token"], "left_semi", elsewhere)
     hits = shared.groupBy("row").agg(F.count(F.lit(1)).alias("hits"))
     # A set is a candidate if one of its rows is; equal sets have equal rows.
     candidates = full.select("row", "id", "n", "need").join(hits, "row").where("hits >= need").select(
         "id", "n"
     ).distinct()
-    rows = saved(stand.join(candidates, "id"), "candidates")
+    with noted() as chosen:
+        rows = saved(stand.join(candidates, "id"), "candidates")
+    dropped(spark, sketched + counted)
     texts = plain.alias("d").join(
         rows.alias("r"),
         (F.col("d.key") == F.col("r.key")) & F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")),
     ).select("r.id", "r.n", "d.text")
-    whole = saved(texts.mapInArrow(whole_sets(size), "id binary, n bigint, hashes array<bigint>"), "sets")
+    with noted() as made:
+        whole = saved(texts.mapInArrow(whole_sets(size), "id binary, n bigint, hashes array<bigint>"), "sets")
     whole = whole.dropDuplicates(["id"])
-    tokens = saved(whole.select("id", "n", F.explode("hashes").alias("token")), "tokens")
+    with noted() as exploded:
+        tokens = saved(whole.select("id", "n", F.explode("hashes").alias("token")), "tokens")
+    dropped(spark, chosen + made)
     freqs = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("freq")).where("freq > 1")
     ordered = salted_join(tokens, freqs, ["token"]).groupBy("id", "n").agg(
         F.array_sort(F.collect_list(F.struct("freq", "token"))).alias("t")
@@ -382,26 +395,29 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
     least = _least(F.col("n"), percent)
     # The tokens left out come first in the order: they are the rarest.
     lead = F.col("n") - least + 1 - (F.col("n") - F.size("t"))
-    sets = saved(
-        ordered.where((F.size("t") >= least) & (lead > 0)).select(
-            "id", "n", F.col("t.token").alias("hashes"), F.col("t.freq").alias("freqs"),
-            lead.cast("int").alias("lead"),
-        ),
-        "sets",
-    )
-    light = boundary(sets, percent)
-    keys = join_keys(sets, light, percent)
-    twice = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
-    keys = saved(salted_join(keys, twice, ["key"], "left_semi"), "keys")
-    roots = components(links(sets, keys, percent))
+    with noted() as joined:
+        sets = saved(
+            ordered.where((F.size("t") >= least) & (lead > 0)).select(
+                "id", "n", F.col("t.token").alias("hashes"), F.col("t.freq").alias("freqs"),
+                lead.cast("int").alias("lead"),
+            ),
+            "sets",
+        )
+        dropped(spark, exploded)
+        light = boundary(sets, percent)
+        keys = join_keys(sets, light, percent)
+        twice = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
+        keys = saved(salted_join(keys, twice, ["key"], "left_semi"), "keys")
+        roots = components(links(sets, keys, percent))
     smallest = roots.join(stand, roots["node"] == stand["id"]).groupBy("root").agg(
         F.min("doc_id").alias("component")
     )
     of_set = stand.select("id", "doc_id").join(
         roots.join(smallest, "root").select(F.col("node").alias("id"), "component"), "id", "left"
     ).select("id", F.coalesce("component", "doc_id").alias("component"))
-    rows = sketch.select("doc_id", "n", F.when(F.col("n") > 0, F.col("id")).alias("id"))
-    named = salted_join(rows, saved(of_set, "components"), ["id"], "left")
+    of_set = saved(of_set, "components")
+    dropped(spark, standing + joined)
+    named = salted_join(listed, of_set, ["id"], "left")
     return named.select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
